@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from loomset.functions import formats
 from loomset.functions.text import ref
+from loomset.operators.render import render
 
 
 def is_alpaca(df: DataFrame) -> bool:
@@ -17,7 +17,7 @@ def autodetect(df: DataFrame, nulls: str = "empty") -> DataFrame:
     """Alpaca-shaped tables get the loader's text, over any text they carry."""
     if not is_alpaca(df):
         return df
-    return df.withColumn("text", formats.alpaca(df, variant="loader", nulls=nulls))
+    return render(df, "alpaca", variant="loader", nulls=nulls)
 
 
 def resolve_text_field(df: DataFrame, configured: str | None = None, first_string: bool = False) -> str:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,8 +39,6 @@ def token_cap(
 
 
 def _tokenize_udf(make_tokenizer: Callable[[], Tokenizer], token_type: str):
-    import pandas as pd
-
     def tokenize(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tokenizer = make_tokenizer()
         for texts in batches:

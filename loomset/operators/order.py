@@ -13,10 +13,6 @@ from loomset.functions.text import ref
 # Fixed value: length of a dry run.
 DRY_RUN_STEPS = 5
 
-# 16 ** 5 offsets are about a million small rows, the most that is broadcast.
-MAX_PREFIX = 5
-
-
 def _shuffle_hash(keys: list[str], seed: int) -> Column:
     parts = [F.coalesce(ref(k).cast("string"), F.lit("")) for k in keys]
     return F.md5(F.concat(F.lit(f"{seed}:"), F.concat_ws("\x1f", *parts)))
@@ -30,56 +26,59 @@ def seeded_order(
     df: DataFrame,
     key: str | Sequence[str],
     seed: int = 42,
-    prefix: int = 4,
+    slices: int | None = None,
     column: str = "position",
 ) -> DataFrame:
     """A permutation fixed by the seed, as a dense position from 0.
 
-    Rows are ordered by a hash of seed and key. Its leading hex digits make
-    evenly filled buckets: rows are numbered within their bucket and moved up
-    by the rows of earlier buckets. Those offsets are at most ``16 ** prefix``
-    rows whatever the data's size, so they are summed in one task and
-    broadcast. Every step is a pure function of the rows, so a lost task can
-    be run again.
-
-    The key must be unique. Repeated keys share one hash and would pile up in
-    one bucket, so a bucket far above the average ends the job with an error.
+    Rows are ordered by a hash of seed and key. Hashes are uniform, so equal
+    ranges of them are evenly filled slices, known without sampling: each row
+    moves once, straight to the task of its slice, is numbered there, and moved
+    up by the rows of earlier slices. Those offsets are one row per slice,
+    whatever the data's size; they come from a count over the key columns alone
+    and are broadcast. Task after task holds consecutive positions. Every step
+    is a pure function of the rows, so a lost task can be run again.
+
+    ``slices`` defaults to the session's shuffle partitions. The key must be
+    unique: repeated keys share a hash and would pile up in one slice, so a
+    slice far above the average ends the job with an error.
     """
-    if not 1 <= prefix <= MAX_PREFIX:
-        raise ValueError(f"prefix must be 1 to {MAX_PREFIX}, got {prefix}")
     keys = [key] if isinstance(key, str) else list(key)
+    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    _positive(slices=slices)
     hashed = _shuffle_hash(keys, seed)
-    bucket = F.substring(hashed, 1, prefix)
 
-    counts = df.select(bucket.alias("_bucket")).groupBy("_bucket").agg(F.count(F.lit(1)).alias("_held"))
-    all_buckets = Window.orderBy("_bucket")
-    before = F.sum("_held").over(all_buckets.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    total = F.sum("_held").over(
-        Window.partitionBy().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    )
-    even_share = total / F.lit(16**prefix)
+    counts = df.groupBy(_slice_of(hashed, slices).alias("_slice")).agg(F.count(F.lit(1)).alias("_held"))
+    in_order = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    everything = Window.partitionBy().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    even_share = F.sum("_held").over(everything) / F.lit(slices)
+    piled_up = F.raise_error(F.lit("seeded_order needs a unique key; many rows share one")).cast("long")
     offsets = counts.select(
-        "_bucket",
-        F.when(
-            F.col("_held") > 4 * even_share + 10_000,
-            F.raise_error(F.lit("seeded_order needs a unique key; many rows share one")).cast("long"),
-        )
-        .otherwise(before - F.col("_held"))
+        "_slice",
+        F.when(F.col("_held") > 4 * even_share + 10_000, piled_up)
+        .otherwise(F.sum("_held").over(in_order) - F.col("_held"))
         .alias("_offset"),
     )
 
-    within = Window.partitionBy("_bucket").orderBy("_hash", *[ref(k) for k in keys])
+    within = Window.partitionBy("_slice").orderBy("_hash", *[ref(k) for k in keys])
     numbered = (
         df.withColumn("_hash", hashed)
-        .withColumn("_bucket", F.substring("_hash", 1, prefix))
+        .withColumn("_slice", _slice_of(F.col("_hash"), slices))
+        .repartitionById(slices, "_slice")
         .withColumn("_row", F.row_number().over(within))
     )
-    placed = numbered.join(F.broadcast(offsets), "_bucket")
+    placed = numbered.join(F.broadcast(offsets), "_slice")
     return placed.select(
         *[ref(c) for c in df.columns], (F.col("_offset") + F.col("_row") - 1).alias(column)
     )
 
 
+def _slice_of(hashed: Column, slices: int) -> Column:
+    """Which of ``slices`` equal ranges of the hash a row falls into, by its first 32 bits."""
+    head = F.conv(F.substring(hashed, 1, 8), 16, 10).cast("long")
+    return F.shiftright(head * F.lit(slices).cast("long"), 32).cast("int")
+
+
 def assign_ranks(df: DataFrame, world_size: int, position: str = "position") -> DataFrame:
     """Deal positions out to the ranks in turn."""
     _positive(world_size=world_size)
@@ -95,17 +94,13 @@ def export_shards(
 ) -> None:
     """Write one ``rank=`` directory per rank, rows in position order.
 
-    A rank's rows are cut into runs of ``rows_per_file`` and each run is its
-    own unit of work: the number of writing tasks follows the rows, not the
-    number of ranks.
+    Takes rows as ``seeded_order`` leaves them, consecutive positions task after
+    task: each task then writes its stretch of every rank and nothing is
+    shuffled again. Files in name order are in position order.
     """
-    run = _div(ref(position), world_size * rows_per_file)
     (
         assign_ranks(df, world_size, position)
-        .withColumn("_run", run)
-        .repartition("rank", "_run")
-        .sortWithinPartitions("rank", "_run", position)
-        .drop("_run")
+        .sortWithinPartitions("rank", position)
         .write.mode("overwrite")
         .option("maxRecordsPerFile", rows_per_file)
         .partitionBy("rank")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
 
 from loomset.functions import formats
+from loomset.functions.text import ref
 
 FORMATS: dict[str, Callable[..., Column]] = {
     "alpaca": formats.alpaca,
@@ -36,11 +37,16 @@ def render(df: DataFrame, format: str | Callable[..., Column], **options) -> Dat
     ``format`` is a built-in name or any function from the DataFrame to a
     Column.
     """
-    if callable(format):
-        return df.withColumn("text", format(df, **options))
-    if format not in FORMATS:
+    if not callable(format) and format not in FORMATS:
         raise ValueError(f"format must be one of {sorted(FORMATS)}, got {format!r}")
-    return df.withColumn("text", FORMATS[format](df, **options))
+    text = (format if callable(format) else FORMATS[format])(df, **options)
+    return with_text(df, text)
+
+
+def with_text(df: DataFrame, text: Column) -> DataFrame:
+    """Set ``text`` and nothing else: a column ``Text`` is another column."""
+    columns = [text.alias("text") if c == "text" else ref(c) for c in df.columns]
+    return df.select(*columns, *([] if "text" in df.columns else [text.alias("text")]))
 
 
 def map_rows(

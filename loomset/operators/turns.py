@@ -25,11 +25,11 @@ def assemble_conversations(
     Two aggregations: turns are first gathered per (key, run of ``block``
     turns), then the runs per key. A conversation that holds a large share of
     all turns is thus collected and sorted by many tasks; the last task only
-    strings ready runs together.
+    strings ready runs together. Turn numbers are unique within a conversation.
     """
     fields = fields or SHAREGPT_FIELDS
     message = F.struct(ref(order).alias("_at"), *[ref(src).alias(name) for name, src in fields.items()])
-    runs = turns.groupBy(ref(key), F.floor(ref(order) / block).alias("_run")).agg(
+    runs = turns.groupBy(ref(key), F.call_function("div", ref(order), F.lit(block)).alias("_run")).agg(
         F.sort_array(F.collect_list(message)).alias("_messages")
     )
     joined = runs.groupBy(ref(key)).agg(

@@ -57,6 +57,11 @@ def files_in(spark: SparkSession, directory: str) -> list[str]:
     return sorted(s.getPath().toString() for s in fs.listStatus(jpath) if s.isFile())
 
 
+def directories_in(spark: SparkSession, directory: str) -> list[str]:
+    fs, jpath = _open_fs(spark, directory)
+    return sorted(s.getPath().toString() for s in fs.listStatus(jpath) if s.isDirectory())
+
+
 def has_suffix_below(spark: SparkSession, directory: str, suffix: str) -> bool:
     fs, jpath = _open_fs(spark, directory)
     found = fs.listFiles(jpath, True)

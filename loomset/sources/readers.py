@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +19,10 @@ SOURCES = ("huggingface", "local", "s3")
 DEFAULT_SPLIT = "train"
 
 
+# Files of a directory whose layout is looked at before the rest is taken to be lines.
+PEEKED_FILES = 200
+
+
 def _paths(path: str | Sequence[str]) -> list[str]:
     return [files.escape_glob(p) for p in ([path] if isinstance(path, str) else path)]
 
@@ -28,33 +32,30 @@ def read_json(
     path: str | Sequence[str],
     schema: T.StructType | str | None = None,
     layout: str = "auto",
+    suffixes: Sequence[str] = (),
 ) -> DataFrame:
     """JSON Lines or JSON arrays; a broken record fails the read.
 
-    ``auto`` looks at the first byte of each file, since lines read as one
-    document would lose all but the first, and a spread-out array read as lines
-    would be broken records. Lines can be split over tasks, an array is read
-    whole by one. For very many files of known layout pass ``lines`` or
-    ``array``; for large inputs pass ``schema`` to save the inference pass.
+    Lines are split over tasks, an array is read whole by one task. ``auto``
+    looks at the first byte of the files. If the first ``PEEKED_FILES`` are all
+    lines the rest is read as lines too, where a spread-out array is a broken
+    record and so an error, never a loss; if any is an array every file is
+    looked at, since lines read as an array would lose all but the first. Name
+    the layout to skip this, and give ``schema`` to save the inference pass.
+    ``suffixes`` limits the files taken from a directory.
     """
     if layout not in ("auto", "lines", "array"):
         raise ValueError(f"layout must be auto, lines or array, got {layout!r}")
     given = [path] if isinstance(path, str) else list(path)
-    if layout == "auto":
-        listed = []
-        for p in given:
-            if files.is_dir(spark, p):
-                listed += [f for f in files.files_in(spark, p) if _visible(f)]
-            else:
-                listed.append(p)
-        heads = files.first_bytes(spark, listed)
-        arrays = [p for p in listed if heads[p] == b"["]
-        lines = [p for p in listed if heads[p] != b"["]
+    if layout == "array":
+        lines, arrays = [], given
+    elif layout == "lines":
+        lines, arrays = given, []
     else:
-        arrays, lines = (given, []) if layout == "array" else ([], given)
+        lines, arrays = _by_layout(spark, given, suffixes)
 
     def load(paths: list[str], multi_line: bool) -> DataFrame:
-        reader = spark.read.option("mode", "FAILFAST").option("multiLine", multi_line)
+        reader = _only(spark.read, suffixes).option("mode", "FAILFAST").option("multiLine", multi_line)
         if schema is not None:
             reader = reader.schema(schema)
         return reader.json(_paths(paths))
@@ -65,12 +66,36 @@ def read_json(
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
 
 
-def _visible(path: str) -> bool:
-    return not path.rsplit("/", 1)[-1].startswith(("_", "."))
+def _by_layout(
+    spark: SparkSession, given: list[str], suffixes: Sequence[str]
+) -> tuple[list[str], list[str]]:
+    listed = []
+    for p in given:
+        if files.is_dir(spark, p):
+            listed += _data_files(files.files_in(spark, p), suffixes)
+        else:
+            listed.append(p)
+    heads = files.first_bytes(spark, listed[:PEEKED_FILES])
+    if b"[" not in heads.values():
+        return given, []
+    heads |= files.first_bytes(spark, listed[PEEKED_FILES:])
+    return [p for p in listed if heads[p] != b"["], [p for p in listed if heads[p] == b"["]
+
+
+def _data_files(paths: list[str], suffixes: Sequence[str] = ()) -> list[str]:
+    """Those that Spark would read: not hidden, and with one of the suffixes if any are given."""
+    shown = [p for p in paths if not p.rsplit("/", 1)[-1].startswith(("_", "."))]
+    return [p for p in shown if not suffixes or files.suffix_of(p) in suffixes]
+
+
+def _only(reader: DataFrameReader, suffixes: Sequence[str]) -> DataFrameReader:
+    return reader.option("pathGlobFilter", "*{" + ",".join(suffixes) + "}") if suffixes else reader
 
 
-def read_parquet(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    return spark.read.parquet(*_paths(path))
+def read_parquet(
+    spark: SparkSession, path: str | Sequence[str], suffixes: Sequence[str] = ()
+) -> DataFrame:
+    return _only(spark.read, suffixes).parquet(*_paths(path))
 
 
 def read_csv(
@@ -78,6 +103,7 @@ def read_csv(
     path: str | Sequence[str],
     multi_line: bool = True,
     na_values: Sequence[str] = (),
+    suffixes: Sequence[str] = (),
 ) -> DataFrame:
     """CSV with a header; all columns are strings, as the templates print them.
 
@@ -86,7 +112,8 @@ def read_csv(
     become null.
     """
     df = (
-        spark.read.option("header", True)
+        _only(spark.read, suffixes)
+        .option("header", True)
         .option("multiLine", multi_line)
         .option("quote", '"')
         .option("escape", '"')
@@ -101,10 +128,16 @@ def read_csv(
 
 
 def is_saved_dataset(spark: SparkSession, path: str) -> bool:
-    """A directory our own sink completed: a success mark and Parquet files."""
-    return files.exists(spark, path.rstrip("/") + "/_SUCCESS") and files.has_suffix_below(
-        spark, path, PARQUET_SUFFIX
-    )
+    """A Parquet directory our sinks completed: marked so, or made of partitions only.
+
+    Landing single files replaces partitions, which leaves no mark at the top.
+    """
+    if not files.has_suffix_below(spark, path, PARQUET_SUFFIX):
+        return False
+    if files.exists(spark, path.rstrip("/") + "/_SUCCESS"):
+        return True
+    directories = files.directories_in(spark, path)
+    return not _data_files(files.files_in(spark, path)) and any("=" in d.rsplit("/", 1)[-1] for d in directories)
 
 
 def reload_saved(spark: SparkSession, path: str) -> DataFrame:
@@ -141,9 +174,11 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
         ((PARQUET_SUFFIX,), read_parquet),
         ((CSV_SUFFIX,), read_csv),
     ):
-        matching = [f for f in held if files.suffix_of(f) in suffixes and _visible(f)]
-        if matching:
+        matching = _data_files(held, suffixes)
+        if matching and files.directories_in(spark, path):
             return read(spark, matching)
+        if matching:
+            return read(spark, path, suffixes=suffixes)
     raise ValueError(f"no supported data files in {path}")
 
 

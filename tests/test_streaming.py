@@ -1,0 +1,87 @@
+from pyspark.sql import functions as F
+
+from loomset.operators.metrics import metric_rollup
+from loomset.operators.render import render
+from loomset.streaming import jobs
+
+SCHEMA = "id long, instruction string, output string"
+
+
+def part(spark, path, start, end):
+    spark.range(start, end).selectExpr("id", "concat('i', id) instruction", "concat('o', id) output").coalesce(
+        1
+    ).write.mode("append").parquet(path)
+
+
+def test_only_new_files_are_ingested(spark, tmp_path):
+    source, output, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+
+    def run():
+        jobs.ingest_new_files(spark, source, output, checkpoint, SCHEMA, "chatml", max_files_per_trigger=1)
+        return spark.read.parquet(output)
+
+    part(spark, source, 0, 5)
+    assert run().count() == 5
+    assert run().count() == 5
+    part(spark, source, 5, 8)
+    done = run()
+    assert sorted(r["id"] for r in done.collect()) == list(range(8))
+    batch = render(spark.read.schema(SCHEMA).parquet(source), "chatml")
+    assert done.select("id", "text").exceptAll(batch.select("id", "text")).count() == 0
+
+
+def test_stream_prepares_like_a_table(spark, tmp_path):
+    source = str(tmp_path / "in")
+    schema = "id long, conversations array<struct<from:string,value:string>>"
+    rows = [(1, [("human", "x")]), (2, []), (3, [("gpt", "y")])]
+    spark.createDataFrame(rows, schema).write.parquet(source)
+    stream = jobs.prepare_stream(jobs.file_stream(spark, source, schema), "sharegpt")
+    assert stream.isStreaming
+    jobs.append_available(stream, str(tmp_path / "out"), str(tmp_path / "c"))
+    got = {r["id"]: r["text"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == {1: "### Human:\nx", 3: "### Assistant:\ny"}
+
+
+def log(spark, path, rows):
+    values = ", ".join(f"(TIMESTAMP_NTZ'2024-01-01 {t}', 'loss', {v}D)" for t, v in rows)
+    spark.sql(f"SELECT * FROM VALUES {values} AS t(ts, tag, value)").coalesce(1).write.mode("append").parquet(path)
+
+
+LOG_SCHEMA = "ts timestamp_ntz, tag string, value double"
+
+
+def test_late_rows_are_dropped_and_open_windows_wait(spark, tmp_path):
+    source, output, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+
+    def run():
+        windows = jobs.metric_rollup_stream(jobs.file_stream(spark, source, LOG_SCHEMA), "1 hour", "10 minutes")
+        jobs.append_available(windows, output, checkpoint)
+        rows = spark.read.parquet(output).collect()
+        return {str(r["window_start"])[11:16]: (r["points"], r["mean_value"]) for r in rows}
+
+    log(spark, source, [("00:10:00", 1.0), ("00:20:00", 3.0), ("01:05:00", 7.0)])
+    assert run() == {}
+    log(spark, source, [("00:50:00", 5.0), ("01:30:00", 9.0)])
+    assert run() == {"00:00": (3, 3.0)}
+    log(spark, source, [("00:59:00", 100.0), ("02:15:00", 1.0)])
+    assert run() == {"00:00": (3, 3.0), "01:00": (2, 8.0)}
+
+
+def test_stream_rollup_equals_batch_on_closed_windows(spark, sf_dir, tmp_path):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").withColumnRenamed("event_type", "tag")
+    source = str(tmp_path / "in")
+    events.select("ts", "tag", "value").coalesce(1).write.parquet(source)
+    windows = jobs.metric_rollup_stream(jobs.file_stream(spark, source, LOG_SCHEMA))
+    jobs.append_available(windows, str(tmp_path / "out"), str(tmp_path / "c"))
+    columns = ["window_start", "window_end", "tag", "points", "min_value", "max_value"]
+    got = spark.read.parquet(str(tmp_path / "out")).select(columns)
+    last = events.agg(F.max("ts").cast("timestamp").alias("t")).first()["t"]
+    timed = events.withColumn("ts", F.col("ts").cast("timestamp"))
+    want = metric_rollup(timed).filter(F.col("window_end") <= F.lit(last) - F.expr("INTERVAL 10 MINUTES")).select(columns)
+    assert got.count() == want.count() > 0
+    assert got.exceptAll(want).count() == 0
+
+
+def test_a_single_file_streams(spark, sf_dir):
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    assert jobs.file_stream(spark, f"{sf_dir}/events.parquet", schema).isStreaming
