@@ -53,11 +53,13 @@ def map_rows(
     df: DataFrame,
     fn: Callable[[dict[str, Any]], Mapping[str, Any]],
     returns: Mapping[str, str] | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Merge what a Python row function returns into each row.
 
     For formatters that cannot be written as a Column. Rows cross in Arrow
-    batches, no shuffle takes place; the parallelism is the input's.
+    batches. The parallelism is the input's, without a shuffle; ``partitions``
+    spreads an input of few parts over more tasks first.
     """
     returns = dict(returns or {"text": "string"})
     unknown = {t for t in returns.values() if t not in _RETURN_TYPES}
@@ -80,7 +82,8 @@ def map_rows(
                 )
             yield pa.RecordBatch.from_arrays(columns, names=kept_names + list(arrow_names))
 
-    return df.mapInArrow(apply, T.StructType(kept + added))
+    spread = df.repartition(partitions) if partitions else df
+    return spread.mapInArrow(apply, T.StructType(kept + added))
 
 
 def filter_rows(df: DataFrame, predicate: Callable[[dict[str, Any]], bool] | Column) -> DataFrame:

@@ -22,19 +22,28 @@ def assemble_conversations(
 ) -> DataFrame:
     """One ``conversations`` array per key, messages in turn order.
 
-    Two aggregations: turns are first gathered per (key, run of ``block``
-    turns), then the runs per key. A conversation that holds a large share of
-    all turns is thus collected and sorted by many tasks; the last task only
-    strings ready runs together. Turn numbers are unique within a conversation.
+    Turn numbers are unique within a conversation. If all lie below ``block``,
+    no conversation is longer than that and one aggregation gathers them. Else
+    turns are first gathered per (key, run of ``block`` turns) and then the
+    runs per key, so that a conversation with a large share of all turns is
+    collected and sorted by many tasks and the last one only strings ready runs
+    together. Which it is takes one look for a long turn number, which Parquet
+    mostly answers from its column statistics.
     """
     fields = fields or SHAREGPT_FIELDS
     message = F.struct(ref(order).alias("_at"), *[ref(src).alias(name) for name, src in fields.items()])
-    runs = turns.groupBy(ref(key), F.call_function("div", ref(order), F.lit(block)).alias("_run")).agg(
-        F.sort_array(F.collect_list(message)).alias("_messages")
-    )
-    joined = runs.groupBy(ref(key)).agg(
-        F.sort_array(F.collect_list(F.struct("_run", "_messages"))).alias("_runs")
-    )
-    in_order = F.flatten(F.transform("_runs", lambda r: r["_messages"]))
-    messages = F.transform(in_order, lambda m: F.struct(*[m[name].alias(name) for name in fields]))
-    return joined.select(ref(key), messages.alias("conversations"))
+    gathered = F.sort_array(F.collect_list(message))
+    beyond_one_run = (ref(order) >= block) | (ref(order) < 0)
+
+    if turns.select(ref(order)).filter(beyond_one_run).isEmpty():
+        in_order = turns.groupBy(ref(key)).agg(gathered.alias("_messages"))
+    else:
+        run = F.call_function("div", ref(order), F.lit(block))
+        runs = turns.groupBy(ref(key), run.alias("_run")).agg(gathered.alias("_messages"))
+        in_order = (
+            runs.groupBy(ref(key))
+            .agg(F.sort_array(F.collect_list(F.struct("_run", "_messages"))).alias("_runs"))
+            .select(ref(key), F.flatten(F.transform("_runs", lambda r: r["_messages"])).alias("_messages"))
+        )
+    messages = F.transform("_messages", lambda m: F.struct(*[m[name].alias(name) for name in fields]))
+    return in_order.select(ref(key), messages.alias("conversations"))

@@ -7,7 +7,7 @@ bytes of JSON files; data is read by Spark.
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from posixpath import basename, splitext
 
@@ -51,10 +51,11 @@ def holds_any_file(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath) and fs.listFiles(jpath, True).hasNext()
 
 
-def files_in(spark: SparkSession, directory: str) -> list[str]:
+def files_in(spark: SparkSession, directory: str, suffixes: Sequence[str] = ()) -> list[str]:
     """Full paths of the files directly in a directory, sorted by name."""
-    fs, jpath = _open_fs(spark, directory)
-    return sorted(s.getPath().toString() for s in fs.listStatus(jpath) if s.isFile())
+    names = "*{" + ",".join(suffixes) + "}" if suffixes else "*"
+    fs, pattern = _open_fs(spark, f"{escape_glob(directory.rstrip('/'))}/{names}")
+    return sorted(s.getPath().toString() for s in fs.globStatus(pattern) or [] if s.isFile())
 
 
 def directories_in(spark: SparkSession, directory: str) -> list[str]:

@@ -46,11 +46,12 @@ def read_prefix(
     found = files.under_prefix(spark, prefix, options)
     if not found:
         return None
-    reader = spark.read.format(format).options(**(options or {})).option("recursiveFileLookup", True)
-    if format == "json":
-        reader = reader.option("mode", "FAILFAST")
-    elif format == "csv":
-        reader = reader.options(header=True, multiLine=True, escape='"', mode="FAILFAST")
+    reader = (
+        spark.read.format(format)
+        .options(**readers.FORMAT_OPTIONS.get(format, {}))
+        .options(**(options or {}))
+        .option("recursiveFileLookup", True)
+    )
     return reader.load([files.escape_glob(p) for p in found])
 
 

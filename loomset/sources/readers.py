@@ -19,6 +19,12 @@ SOURCES = ("huggingface", "local", "s3")
 DEFAULT_SPLIT = "train"
 
 
+# Reader options per file format. Broken records fail; CSV quotes as RFC 4180 has it.
+FORMAT_OPTIONS = {
+    "json": {"mode": "FAILFAST"},
+    "csv": {"header": True, "multiLine": True, "quote": '"', "escape": '"', "mode": "FAILFAST"},
+}
+
 # Files of a directory whose layout is looked at before the rest is taken to be lines.
 PEEKED_FILES = 200
 
@@ -55,7 +61,7 @@ def read_json(
         lines, arrays = _by_layout(spark, given, suffixes)
 
     def load(paths: list[str], multi_line: bool) -> DataFrame:
-        reader = _only(spark.read, suffixes).option("mode", "FAILFAST").option("multiLine", multi_line)
+        reader = _only(spark.read, suffixes).options(**FORMAT_OPTIONS["json"], multiLine=multi_line)
         if schema is not None:
             reader = reader.schema(schema)
         return reader.json(_paths(paths))
@@ -72,7 +78,7 @@ def _by_layout(
     listed = []
     for p in given:
         if files.is_dir(spark, p):
-            listed += _data_files(files.files_in(spark, p), suffixes)
+            listed += _data_files(files.files_in(spark, p, suffixes))
         else:
             listed.append(p)
     heads = files.first_bytes(spark, listed[:PEEKED_FILES])
@@ -82,10 +88,9 @@ def _by_layout(
     return [p for p in listed if heads[p] != b"["], [p for p in listed if heads[p] == b"["]
 
 
-def _data_files(paths: list[str], suffixes: Sequence[str] = ()) -> list[str]:
-    """Those that Spark would read: not hidden, and with one of the suffixes if any are given."""
-    shown = [p for p in paths if not p.rsplit("/", 1)[-1].startswith(("_", "."))]
-    return [p for p in shown if not suffixes or files.suffix_of(p) in suffixes]
+def _data_files(paths: list[str]) -> list[str]:
+    """Those that Spark would read, which skips hidden names."""
+    return [p for p in paths if not p.rsplit("/", 1)[-1].startswith(("_", "."))]
 
 
 def _only(reader: DataFrameReader, suffixes: Sequence[str]) -> DataFrameReader:
@@ -111,15 +116,8 @@ def read_csv(
     file; turn it off for large files that have none. Values in ``na_values``
     become null.
     """
-    df = (
-        _only(spark.read, suffixes)
-        .option("header", True)
-        .option("multiLine", multi_line)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("mode", "FAILFAST")
-        .csv(_paths(path))
-    )
+    options = {**FORMAT_OPTIONS["csv"], "multiLine": multi_line}
+    df = _only(spark.read, suffixes).options(**options).csv(_paths(path))
     if not na_values:
         return df
     return df.select(
@@ -132,12 +130,13 @@ def is_saved_dataset(spark: SparkSession, path: str) -> bool:
 
     Landing single files replaces partitions, which leaves no mark at the top.
     """
-    if not files.has_suffix_below(spark, path, PARQUET_SUFFIX):
-        return False
-    if files.exists(spark, path.rstrip("/") + "/_SUCCESS"):
+    base = path.rstrip("/")
+    if files.exists(spark, f"{base}/_SUCCESS") and files.files_in(spark, base, [PARQUET_SUFFIX]):
         return True
-    directories = files.directories_in(spark, path)
-    return not _data_files(files.files_in(spark, path)) and any("=" in d.rsplit("/", 1)[-1] for d in directories)
+    partitions = [d for d in files.directories_in(spark, base) if "=" in d.rsplit("/", 1)[-1]]
+    if not partitions or _data_files(files.files_in(spark, base)):
+        return False
+    return any(files.has_suffix_below(spark, d, PARQUET_SUFFIX) for d in partitions)
 
 
 def reload_saved(spark: SparkSession, path: str) -> DataFrame:
@@ -168,13 +167,12 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
         return read_file(spark, path)
     if is_saved_dataset(spark, path):
         return reload_saved(spark, path)
-    held = files.files_in(spark, path)
     for suffixes, read in (
         (JSON_SUFFIXES, read_json),
         ((PARQUET_SUFFIX,), read_parquet),
         ((CSV_SUFFIX,), read_csv),
     ):
-        matching = _data_files(held, suffixes)
+        matching = _data_files(files.files_in(spark, path, suffixes))
         if matching and files.directories_in(spark, path):
             return read(spark, matching)
         if matching:

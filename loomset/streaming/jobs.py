@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from loomset.functions.text import ref
 from loomset.operators.metrics import metric_rollup
 from loomset.plans.preparation import prepared_rows
-from loomset.sources import files
+from loomset.sources import files, readers
 
 
 def file_stream(
@@ -26,7 +26,11 @@ def file_stream(
 
     A single file is streamed as its directory, filtered to its name.
     """
-    reader = spark.readStream.format(format).schema(schema).options(**options)
+    reader = (
+        spark.readStream.format(format)
+        .schema(schema)
+        .options(**{**readers.FORMAT_OPTIONS.get(format, {}), **options})
+    )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if files.is_dir(spark, path):

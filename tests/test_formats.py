@@ -1,10 +1,13 @@
 """Golden texts and odd rows for each format."""
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from loomset.functions import formats
 from loomset.operators.render import FORMATS, filter_rows, map_rows, render
+from loomset.plans.preparation import prepared_rows
 
 from conftest import plan_of
 
@@ -231,6 +234,49 @@ def test_python_row_function(spark):
         map_rows(df, fn, {"text": "varchar"})
 
 
+def test_python_row_function_over_more_tasks(spark):
+    df = spark.range(20).coalesce(1)
+    out = map_rows(df, lambda r: {"text": str(r["id"])}, partitions=3)
+    assert out.rdd.getNumPartitions() == 3
+    assert sorted(int(t) for t in texts(out)) == list(range(20))
+
+
+def test_only_formats_that_can_be_blank_are_filtered(spark):
+    df = spark.createDataFrame([("i", "c", "o", [("human", "x")])],
+                               ALPACA_SCHEMA + ", conversations array<struct<from:string,value:string>>")
+    for name in FORMATS:
+        assert ("Filter" in plan_of(prepared_rows(df, name))) == (name == "sharegpt")
+    assert "Filter" not in plan_of(prepared_rows(df, "sharegpt", keep_empty=True))
+    assert "Filter" in plan_of(prepared_rows(df, lambda d: F.col("input")))
+
+
+ROLES = ("system", "human", "user", "gpt", "assistant", "tool", "User", "", None)
+HEADINGS = {"system": "System", "human": "Human", "user": "User", "gpt": "Assistant", "assistant": "Assistant"}
+TALKS = st.lists(
+    st.one_of(
+        st.none(),
+        st.lists(st.tuples(st.sampled_from(ROLES), st.one_of(st.none(), st.text(max_size=5))), max_size=6),
+    ),
+    min_size=1,
+    max_size=20,
+)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(talks=TALKS)
+def test_sharegpt_against_brute_force(spark, talks):
+    talks = [
+        t if t is None else [(r, v if v is None else v.encode("utf8", "ignore").decode()) for r, v in t]
+        for t in talks
+    ]
+    df = spark.createDataFrame(list(enumerate(talks)), "id int, " + FROM_VALUE)
+    want = {
+        i: "\n\n".join(f"### {HEADINGS[r]}:\n{v or ''}" for r, v in talk or [] if r in HEADINGS)
+        for i, talk in enumerate(talks)
+    }
+    assert {r["id"]: r["text"] for r in render(df, "sharegpt").collect()} == want
+
+
 def test_python_filter(spark):
     df = spark.createDataFrame([(i, "x" * (i % 3)) for i in range(100)], "i int, s string")
     kept = filter_rows(df, lambda r: len(r["s"].strip()) > 0)

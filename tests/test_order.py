@@ -132,11 +132,20 @@ def test_assembly_keeps_turn_order_across_runs(spark):
         assert len(rows) == 201 and rows[300] == ["300"]
 
 
-def test_assembly_spreads_a_long_conversation(spark):
-    turns = spark.range(10_000).selectExpr("id div 5000 conv_id", "id turn", "'user' role", "'x' text")
+def test_assembly_spreads_only_long_conversations(spark):
+    turns = spark.range(10_000).selectExpr("id div 5000 conv_id", "id % 5000 turn", "'user' role", "'x' text")
     plan = plan_of(assemble_conversations(turns))
-    inner = plan[plan.rindex("Exchange"):]
-    assert inner.startswith("Exchange hashpartitioning(conv_id") and "_groupingexpression" in inner.split("\n")[0]
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line]
+    assert len(exchanges) == 2 and "_groupingexpression" in exchanges[-1]
+    short = plan_of(assemble_conversations(turns.filter("turn < 1000")))
+    assert short.count("Exchange") == 1
+
+
+def test_assembly_with_negative_turns(spark):
+    turns = spark.createDataFrame([(1, t, "user", str(t)) for t in (-3, 2, 0, -1)],
+                                  "conv_id int, turn int, role string, text string")
+    row = assemble_conversations(turns, block=2).first()
+    assert [m["value"] for m in row["conversations"]] == ["-3", "-1", "0", "2"]
 
 
 def test_metric_rollup_and_latest(spark):

@@ -5,7 +5,7 @@ import inspect
 import pytest
 
 import __spark_entry__ as contract
-from compare import check, duck
+from verify_queries import check, duck
 
 ROWS_ONLY = {"verify_landing", "landing_counters"}
 

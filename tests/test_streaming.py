@@ -85,3 +85,15 @@ def test_stream_rollup_equals_batch_on_closed_windows(spark, sf_dir, tmp_path):
 def test_a_single_file_streams(spark, sf_dir):
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     assert jobs.file_stream(spark, f"{sf_dir}/events.parquet", schema).isStreaming
+
+
+def test_json_and_csv_stream_with_the_readers_rules(spark, tmp_path):
+    (tmp_path / "j").mkdir()
+    (tmp_path / "j" / "a.jsonl").write_text('{"id": 1, "instruction": "i", "output": "o"}\n')
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "a.csv").write_text('id,instruction,output\n1,"i ""q""\ni",o\n')
+    for kind, want in (("json", "i"), ("csv", 'i "q"\ni')):
+        out = str(tmp_path / f"{kind}-out")
+        stream = jobs.file_stream(spark, str(tmp_path / kind[0]), SCHEMA, kind)
+        jobs.append_available(stream, out, str(tmp_path / f"{kind}-c"))
+        assert [r["instruction"] for r in spark.read.parquet(out).collect()] == [want]
