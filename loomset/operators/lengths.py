@@ -45,3 +45,19 @@ def _tokenize_udf(make_tokenizer: Callable[[], Tokenizer], token_type: str):
             yield texts.map(tokenizer)
 
     return F.pandas_udf(tokenize, f"array<{token_type}>")
+
+
+def tokenizer_file(path: str, add_special_tokens: bool = True) -> Callable[[], Tokenizer]:
+    """For ``make_tokenizer``: a model's subword ids from its ``tokenizer.json``.
+
+    The file must be readable at this path on every executor.
+    """
+
+    def make() -> Tokenizer:
+        from tokenizers import Tokenizer as FileTokenizer
+
+        loaded = FileTokenizer.from_file(path)
+        loaded.no_truncation()
+        return lambda text: loaded.encode(text, add_special_tokens=add_special_tokens).ids
+
+    return make

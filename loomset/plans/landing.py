@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -10,6 +11,8 @@ from pyspark.sql import SparkSession
 from loomset.sources import landing, readers
 from loomset.sources.sinks import save_dataset
 
+logger = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class LandingReport:
@@ -59,7 +62,9 @@ def land(
                 file_format,
                 landing.s3_options(bucket, endpoint_url, region),
             )
-            if found is not None:
+            if found is None:
+                logger.warning("no files under s3://%s/%s; is the prefix right?", bucket, prefix)
+            else:
                 save_dataset(found, output)
 
     if skip_if_exists:

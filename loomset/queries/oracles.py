@@ -160,6 +160,12 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, 'v2' AS version, text FROM documents WHERE doc_id % 2 <> 0""",
     "save_prepared": _SHAREGPT,
     "skip_if_exists": _DOCUMENTS,
+    "verify_landing": """
+        SELECT true AS has_files, cast(sum(strlen(text) + 1) AS BIGINT) AS num_bytes FROM documents""",
+    "landing_counters": """
+        SELECT true AS has_files, cast(sum(strlen(cast(doc_id AS VARCHAR)) + 1) AS BIGINT) AS num_bytes,
+               count(*) AS num_rows
+        FROM documents""",
     "prep_manifest": f"""{_ROWS}
         SELECT 'conversations' AS source, 'chatml' AS format, count(*) AS num_samples,
                'conv_id,turn,instruction,input,output,text' AS columns FROM pairs""",

@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 
 
 def build_session(app: str = "loomset", master: str | None = None, **conf) -> SparkSession:
-    """A session with UTC timestamps and AQE; everything else is the cluster's own.
+    """A session with UTC timestamps, AQE and exact column names; the rest is the cluster's own.
 
     Keyword arguments are Spark settings with ``__`` in place of dots, e.g.
     ``spark__sql__shuffle__partitions=8``.
@@ -18,6 +18,7 @@ def build_session(app: str = "loomset", master: str | None = None, **conf) -> Sp
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.caseSensitive", "true")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
     )

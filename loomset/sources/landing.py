@@ -110,11 +110,12 @@ def landing_report(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def landing_counters(spark: SparkSession, path: str) -> DataFrame:
-    """Rows, files and bytes of a landed dataset, from footers and file sizes."""
+def landing_counters(spark: SparkSession, path: str, format: str = "parquet") -> DataFrame:
+    """Files, bytes and rows of a landed dataset; for Parquet the rows come from footers."""
     sizes = landing_report(spark, path).withColumn("num_rows", F.lit(0))
+    landed = spark.read.format(format).options(**readers.FORMAT_OPTIONS.get(format, {}))
     rows = (
-        spark.read.parquet(files.escape_glob(path))
+        landed.load(files.escape_glob(path))
         .agg(F.count(F.lit(1)).alias("num_rows"))
         .select(F.lit(0).alias("num_files"), F.lit(0).alias("num_bytes"), "num_rows")
     )

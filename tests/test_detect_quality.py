@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomset.operators import detect, quality
-from loomset.operators.lengths import token_cap
+from loomset.operators.lengths import token_cap, tokenizer_file
 
 from conftest import plan_of
 
@@ -120,3 +120,16 @@ def test_token_cap_with_a_given_tokenizer(spark):
     out = token_cap(df, 2, make_tokenizer=characters, token_type="long")
     got = {r["id"]: (r["tokens"], r["n_tokens"], r["truncated"]) for r in out.collect()}
     assert got == {1: ([97, 98], 4, True), 2: ([101], 1, False)}
+
+
+def test_token_cap_with_a_tokenizer_file(spark, tmp_path):
+    tokenizers = pytest.importorskip("tokenizers")
+    model = tokenizers.models.WordLevel({"[UNK]": 0, "a": 1, "b": 2}, unk_token="[UNK]")
+    made = tokenizers.Tokenizer(model)
+    made.pre_tokenizer = tokenizers.pre_tokenizers.Whitespace()
+    path = str(tmp_path / "tokenizer.json")
+    made.save(path)
+    df = spark.createDataFrame([(1, "a b c a"), (2, "")], "id int, text string")
+    out = token_cap(df, 3, make_tokenizer=tokenizer_file(path), token_type="long")
+    got = {r["id"]: (r["tokens"], r["n_tokens"], r["truncated"]) for r in out.collect()}
+    assert got == {1: ([1, 2, 0], 4, True), 2: ([], 0, False)}

@@ -203,6 +203,14 @@ def test_render_overwrites_text_in_place_and_keeps_the_rest(spark):
     assert out.columns == ["text", "instruction", "output"] and "old" not in texts(out)[0]
 
 
+def test_column_names_differ_by_case(spark):
+    df = spark.createDataFrame([("kept", "i", "o")], "Text string, instruction string, output string")
+    out = render(df, "chatml")
+    assert out.columns == ["Text", "instruction", "output", "text"]
+    assert out.first()["Text"] == "kept" and prepared_rows(df, lambda d: F.col("output")).count() == 1
+    assert one(spark, ("I", "o"), "Instruction string, output string", "alpaca").endswith("Instruction:\n\n\n### Response:\no")
+
+
 def test_builtin_formats_stay_in_the_jvm(spark):
     df = spark.createDataFrame([("i", "c", "o", [("human", "x")])],
                                ALPACA_SCHEMA + ", conversations array<struct<from:string,value:string>>")

@@ -35,3 +35,17 @@ def test_as_text(spark):
     assert [tuple(r) for r in shown] == [("", "", "7"), ("a", "True", "8"), ("b", "False", "None")]
     with pytest.raises(ValueError):
         as_text(F.col("s"), nulls="drop")
+
+
+def test_floats_print_as_in_python(spark):
+    values = [0.0, -0.0, 1.0, 0.5, -2.25, 100.0, 1e6, 9999999.0, 1e7, -1e7, 12345678.9, 123456789.0, 1e15, 1.5e15,
+              123456789012345.6, 9007199254740993.0, 1e16, 1.5e16, -1.25e20, 1e100, 1e300, 0.001, 0.0012, 0.0001,
+              -0.00015, 0.00001, 1.5e-05, 1e-10, 2.5e-300, 3e-4, 2e-4, 1.9e-4, float("nan"), float("inf"), -float("inf")]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
+    shown = [r[0] for r in df.select(as_text(F.col("v"), T.DoubleType())).collect()]
+    assert shown == [str(v) for v in values] + [""]
+
+
+def test_single_precision_prints_widened(spark):
+    row = spark.sql("SELECT cast(0.1 AS float) v").select(as_text(F.col("v"), T.FloatType())).first()
+    assert row[0] == "0.10000000149011612"
