@@ -5,14 +5,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from loomset.functions.text import has_text, ref
 from loomset.session import scratch_dir
 
-# Up to here a top-k sort keeps its rows in memory; beyond it a cut key is found first.
-TOP_K_ROWS = 100_000
+# Up to here leading rows are found by top-k, beyond it by a full sort of the keys.
+TOP_K_ROWS = 10_000
+# Tasks that thin out the candidates of a top-k before the last one.
+TOP_K_TASKS = 1_000
 PREVIEW_CHARS = 500
 
 
@@ -51,10 +53,7 @@ def first_n(df: DataFrame, n: int | None, key: str | Sequence[str] | None = None
     if n < 0:
         raise ValueError(f"n must not be negative, got {n}")
     if key is not None:
-        keys = [key] if isinstance(key, str) else list(key)
-        if n <= TOP_K_ROWS:
-            return df.orderBy(*[ref(k) for k in keys]).limit(n)
-        return _up_to_nth_key(df, n, keys)
+        return _up_to_nth_key(df, n, [key] if isinstance(key, str) else list(key))
     cut = _nth_row(df, n)
     if cut is None:
         return df
@@ -94,13 +93,23 @@ def _leading_rows(one_file: DataFrame, n: int) -> DataFrame:
     """The first ``n`` rows of a file that does not number its rows.
 
     A task reads its part of the file from top to bottom, so the part's start
-    and the running id within the task give the order.
+    and the running id within the task give the order. Counts per part tell how
+    far into the file the rows reach; only that stretch is sorted. (Parts may be
+    cut differently the next time, but a row's part never starts behind it.)
     """
-    placed = one_file.select(
-        "*",
-        F.col("_metadata.file_block_start").alias("_part"),
-        F.monotonically_increasing_id().alias("_nth"),
-    ).orderBy("_part", "_nth")
+    start = F.col("_metadata.file_block_start")
+    parts = one_file.groupBy(start.alias("start"), F.col("_metadata.file_block_length").alias("length")).agg(
+        F.count(F.lit(1)).alias("held")
+    )
+    so_far = F.sum("held").over(
+        Window.orderBy("start").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    last = parts.withColumn("so_far", so_far).filter(F.col("so_far") >= n).orderBy("start").first()
+    placed = (
+        one_file.filter(start < last["start"] + last["length"])
+        .select("*", start.alias("_part"), F.monotonically_increasing_id().alias("_nth"))
+        .orderBy("_part", "_nth")
+    )
     if n <= TOP_K_ROWS:
         return placed.limit(n).drop("_part", "_nth")
     path = scratch_dir(one_file.sparkSession, "first-n-rows")
@@ -109,22 +118,47 @@ def _leading_rows(one_file: DataFrame, n: int) -> DataFrame:
 
 
 def _up_to_nth_key(df: DataFrame, n: int, keys: list[str]) -> DataFrame:
-    """Rows whose key is at most the n-th smallest, without moving the rows.
+    """Rows whose key is at most the n-th smallest; only keys are sorted, rows stay where they are."""
+    only_keys = df.select(*[ref(k) for k in keys])
+    last = _nth_key_by_top_k(only_keys, n) if n <= TOP_K_ROWS else _nth_key_by_sort(only_keys, n)
+    if last is None:
+        return df
+    bounds = {k: F.lit(last[k]).cast(df.schema[k].dataType) for k in keys}
+    first_bound = ref(keys[0]).isNull()
+    if last[keys[0]] is not None:
+        # In this form the scan can skip row groups.
+        first_bound = first_bound | (ref(keys[0]) <= bounds[keys[0]])
+    if len(keys) == 1:
+        return df.filter(first_bound)
+    whole = F.struct(*[ref(k).alias(k) for k in keys]) <= F.struct(*[b.alias(k) for k, b in bounds.items()])
+    return df.filter(first_bound & whole)
+
+
+def _nth_key_by_top_k(only_keys: DataFrame, n: int) -> Row | None:
+    """Each task keeps its n smallest keys, some tasks thin those out, one finishes."""
+    names = [ref(k) for k in only_keys.columns]
+    within = Window.partitionBy("_salt").orderBy(*names)
+    candidates = (
+        only_keys.withColumn("_salt", F.spark_partition_id() % TOP_K_TASKS)
+        .withColumn("_nth", F.row_number().over(within))
+        .filter(F.col("_nth") <= n)
+    )
+    leading = candidates.select(*names).orderBy(*names).limit(n)
+    end = leading.agg(F.max(F.struct(*names)).alias("last"), F.count(F.lit(1)).alias("held")).first()
+    return end["last"] if end["held"] == n else None
 
-    The keys alone are sorted over all tasks and written out; the files then
-    number them, and one row, the n-th key, comes back as the filter's bound.
-    """
-    spark = df.sparkSession
+
+def _nth_key_by_sort(only_keys: DataFrame, n: int) -> Row | None:
+    """The keys are sorted over all tasks and written out; the files then number them."""
+    spark = only_keys.sparkSession
     path = scratch_dir(spark, "first-n-keys")
-    df.select(*[ref(k) for k in keys]).orderBy(*[ref(k) for k in keys]).write.parquet(path)
+    only_keys.orderBy(*[ref(k) for k in only_keys.columns]).write.parquet(path)
     ordered = spark.read.parquet(path)
     cut = _nth_row(ordered, n)
     if cut is None:
-        return df
+        return None
     at = (F.col("_metadata.file_path") == cut[0]) & (F.col("_metadata.row_index") == cut[1])
-    last = ordered.filter(at).first()
-    bound = F.struct(*[F.lit(last[k]).cast(df.schema[k].dataType).alias(k) for k in keys])
-    return df.filter(F.struct(*[ref(k).alias(k) for k in keys]) <= bound)
+    return ordered.filter(at).first()
 
 
 def preview(df: DataFrame, key: str | Sequence[str] | None = None, column: str = "text") -> DataFrame:

@@ -77,7 +77,8 @@ def under_prefix(
 ) -> list[str]:
     """Files and directories whose path starts with a string, but for a file that equals it."""
     fs, pattern = _open_fs(spark, escape_glob(prefix) + "*", options)
-    exact = spark._jvm.org.apache.hadoop.fs.Path(prefix.rstrip("/") or "/").toUri().getPath()
+    itself = spark._jvm.org.apache.hadoop.fs.Path(prefix.rstrip("/") or "/")
+    exact = fs.makeQualified(itself).toUri().getPath()
     found = []
     for status in fs.globStatus(pattern) or []:
         if status.isFile() and status.getPath().toUri().getPath() == exact:
