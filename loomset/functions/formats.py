@@ -42,12 +42,12 @@ def alpaca(df: DataFrame, variant: str = "preparer", nulls: str = "empty") -> Co
     ).otherwise(tpl.fill(plain, **values))
 
 
-def message_fields(df: DataFrame, column: str = "conversations") -> tuple[T.StructType, list[str]]:
-    """The message struct of a conversation column and its field names."""
+def message_fields(df: DataFrame, column: str = "conversations") -> T.StructType:
+    """The message struct of a conversation column."""
     dtype = df.schema[column].dataType
     if not isinstance(dtype, T.ArrayType) or not isinstance(dtype.elementType, T.StructType):
         raise TypeError(f"{column!r} must be an array of message structs, found {dtype.simpleString()}")
-    return dtype.elementType, dtype.elementType.names
+    return dtype.elementType
 
 
 def _message_value(message: Column, struct: T.StructType, candidates, keys: str) -> Column:
@@ -66,7 +66,7 @@ def kept_messages(df: DataFrame, column: str = "conversations", keys: str = "sch
     """The messages whose role is one of the five rendered ones, in order."""
     if keys not in ("schema", "row"):
         raise ValueError(f"keys must be 'schema' or 'row', got {keys!r}")
-    struct, _ = message_fields(df, column)
+    struct = message_fields(df, column)
     roles = tpl.SHAREGPT_NAMED_ROLES + tpl.SHAREGPT_ASSISTANT_ROLES
     return F.filter(
         ref(column), lambda m: _message_value(m, struct, MESSAGE_ROLE_FIELDS, keys).isin(*roles)
@@ -85,19 +85,18 @@ def sharegpt(
     """
     if column not in df.columns:
         return F.lit("")
-    struct, _ = message_fields(df, column)
+    struct = message_fields(df, column)
 
     def block(m: Column) -> Column:
         role = _message_value(m, struct, MESSAGE_ROLE_FIELDS, keys)
         content = _message_value(m, struct, MESSAGE_CONTENT_FIELDS, keys)
-        heading = F.when(role.isin(*tpl.SHAREGPT_ASSISTANT_ROLES), F.lit("Assistant")).otherwise(
-            F.initcap(role)
-        )
-        return tpl.fill(
-            "### {heading}:\n{content}", heading=heading, content=as_text(content, T.StringType(), nulls)
-        )
-
-    blocks = F.transform(kept_messages(df, column, keys), block)
+        heading = F.when(role.isin(*tpl.SHAREGPT_ASSISTANT_ROLES), F.lit("### Assistant:\n"))
+        for name in tpl.SHAREGPT_NAMED_ROLES:
+            heading = heading.when(role == name, F.lit(f"### {name.capitalize()}:\n"))
+        # Null for any other role, and joining leaves nulls out.
+        return F.concat(heading, as_text(content, T.StringType(), nulls))
+
+    blocks = F.transform(ref(column), block)
     return F.coalesce(F.array_join(blocks, tpl.SHAREGPT_SEPARATOR), F.lit(""))
 
 
