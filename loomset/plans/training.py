@@ -24,12 +24,16 @@ def training_rows(
     key: str | Sequence[str] | None = None,
     seed: int = 42,
     max_seq_length: int | None = None,
+    rows_per_slice: int = 1_000_000,
 ) -> DataFrame:
     """Key, ``text`` and seeded ``position`` of every row (and its tokens, if capped).
 
     Without a key, rows are known by file and row index, which Parquet gives.
+    The rows are counted first (from footers, for Parquet) so that the number of
+    slices they are ordered in grows with them.
     """
     df = readers.read_source(spark, source, path, split, revision)
+    slices = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // rows_per_slice))
     if key is None:
         if not quality.numbers_rows(df):
             raise ValueError("this source does not number its rows: name a unique key, or save it first")
@@ -41,7 +45,7 @@ def training_rows(
     df = detect.training_projection(df, text_field, keep=keys)
     if max_seq_length is not None:
         df = lengths.token_cap(df, max_seq_length)
-    return order.seeded_order(df, keys, seed)
+    return order.seeded_order(df, keys, seed, slices)
 
 
 def export_for_ranks(rows: DataFrame, output: str, world_size: int, rows_per_file: int = 1_000_000) -> None:

@@ -108,23 +108,36 @@ def read_csv(
     path: str | Sequence[str],
     multi_line: bool = True,
     na_values: Sequence[str] = (),
+    infer_types: bool = False,
     suffixes: Sequence[str] = (),
 ) -> DataFrame:
-    """CSV with a header; all columns are strings, as the templates print them.
+    """CSV with a header; columns are strings, so texts stay as they were written.
 
     Quoted newlines need ``multi_line``, which makes one task read a whole
     file; turn it off for large files that have none. Values in ``na_values``
-    become null.
+    become null. ``infer_types`` reads the data once more beforehand and turns
+    numbers and truth values into such, so that ``1.50`` prints as ``1.5``;
+    dates stay strings.
     """
     options = {**FORMAT_OPTIONS["csv"], "multiLine": multi_line}
-    df = _only(spark.read, suffixes).options(**options).csv(_paths(path))
+    reader = _only(spark.read, suffixes).options(**options)
+    if infer_types:
+        found = reader.option("inferSchema", True).csv(_paths(path)).schema
+        reader = reader.schema(T.StructType([_undated(f) for f in found.fields]))
+    df = reader.csv(_paths(path))
     if not na_values:
         return df
     return df.select(
-        *[F.when(~ref(c).isin(*na_values), ref(c)).alias(c) for c in df.columns]
+        *[F.when(~ref(c).cast("string").isin(*na_values), ref(c)).alias(c) for c in df.columns]
     )
 
 
+def _undated(field: T.StructField) -> T.StructField:
+    if isinstance(field.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return T.StructField(field.name, T.StringType())
+    return field
+
+
 def is_saved_dataset(spark: SparkSession, path: str) -> bool:
     """A Parquet directory our sinks completed: marked so, or made of partitions only.
 

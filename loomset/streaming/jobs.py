@@ -7,6 +7,7 @@ from posixpath import split
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from loomset.functions.text import ref
 from loomset.operators.metrics import metric_rollup
@@ -55,6 +56,19 @@ def append_available(stream: DataFrame, output: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
+def append_continuously(
+    stream: DataFrame, output: str, checkpoint: str, every: str = "30 seconds"
+) -> StreamingQuery:
+    """Keep appending what arrives, looking again at the given interval, until stopped."""
+    return (
+        stream.writeStream.format("parquet")
+        .outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .trigger(processingTime=every)
+        .start(output)
+    )
+
+
 def prepare_stream(stream: DataFrame, format: str | Callable[..., Column], **options) -> DataFrame:
     """Render and filter a stream; stateless, the same expressions as for a table."""
     return prepared_rows(stream, format, **options)

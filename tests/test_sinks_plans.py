@@ -10,6 +10,8 @@ from loomset.plans.training import SOURCE_KEY, export_for_ranks, training_rows
 from loomset.session import scratch_dir
 from loomset.sources import readers, sinks
 
+from conftest import plan_of
+
 
 def write_lines(path, rows):
     path.write_text("".join(json.dumps(r) + "\n" for r in rows))
@@ -152,6 +154,16 @@ def test_prepared_alpaca_is_rendered_anew_for_training(spark, tmp_path):
     assert sorted(r["position"] for r in read_back.collect()) == list(range(40))
 
 
+def test_slices_grow_with_the_rows(spark, tmp_path):
+    path = str(tmp_path / "saved")
+    sinks.save_dataset(spark.range(100).selectExpr("cast(id AS string) text"), path)
+    few = training_rows(spark, "local", path)
+    many = training_rows(spark, "local", path, rows_per_slice=9)
+    assert "partition_id(_slice" in plan_of(many) and ", 12), REPARTITION_BY_NUM" in plan_of(many)
+    assert ", 4), REPARTITION_BY_NUM" in plan_of(few)
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect()))
+
+
 def test_training_rows_with_key_and_cap(spark, tmp_path):
     source = write_lines(tmp_path / "a.jsonl", [{"id": i, "text": "a b c"} for i in range(10)])
     with pytest.raises(ValueError, match="key"):

@@ -76,6 +76,17 @@ def test_csv(spark, tmp_path):
     assert [r["text"] for r in nulled] == ["two\nlines", None, " padded "]
 
 
+def test_csv_with_inferred_types(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text("a,b,c,d,e\n1,1.50,true,2024-01-02,x\n2,NA,false,2024-01-03,NA\n")
+    typed = readers.read_csv(spark, str(path), infer_types=True)
+    assert dict(typed.dtypes)["a"] == "int" and dict(typed.dtypes)["c"] == "boolean"
+    assert dict(typed.dtypes)["d"] == "string"
+    path.write_text("a,b,c,d,e\n1,1.50,true,2024-01-02,x\n")
+    row = readers.read_csv(spark, str(path), infer_types=True, na_values=["x"]).first()
+    assert tuple(row) == (1, 1.5, True, "2024-01-02", None)
+
+
 def test_suffixes(spark, tmp_path):
     other = tmp_path / "a.txt"
     other.write_text("id,text\n1,x\n")

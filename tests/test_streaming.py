@@ -97,3 +97,16 @@ def test_json_and_csv_stream_with_the_readers_rules(spark, tmp_path):
         stream = jobs.file_stream(spark, str(tmp_path / kind[0]), SCHEMA, kind)
         jobs.append_available(stream, out, str(tmp_path / f"{kind}-c"))
         assert [r["instruction"] for r in spark.read.parquet(out).collect()] == [want]
+
+
+def test_appending_continuously(spark, tmp_path):
+    source, output = str(tmp_path / "in"), str(tmp_path / "out")
+    part(spark, source, 0, 3)
+    query = jobs.append_continuously(jobs.file_stream(spark, source, SCHEMA), output, str(tmp_path / "c"), "1 second")
+    try:
+        query.processAllAvailable()
+        part(spark, source, 3, 5)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert sorted(r["id"] for r in spark.read.parquet(output).collect()) == list(range(5))
