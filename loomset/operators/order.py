@@ -103,6 +103,7 @@ def export_shards(
         assign_ranks(df, world_size, position)
         .sortWithinPartitions("rank", position)
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
         .option("maxRecordsPerFile", rows_per_file)
         .partitionBy("rank")
         .parquet(path)

@@ -52,6 +52,8 @@ def first_n(df: DataFrame, n: int | None, key: str | Sequence[str] | None = None
         return df
     if n < 0:
         raise ValueError(f"n must not be negative, got {n}")
+    if key is None and not _has(df, "_metadata.file_path"):
+        raise ValueError("these rows are not straight from files of one kind: name a unique key")
     if key is not None:
         return _up_to_nth_key(df, n, [key] if isinstance(key, str) else list(key))
     cut = _nth_row(df, n)
@@ -66,8 +68,12 @@ def first_n(df: DataFrame, n: int | None, key: str | Sequence[str] | None = None
 
 def numbers_rows(df: DataFrame) -> bool:
     """Whether the source gives each row its index within the file, as Parquet does."""
+    return _has(df, "_metadata.row_index")
+
+
+def _has(df: DataFrame, field: str) -> bool:
     try:
-        df.select("_metadata.row_index")
+        df.select(field)
     except AnalysisException:
         return False
     return True

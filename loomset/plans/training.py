@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,10 @@ from pyspark.sql import functions as F
 from loomset.operators import detect, lengths, order, quality
 from loomset.sources import readers
 
+# Rows ordered by one task: enough to be worth a task, and what one can still sort.
+ROWS_PER_SLICE = 250_000
+MAX_ROWS_PER_SLICE = 10_000_000
+
 # Names given to a file's path and a row's index in it.
 SOURCE_KEY = ("source_file", "source_row")
 
@@ -24,7 +29,7 @@ def training_rows(
     key: str | Sequence[str] | None = None,
     seed: int = 42,
     max_seq_length: int | None = None,
-    rows_per_slice: int = 1_000_000,
+    rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """Key, ``text`` and seeded ``position`` of every row (and its tokens, if capped).
 
@@ -33,7 +38,7 @@ def training_rows(
     slices they are ordered in grows with them.
     """
     df = readers.read_source(spark, source, path, split, revision)
-    slices = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // rows_per_slice))
+    slices = max(1, math.ceil(df.count() / rows_per_slice))
     if key is None:
         if not quality.numbers_rows(df):
             raise ValueError("this source does not number its rows: name a unique key, or save it first")
@@ -48,6 +53,21 @@ def training_rows(
     return order.seeded_order(df, keys, seed, slices)
 
 
-def export_for_ranks(rows: DataFrame, output: str, world_size: int, rows_per_file: int = 1_000_000) -> None:
-    """One directory per rank, ready to be read in position order."""
+def export_for_ranks(
+    spark: SparkSession,
+    source: str,
+    path: str,
+    output: str,
+    world_size: int,
+    rows_per_file: int = 100_000,
+    **options,
+) -> None:
+    """Write the training rows as one directory per rank, files in position order.
+
+    Each slice gives every rank one file, so slices are as large as fills those
+    files, within what one task can sort. ``options`` are those of
+    ``training_rows``.
+    """
+    rows_per_slice = min(max(rows_per_file * world_size, ROWS_PER_SLICE), MAX_ROWS_PER_SLICE)
+    rows = training_rows(spark, source, path, rows_per_slice=rows_per_slice, **options)
     order.export_shards(rows, output, world_size, rows_per_file=rows_per_file)

@@ -39,8 +39,13 @@ RUN_FIELDS: dict[str, tuple[str, Any]] = {
 
 
 def save_dataset(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Parquet, replacing whatever the target held."""
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    """Parquet, replacing whatever the target held, all of its partitions included."""
+    (
+        df.write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(*partition_by)
+        .parquet(path)
+    )
 
 
 def manifest(df: DataFrame, source: str, format: str) -> DataFrame:

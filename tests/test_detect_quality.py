@@ -115,6 +115,12 @@ def test_first_n_rejects_negative(spark):
         quality.first_n(spark.range(3), -1)
 
 
+def test_first_n_needs_a_key_away_from_files(spark):
+    with pytest.raises(ValueError, match="key"):
+        quality.first_n(spark.range(3), 1)
+    assert quality.first_n(spark.range(3), 2, "id").count() == 2
+
+
 def test_first_n_of_parquet_moves_no_rows(spark, many_files):
     df = spark.read.option("recursiveFileLookup", True).parquet(f"{many_files}/parquet")
     assert "Exchange" not in plan_of(quality.first_n(df, 50))
