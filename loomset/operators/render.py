@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomset.functions import formats
@@ -53,48 +55,46 @@ def map_rows(
     df: DataFrame,
     fn: Callable[[dict[str, Any]], Mapping[str, Any]],
     returns: Mapping[str, str] | None = None,
+    columns: Sequence[str] | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
     """Merge what a Python row function returns into each row.
 
-    For formatters that cannot be written as a Column. Rows cross in Arrow
-    batches. The parallelism is the input's, without a shuffle; ``partitions``
-    spreads an input of few parts over more tasks first.
+    For formatters that cannot be written as a Column. ``columns`` names what
+    the function looks at; only that travels to Python, in Arrow batches. The
+    parallelism is the input's, without a shuffle; ``partitions`` spreads an
+    input of few parts over more tasks first.
     """
     returns = dict(returns or {"text": "string"})
     unknown = {t for t in returns.values() if t not in _RETURN_TYPES}
     if unknown:
         raise ValueError(f"return types must be among {sorted(_RETURN_TYPES)}, got {sorted(unknown)}")
-    kept = [f for f in df.schema.fields if f.name not in returns]
-    added = [T.StructField(name, _RETURN_TYPES[t][0]) for name, t in returns.items()]
-    arrow_names = {name: _RETURN_TYPES[t][1] for name, t in returns.items()}
-    kept_names = [f.name for f in kept]
-
-    def apply(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            results = [fn(row) for row in batch.to_pylist()]
-            columns = [batch.column(batch.schema.get_field_index(n)) for n in kept_names]
-            for name, arrow_name in arrow_names.items():
-                columns.append(
-                    pa.array([r.get(name) for r in results], type=pa.type_for_alias(arrow_name))
-                )
-            yield pa.RecordBatch.from_arrays(columns, names=kept_names + list(arrow_names))
+    result_type = T.StructType([T.StructField(name, _RETURN_TYPES[t][0]) for name, t in returns.items()])
+    arrow_type = pa.struct([(name, pa.type_for_alias(_RETURN_TYPES[t][1])) for name, t in returns.items()])
+
+    def apply(rows: pa.Array) -> pa.Array:
+        return pa.array([dict(fn(row)) for row in rows.to_pylist()], type=arrow_type)
 
     spread = df.repartition(partitions) if partitions else df
-    return spread.mapInArrow(apply, T.StructType(kept + added))
+    made = spread.select("*", F.arrow_udf(apply, result_type)(_row(df, columns)).alias("_made"))
+    kept = [ref(c) for c in df.columns if c not in returns]
+    return made.select(*kept, *[F.col("_made").getField(name).alias(name) for name in returns])
 
 
-def filter_rows(df: DataFrame, predicate: Callable[[dict[str, Any]], bool] | Column) -> DataFrame:
-    """Keep rows by a Column, or by a Python function of the row in Arrow batches."""
+def filter_rows(
+    df: DataFrame,
+    predicate: Callable[[dict[str, Any]], bool] | Column,
+    columns: Sequence[str] | None = None,
+) -> DataFrame:
+    """Keep rows by a Column, or by a Python function of (the named columns of) the row."""
     if isinstance(predicate, Column):
         return df.filter(predicate)
 
-    def apply(batches):
-        import pyarrow as pa
+    def apply(rows: pa.Array) -> pa.Array:
+        return pa.array([bool(predicate(row)) for row in rows.to_pylist()], type=pa.bool_())
+
+    return df.filter(F.arrow_udf(apply, T.BooleanType())(_row(df, columns)))
 
-        for batch in batches:
-            yield batch.filter(pa.array([bool(predicate(r)) for r in batch.to_pylist()], type=pa.bool_()))
 
-    return df.mapInArrow(apply, df.schema)
+def _row(df: DataFrame, columns: Sequence[str] | None) -> Column:
+    return F.struct(*[ref(c) for c in columns or df.columns])

@@ -27,6 +27,7 @@ def prepared_rows(
     format: str | Callable[..., Column],
     keep_empty: bool = False,
     row_function: Callable[[dict[str, Any]], Mapping[str, Any]] | None = None,
+    row_columns: Sequence[str] | None = None,
     **options,
 ) -> DataFrame:
     """Rendered rows without the empty ones, lazily; batch or stream.
@@ -35,7 +36,7 @@ def prepared_rows(
     not tested for it.
     """
     if row_function is not None:
-        rendered = map_rows(raw, row_function)
+        rendered = map_rows(raw, row_function, columns=row_columns)
     else:
         rendered = render(raw, format, **options)
     if keep_empty or (row_function is None and format in NEVER_BLANK):
@@ -52,16 +53,17 @@ def prepare(
     key: str | Sequence[str] | None = None,
     keep_empty: bool = False,
     row_function: Callable[[dict[str, Any]], Mapping[str, Any]] | None = None,
+    row_columns: Sequence[str] | None = None,
     **options,
 ) -> PreparationReport:
     """Run the whole preparation and leave a saved dataset with its manifest.
 
     ``key`` orders the leading rows for inputs that cannot be put in source
-    order. ``row_function`` renders with Python instead of ``format``, which
-    then is only the name recorded.
+    order. ``row_function`` renders with Python (given ``row_columns``, or all)
+    instead of ``format``, which then is only the name recorded.
     """
     raw = quality.first_n(readers.read_raw(spark, input), max_samples, key)
-    arguments = dict(keep_empty=keep_empty, row_function=row_function, **options)
+    arguments = dict(keep_empty=keep_empty, row_function=row_function, row_columns=row_columns, **options)
     if not keep_empty:
         quality.require_rows(prepared_rows(raw, format, **arguments))
 

@@ -318,14 +318,18 @@ def udf_format(spark: SparkSession, sf: str) -> DataFrame:
     def question_and_answer(row):
         return {"text": f"Q: {row['instruction']}\nA: {row['output']}"}
 
-    return render.map_rows(a.instruction_rows(spark, sf), question_and_answer).select(*CONV_KEYS, "text")
+    rows = render.map_rows(
+        a.instruction_rows(spark, sf), question_and_answer, columns=["instruction", "output"]
+    )
+    return rows.select(*CONV_KEYS, "text")
 
 
 def udf_filter(spark: SparkSession, sf: str) -> DataFrame:
     def has_context(row):
         return len(row["input"].strip()) > 0
 
-    return render.filter_rows(a.instruction_rows(spark, sf), has_context).select(*CONV_KEYS, "input")
+    rows = render.filter_rows(a.instruction_rows(spark, sf), has_context, columns=["input"])
+    return rows.select(*CONV_KEYS, "input")
 
 
 # --- what the trainer, the viewer and the init step do ------------------------------

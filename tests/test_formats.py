@@ -234,6 +234,7 @@ def test_python_row_function(spark):
 
     out = map_rows(df, fn, {"text": "string", "n": "long"})
     assert out.columns == ["i", "s", "l", "text", "n"]
+    assert plan_of(out).count("apply(") == 1
     assert [tuple(r) for r in out.orderBy("i").collect()] == [
         (1, "a", [1, 2], "a/[1, 2]", 2),
         (2, None, None, "None/None", 4),
@@ -242,6 +243,15 @@ def test_python_row_function(spark):
         map_rows(df, fn, {"text": "varchar"})
 
 
+def test_python_row_function_sees_the_named_columns(spark):
+    df = spark.createDataFrame([(1, "a", "old", [("human", "x")])],
+                               "i int, s string, text string, m array<struct<from:string,value:string>>")
+    out = map_rows(df, lambda r: {"text": f"{sorted(r)} {r['m'][0]['value']}"}, columns=["s", "m"])
+    assert out.columns == ["i", "s", "m", "text"]
+    assert out.first()["text"] == "['m', 's'] x"
+    assert filter_rows(df, lambda r: sorted(r) == ["i"], columns=["i"]).count() == 1
+
+
 def test_python_row_function_over_more_tasks(spark):
     df = spark.range(20).coalesce(1)
     out = map_rows(df, lambda r: {"text": str(r["id"])}, partitions=3)
