@@ -52,10 +52,10 @@ def first_n(df: DataFrame, n: int | None, key: str | Sequence[str] | None = None
         return df
     if n < 0:
         raise ValueError(f"n must not be negative, got {n}")
-    if key is None and not _has(df, "_metadata.file_path"):
-        raise ValueError("these rows are not straight from files of one kind: name a unique key")
     if key is not None:
         return _up_to_nth_key(df, n, [key] if isinstance(key, str) else list(key))
+    if not _has(df, "_metadata.file_path"):
+        raise ValueError("these rows are not straight from files of one kind: name a unique key")
     cut = _nth_row(df, n)
     if cut is None:
         return df

@@ -101,17 +101,21 @@ def land_local(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def select_split(spark: SparkSession, sf: str) -> DataFrame:
+    """Each split selected by its name, one after the other."""
     path = scratch_dir(spark, "split")
     split = F.when(F.col("doc_id") % 10 == 0, "test").otherwise("train")
     sinks.save_dataset(a.documents(spark, sf).withColumn("split", split), path, ["split"])
-    return readers.select_split(spark, path, "train").select("doc_id", "split", "text")
+    chosen = [readers.select_split(spark, path, name) for name in ("train", "test")]
+    return chosen[0].unionByName(chosen[1]).select("doc_id", "split", "text")
 
 
 def read_version(spark: SparkSession, sf: str) -> DataFrame:
+    """Each version pinned by its name, one after the other."""
     path = scratch_dir(spark, "version")
     version = F.when(F.col("doc_id") % 2 == 0, "v1").otherwise("v2")
     sinks.save_dataset(a.documents(spark, sf).withColumn("version", version), path, ["version"])
-    return readers.read_version(spark, path, "v2").select("doc_id", "version", "text")
+    pinned = [readers.read_version(spark, path, name) for name in ("v1", "v2")]
+    return pinned[0].unionByName(pinned[1]).select("doc_id", "version", "text")
 
 
 # --- sinks, landing and records ------------------------------------------------

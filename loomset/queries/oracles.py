@@ -155,9 +155,9 @@ ORACLES: dict[str, str] = {
     "scan_prefix": "SELECT doc_id, text FROM documents WHERE starts_with(source, 'src1')",
     "land_local": _DOCUMENTS,
     "select_split": """
-        SELECT doc_id, 'train' AS split, text FROM documents WHERE doc_id % 10 <> 0""",
+        SELECT doc_id, CASE doc_id % 10 WHEN 0 THEN 'test' ELSE 'train' END AS split, text FROM documents""",
     "read_version": """
-        SELECT doc_id, 'v2' AS version, text FROM documents WHERE doc_id % 2 <> 0""",
+        SELECT doc_id, CASE doc_id % 2 WHEN 0 THEN 'v1' ELSE 'v2' END AS version, text FROM documents""",
     "save_prepared": _SHAREGPT,
     "skip_if_exists": _DOCUMENTS,
     "verify_landing": """

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from loomset.operators import detect, quality
 from loomset.operators.lengths import token_cap, tokenizer_file
+from loomset.sources.readers import read_raw
 
 from conftest import plan_of
 
@@ -164,3 +165,15 @@ def test_token_cap_with_a_tokenizer_file(spark, tmp_path):
     out = token_cap(df, 3, make_tokenizer=tokenizer_file(path), token_type="long")
     got = {r["id"]: (r["tokens"], r["n_tokens"], r["truncated"]) for r in out.collect()}
     assert got == {1: ([1, 2, 0], 4, True), 2: ([], 0, False)}
+
+
+@pytest.mark.parametrize("name, body", [
+    ("a.json", '{"id": 0}\n\n{"id": 1}\n\n\n{"id": 2}\n{"id": 3}\n'),
+    ("a.json", '[{"id": 0},\n\n {"id": 1}, {"id": 2},\n{"id": 3}]'),
+    ("a.csv", 'id,t\n0,"x\n\ny"\n\n1,b\n\n\n2,c\n3,d\n'),
+])
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 9])
+def test_first_n_does_not_count_blank_lines(spark, tmp_path, name, body, n):
+    (tmp_path / name).write_text(body)
+    rows = quality.first_n(read_raw(spark, str(tmp_path / name)), n)
+    assert sorted(int(r["id"]) for r in rows.collect()) == list(range(min(n, 4)))
