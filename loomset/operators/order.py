@@ -13,6 +13,10 @@ from loomset.functions.text import ref
 # Fixed value: length of a dry run.
 DRY_RUN_STEPS = 5
 
+# One small row per slice is broadcast; this many take some tens of megabytes.
+MAX_SLICES = 1_000_000
+
+
 def _shuffle_hash(keys: list[str], seed: int) -> Column:
     parts = [F.coalesce(ref(k).cast("string"), F.lit("")) for k in keys]
     return F.md5(F.concat(F.lit(f"{seed}:"), F.concat_ws("\x1f", *parts)))
@@ -46,6 +50,8 @@ def seeded_order(
     keys = [key] if isinstance(key, str) else list(key)
     slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     _positive(slices=slices)
+    if slices > MAX_SLICES:
+        raise ValueError(f"slices must be at most {MAX_SLICES}, got {slices}")
     hashed = _shuffle_hash(keys, seed)
 
     counts = df.groupBy(_slice_of(hashed, slices).alias("_slice")).agg(F.count(F.lit(1)).alias("_held"))

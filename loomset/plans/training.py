@@ -33,12 +33,13 @@ def training_rows(
 ) -> DataFrame:
     """Key, ``text`` and seeded ``position`` of every row (and its tokens, if capped).
 
-    Without a key, rows are known by file and row index, which Parquet gives.
-    The rows are counted first (from footers, for Parquet) so that the number of
+    Without a key, rows are known by file and row index, which Parquet gives; the
+    order is then fixed for that copy of the data. With a key it is fixed for
+    the rows wherever they lie. The rows are counted first (from footers, for Parquet) so that the number of
     slices they are ordered in grows with them.
     """
     df = readers.read_source(spark, source, path, split, revision)
-    slices = max(1, math.ceil(df.count() / rows_per_slice))
+    slices = min(max(1, math.ceil(df.count() / rows_per_slice)), order.MAX_SLICES)
     if key is None:
         if not quality.numbers_rows(df):
             raise ValueError("this source does not number its rows: name a unique key, or save it first")
@@ -47,10 +48,10 @@ def training_rows(
         df = df.select("*", *[value.alias(name) for name, value in zip(keys, at)])
     else:
         keys = (key,) if isinstance(key, str) else tuple(key)
-    df = detect.training_projection(df, text_field, keep=keys)
-    if max_seq_length is not None:
-        df = lengths.token_cap(df, max_seq_length)
-    return order.seeded_order(df, keys, seed, slices)
+    texts = detect.training_projection(df, text_field, keep=keys)
+    rows = order.seeded_order(texts, keys, seed, slices)
+    # After the shuffle, which then moves no tokens.
+    return rows if max_seq_length is None else lengths.token_cap(rows, max_seq_length)
 
 
 def export_for_ranks(
