@@ -76,7 +76,7 @@ def seeded_order(
     # Every slice has its offset; a left join spares a null test on the hash.
     placed = numbered.join(F.broadcast(offsets), "_slice", "left")
     return placed.select(
-        *[ref(c) for c in df.columns], (F.col("_offset") + F.col("_row") - 1).alias(column)
+        *[ref(c) for c in df.columns if c != column], (F.col("_offset") + F.col("_row") - 1).alias(column)
     )
 
 

@@ -35,8 +35,8 @@ def training_rows(
 
     Without a key, rows are known by file and row index, which Parquet gives; the
     order is then fixed for that copy of the data. With a key it is fixed for
-    the rows wherever they lie. The rows are counted first (from footers, for Parquet) so that the number of
-    slices they are ordered in grows with them.
+    the rows wherever they lie. The rows are counted first (from footers, for
+    Parquet) so that the number of slices they are ordered in grows with them.
     """
     df = readers.read_source(spark, source, path, split, revision)
     slices = min(max(1, math.ceil(df.count() / rows_per_slice)), order.MAX_SLICES)

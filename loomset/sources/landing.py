@@ -41,7 +41,8 @@ def read_prefix(
     """All files whose path starts with a string, at any depth; ``None`` if there are none.
 
     As with object keys, ``data/a`` also matches ``data/ab/...``; a file named
-    exactly like the prefix is left out.
+    exactly like the prefix is left out. JSON is read as lines, and with the
+    reader option ``multiLine`` as arrays.
     """
     found = files.under_prefix(spark, prefix, options)
     if not found:

@@ -31,6 +31,14 @@ def test_order_is_a_dense_permutation_fixed_by_the_seed(numbers):
     assert first != {i: i for i in range(1000)}
 
 
+def test_order_can_be_drawn_again(numbers):
+    again = order.seeded_order(order.seeded_order(numbers, "id", seed=1), "id", seed=2)
+    assert again.columns == ["id", "text", "position"]
+    assert positions(again) == positions(order.seeded_order(numbers, "id", seed=2))
+    with pytest.raises(ValueError):
+        order.seeded_order(numbers, "id", slices=order.MAX_SLICES + 1)
+
+
 def test_order_over_several_keys(spark):
     df = spark.range(100).select((F.col("id") % 10).alias("a"), F.col("id").alias("id"))
     assert sorted(positions(order.seeded_order(df, ["a", "id"])).values()) == list(range(100))
