@@ -182,3 +182,18 @@ def test_training_rows_with_key_and_cap(spark, tmp_path):
     rows = training_rows(spark, "local", source, key="id", max_seq_length=2).collect()
     assert sorted(r["position"] for r in rows) == list(range(10))
     assert all(r["tokens"] == ["a", "b"] and r["truncated"] for r in rows)
+
+
+class FakeSession:
+    """Just the settings scratch_dir looks at."""
+
+    def __init__(self, master, base=None):
+        self.conf = {"spark.checkpoint.dir": base} if base else {}
+        self.sparkContext = type("Context", (), {"master": master})()
+
+
+def test_scratch_falls_back_only_when_local():
+    assert scratch_dir(FakeSession("yarn", "hdfs:///shared"), "x").startswith("hdfs:///shared/x-")
+    assert "loomset-" in scratch_dir(FakeSession("local[2]"), "x")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(FakeSession("yarn"), "x")
