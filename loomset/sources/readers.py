@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
@@ -46,8 +47,10 @@ def read_json(
     looks at the first byte of the files. If the first ``PEEKED_FILES`` are all
     lines the rest is read as lines too, where a spread-out array is a broken
     record and so an error, never a loss; if any is an array every file is
-    looked at, since lines read as an array would lose all but the first. Name
-    the layout to skip this, and give ``schema`` to save the inference pass.
+    looked at, since lines read as an array would lose all but the first.
+    Arrays that each fill a line are read by lines too, several to a file.
+    Name the layout to skip this, and give ``schema`` to save the inference
+    pass.
     ``suffixes`` limits the files taken from a directory.
     """
     if layout not in ("auto", "lines", "array"):
@@ -66,7 +69,17 @@ def read_json(
             reader = reader.schema(schema)
         return reader.json(_paths(paths))
 
-    parts = [load(p, m) for p, m in ((lines, False), (arrays, True)) if p]
+    def load_arrays(paths: list[str]) -> DataFrame:
+        if layout == "auto" and schema is None:
+            # A line that is no record of its own shows up as a column of this name.
+            probe = _only(spark.read, suffixes).option("columnNameOfCorruptRecord", "_unreadable")
+            found = probe.json(_paths(paths)).schema
+            if "_unreadable" not in found.names:
+                strict = _only(spark.read, suffixes).options(**FORMAT_OPTIONS["json"])
+                return strict.schema(found).json(_paths(paths))
+        return load(paths, multi_line=True)
+
+    parts = [read(p) for p, read in ((lines, partial(load, multi_line=False)), (arrays, load_arrays)) if p]
     if not parts:
         raise ValueError(f"no JSON files in {given}")
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)

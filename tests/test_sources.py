@@ -53,6 +53,19 @@ def test_array_beyond_the_peeked_files_is_an_error_not_a_loss(spark, tmp_path, m
     assert ids(readers.read_raw(spark, str(tmp_path))) == [0, 1, 2, 3, 4, 9]
 
 
+def test_several_arrays_in_one_file(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"id": 0}, {"id": 1}]\n[{"id": 2}]\n')
+    write_array(tmp_path / "b.json", [{"id": 3}], indent=None)
+    assert ids(readers.read_raw(spark, str(tmp_path))) == [0, 1, 2, 3]
+
+
+def test_array_with_a_record_per_line(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"id": 0},\n{"id": 1},\n{"id": 2}]\n')
+    (tmp_path / "b.json").write_text('[\n{"id": 3},\n{"id": 4}\n]\n')
+    assert ids(readers.read_raw(spark, str(tmp_path))) == [0, 1, 2, 3, 4]
+    assert ids(readers.read_json(spark, str(tmp_path), schema="id int")) == [0, 1, 2, 3, 4]
+
+
 def test_named_layout_and_schema(spark, tmp_path):
     path = write_lines(tmp_path / "a.json")
     assert ids(readers.read_json(spark, path, schema="id int", layout="lines")) == list(range(5))
