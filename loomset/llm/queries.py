@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomset.llm.bpe import Tokenizer, id_text
 from loomset.llm.common import table
 from loomset.llm.exact_dedup import exact_dedup
 from loomset.llm.mixing import fair_queue
@@ -16,6 +18,18 @@ def op3_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    tokenizer = Tokenizer(spark, path, public_tokenizers.PATTERN)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tokenizer.decode(tokenizer.encode(docs)).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(id_text("ids"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op9_fair_queue_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fair_queue(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")
@@ -24,6 +38,7 @@ def op9_fair_queue_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_stream_dedup": op3_stream_dedup,
+    "op5_merge_replay": op5_merge_replay,
     "op9_fair_queue_mix": op9_fair_queue_mix,
 }
 
