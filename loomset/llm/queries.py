@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomset.llm import language
 from loomset.llm.bpe import Tokenizer, id_text
 from loomset.llm.common import table
 from loomset.llm.exact_dedup import exact_dedup
@@ -18,6 +19,14 @@ def op3_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_language_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs, ~language.held_out())
+    return language.predict(docs.select("doc_id", language.held_out().alias("held_out"), "text"), model).select(
+        "doc_id", "held_out", "lang_pred", "score", "rejected"
+    )
+
+
 def op5_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     tokenizer = Tokenizer(spark, path, public_tokenizers.PATTERN)
@@ -38,6 +47,7 @@ def op9_fair_queue_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_stream_dedup": op3_stream_dedup,
+    "op4_language_centroids": op4_language_centroids,
     "op5_merge_replay": op5_merge_replay,
     "op9_fair_queue_mix": op9_fair_queue_mix,
 }
