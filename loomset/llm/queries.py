@@ -11,6 +11,11 @@ from loomset.llm.bpe import Tokenizer, id_text
 from loomset.llm.common import table
 from loomset.llm.exact_dedup import exact_dedup
 from loomset.llm.mixing import fair_queue
+from loomset.llm.near_dup import near_duplicates
+
+
+def op1_odd_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), width=4)
 
 
 def op3_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,6 +51,7 @@ def op9_fair_queue_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_odd_sketches": op1_odd_sketches,
     "op3_stream_dedup": op3_stream_dedup,
     "op4_language_centroids": op4_language_centroids,
     "op5_merge_replay": op5_merge_replay,
