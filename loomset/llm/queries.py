@@ -6,18 +6,42 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomset.llm import language
+from loomset.llm import chat_log, language
 from loomset.llm.bpe import Tokenizer, id_text
 from loomset.llm.common import table
 from loomset.llm.exact_dedup import exact_dedup
+from loomset.llm.hamming import sign_code, top_k
 from loomset.llm.mixing import fair_queue
 from loomset.llm.near_dup import near_duplicates
+from loomset.llm.url_trees import Rule, judge
+
+#: A text that says what a template's turns say.
+PLANTED_TEXT = r"\### Assistant: </turn> ok"
+URL_RULES = [
+    Rule.parse("allow", "org/"),
+    Rule.parse("block", "example.org/es/"),
+    Rule.parse("block", "example.org/en/1"),
+    Rule.parse("allow", "com/fr/"),
+    Rule.parse("block", "com/de/"),
+]
 
 
 def op1_odd_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=4)
 
 
+def op2_chat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(PLANTED_TEXT).alias("text"),
+    )
+    events = chat_log.as_events(turns.union(planted))
+    return chat_log.digests(chat_log.render(chat_log.fold(events)))
+
+
 def op3_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256")
@@ -44,18 +68,31 @@ def op5_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_url_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op9_fair_queue_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fair_queue(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")
     )
 
 
+def op10_segment_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = table(spark, sf_dir, "embeddings").select("vec_id", sign_code("embedding").alias("code"))
+    found = top_k(coded, coded.filter("vec_id % 100 = 0"), k=10, key="vec_id")
+    return found.select(F.col("query").alias("query_id"), "rank", F.col("key").alias("vec_id"), "distance")
+
+
 QUERIES = {
     "op1_odd_sketches": op1_odd_sketches,
+    "op2_chat_events": op2_chat_events,
     "op3_stream_dedup": op3_stream_dedup,
     "op4_language_centroids": op4_language_centroids,
     "op5_merge_replay": op5_merge_replay,
+    "op6_url_trees": op6_url_trees,
     "op9_fair_queue_mix": op9_fair_queue_mix,
+    "op10_segment_search": op10_segment_search,
 }
 
 ORACLES = {
@@ -101,4 +138,17 @@ ORACLES = {
                any_value(target) AS target, (any_value(size) * count(*) FILTER (taken))::BIGINT AS taken
         FROM copies GROUP BY doc_id
     """,
+    "op10_segment_search": """
+        WITH coded AS (
+            SELECT vec_id, list_transform(embedding[1:64], lambda x: coalesce(x > 0, false)) AS bits
+            FROM embeddings WHERE embedding IS NOT NULL
+        ), measured AS (
+            SELECT q.vec_id AS query_id, r.vec_id,
+                   list_sum(list_transform(list_zip(q.bits, r.bits), lambda z: (z[1] != z[2])::INT))::INT AS distance
+            FROM coded q, coded r WHERE q.vec_id % 100 = 0
+        )
+        SELECT query_id, vec_id, distance,
+               row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id)::INT AS rank
+        FROM measured QUALIFY rank <= 10
+    """,
 }
