@@ -14,6 +14,8 @@ from loomset.llm.hamming import sign_code, top_k
 from loomset.llm.mixing import fair_queue
 from loomset.llm.near_dup import near_duplicates
 from loomset.llm.url_trees import Rule, judge
+from loomset.llm.warc import payloads, read_archives, write_archives
+from loomset.session import scratch_dir
 
 #: A text that says what a template's turns say.
 PLANTED_TEXT = r"\### Assistant: </turn> ok"
@@ -72,6 +74,18 @@ def op6_url_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op7_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "warc")
+    write_archives(table(spark, sf_dir, "pages"), path)
+    return payloads(read_archives(spark, path)).select(
+        F.col("record_id").cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
 def op9_fair_queue_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fair_queue(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")
@@ -91,11 +105,25 @@ QUERIES = {
     "op4_language_centroids": op4_language_centroids,
     "op5_merge_replay": op5_merge_replay,
     "op6_url_trees": op6_url_trees,
+    "op7_warc_chunks": op7_warc_chunks,
     "op9_fair_queue_mix": op9_fair_queue_mix,
     "op10_segment_search": op10_segment_search,
 }
 
 ORACLES = {
+    "op7_warc_chunks": """
+        WITH sized AS (
+            SELECT page_id, coalesce(html, '') AS payload, strlen(coalesce(html, '')) AS payload_bytes FROM pages
+        ), grouped AS (
+            SELECT page_id, payload_bytes, sha1(payload) AS payload_digest,
+                   CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload) END AS original
+            FROM sized
+        )
+        SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+               CASE WHEN original != page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN original != page_id THEN original END AS refers_to
+        FROM grouped
+    """,
     "op3_stream_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
