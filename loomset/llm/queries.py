@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomset.llm import chat_log, language
+from loomset.llm import chat_log, language, licences
 from loomset.llm.bpe import Tokenizer, id_text
 from loomset.llm.common import table
 from loomset.llm.exact_dedup import exact_dedup
@@ -86,6 +86,11 @@ def op7_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_licence_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return licences.scan(docs, licences.fit(docs))
+
+
 def op9_fair_queue_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fair_queue(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")
@@ -106,6 +111,7 @@ QUERIES = {
     "op5_merge_replay": op5_merge_replay,
     "op6_url_trees": op6_url_trees,
     "op7_warc_chunks": op7_warc_chunks,
+    "op8_licence_paragraphs": op8_licence_paragraphs,
     "op9_fair_queue_mix": op9_fair_queue_mix,
     "op10_segment_search": op10_segment_search,
 }
