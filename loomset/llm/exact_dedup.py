@@ -16,7 +16,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,16 +52,13 @@ def _located(rows: DataFrame, key: str, text: str) -> DataFrame:
 def files_of(rows: DataFrame) -> tuple[DataFrame, str]:
     """A table in Parquet files, and the path that a stream reads them by.
 
-    A table read from one file or one folder is taken where it lies; any other
-    is first written to the shared scratch folder, so that rows have a lasting place.
+    A whole table read from one file or one folder is taken where it lies; any
+    other is first written to the shared scratch folder, so that rows have a lasting place.
     """
     files = []
-    if "_metadata" not in rows.columns:
-        try:
-            rows.select("_metadata.row_index")
-            files = rows.inputFiles()
-        except AnalysisException:
-            pass
+    plan = rows._jdf.queryExecution().analyzed()
+    if plan.getClass().getSimpleName() == "LogicalRelation" and "_metadata" not in rows.columns:
+        files = rows.inputFiles()
     folders = {f.rsplit("/", 1)[0] for f in files}
     if len(files) == 1:
         # A stream takes a single file only as a pattern; this one matches that file alone.

@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomset.llm.common import WORD, written
+from loomset.llm.common import WORD, fresh, written
 
 _HASH_RANGE = float(16**15)
 
@@ -178,4 +178,5 @@ def mix(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
     plan = plan.select(F.col(key).alias("mix_key"), F.array_repeat(F.lit(1), F.col("copies")).alias("mix_copies"))
     left, right = docs.alias("d"), plan.alias("m")
     joined = left.join(right, F.col(f"d.`{key}`").eqNullSafe(F.col("m.mix_key")))
-    return joined.select(*[F.col(f"d.`{c}`") for c in columns], F.explode("m.mix_copies").alias("__copy")).drop("__copy")
+    copy = fresh(docs, "copy")
+    return joined.select(*[F.col(f"d.`{c}`") for c in columns], F.explode("m.mix_copies").alias(copy)).drop(copy)

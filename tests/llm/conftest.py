@@ -1,0 +1,54 @@
+import pytest
+from pyspark.sql import functions as F
+
+LONG = "lang und breit " * 40_000
+SCHEMA = "doc_id long, text string, lang string, source string, size long, node long, label string, file string, ids string"
+
+
+@pytest.fixture(scope="session")
+def docs_of(spark):
+    """A documents table of (doc_id, text, source) rows, with columns named as operators name their own."""
+
+    def make(rows):
+        full = [(i, text, "en", source, 1, 2, "x", "y", "z") for i, text, source in rows]
+        return spark.createDataFrame(full, SCHEMA)
+
+    return make
+
+
+@pytest.fixture(scope="session")
+def odd_docs(docs_of):
+    """Nulls anywhere, empty and blank texts, a very long one, repeated rows and ties."""
+    return docs_of(
+        [
+            (1, None, "a"),
+            (2, "", "a"),
+            (3, " \t\n", None),
+            (4, LONG, "b"),
+            (5, LONG, "b"),
+            (6, "one two three four five six", "a"),
+            (6, "one two three four five six", "a"),
+            (7, "ONE two three four five six", None),
+            (None, "one two three four five six", None),
+            (None, None, None),
+            (8, "kurz", "é"),
+        ]
+    )
+
+
+@pytest.fixture(scope="session")
+def no_docs(docs_of):
+    return docs_of([])
+
+
+@pytest.fixture(scope="session")
+def documents(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+@pytest.fixture(scope="session")
+def rows_of():
+    def rows(df, *names):
+        return sorted((tuple(r) for r in df.select(*[F.col(n) for n in names]).collect()), key=repr)
+
+    return rows
