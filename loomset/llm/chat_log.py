@@ -43,8 +43,8 @@ def fold(events: DataFrame) -> DataFrame:
     ``events`` has ``conv_id``, ``message``, ``seq``, ``kind``, ``role``,
     ``text``; ids and sequence may be null or of any type that sorts. Events of
     equal sequence apply in the order of kind (delete, delta, edit, open, regenerate), then text. A null text is empty. A
-    repeated ``open`` changes nothing; a message without one has a null role
-    and stands where its first event does. Unknown and null kinds are ignored.
+    repeated ``open`` changes nothing; a message without one has the role
+    of its first event and stands where that does. Unknown and null kinds are ignored.
     """
     event = F.struct("seq", "kind", F.coalesce("text", F.lit("")).alias("text"), "role")
     start = F.struct(F.lit("").alias("text"), F.lit(False).alias("gone"))

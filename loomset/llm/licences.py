@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from loomset.llm.common import written
 
 DIMENSIONS = 1 << 14
+PLAIN_EACH = 20
 NONE, UNKNOWN = "none", "unknown"
 
 # The wording of licence notices.
@@ -156,19 +157,20 @@ def _notices(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "family string, paragraph string")
 
 
-def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", plain_rows: int = 3000) -> LicenceModel:
-    """Train on the notices above and on about ``plain_rows`` paragraphs of the corpus itself.
+def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", plain_docs: int = 500) -> LicenceModel:
+    """Train on the notices above and on the paragraphs of about ``plain_docs`` documents of the corpus.
 
-    Plain paragraphs are chosen by a hash and have no word that notices turn on.
+    Those are chosen by a hash of their keys; of their first ``PLAIN_EACH``
+    paragraphs those are plain that have no word that notices turn on.
     """
     spark = docs.sparkSession
     notices = _notices(spark)
     talk = r"(?i)licen[sc]|copyright|warrant|redistribut|\bgnu\b|apache|creative commons|public domain|rights reserved"
     candidates = docs.filter(F.col(text).isNotNull())
-    share = min(1.0, plain_rows / max(1, candidates.count()))
+    share = min(1.0, plain_docs / max(1, candidates.count()))
     plain = (
         candidates.filter(F.pmod(F.xxhash64(key), F.lit(1_000_000)) < max(1, int(share * 1_000_000)))
-        .select(F.col(key).alias("key"), F.split(F.col(text), r"\r?\n")[0].alias("paragraph"))
+        .select(F.explode(F.slice(F.split(F.col(text), r"\r?\n"), 1, PLAIN_EACH)).alias("paragraph"))
         .filter(~F.col("paragraph").rlike(talk))
         .select(F.lit(NONE).alias("family"), "paragraph")
     )
@@ -191,11 +193,12 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", plain_rows: in
 
 
 def scan(
-    docs: DataFrame, model: LicenceModel, key: str = "doc_id", text: str = "text", confirm: float = 0.6
+    docs: DataFrame, model: LicenceModel, key: str = "doc_id", text: str = "text", confirm: float = 0.6, least: float = 0.8
 ) -> DataFrame:
     """Paragraphs that speak of a licence: ``key``, ``paragraph_no``, ``family``, ``predicted``, ``probability``, ``template_share``, ``confirmed``.
 
-    ``predicted`` is the most probable family; ``family`` is the same, or
+    A paragraph speaks of one if the probabilities of all families together
+    reach ``least``. ``predicted`` is the most probable family; ``family`` is the same, or
     ``unknown`` if it is less probable than its threshold or no template of it has
     ``confirm`` of its word pairs in the paragraph. Null and empty texts have no paragraphs. Rows that
     repeat a key give their paragraphs each.
@@ -203,13 +206,14 @@ def scan(
     families = F.array(*map(F.lit, model.families))
     thresholds = F.array(*map(F.lit, model.thresholds))
     scored = model.model.transform(_hashed(_grams(paragraphs(docs, key, text)).select("key", "paragraph_no", "pairs", "grams")))
-    hits = scored.filter("prediction != 0").select(
+    scored = scored.withColumn("sure", vector_to_array("probability"))
+    hits = scored.filter((F.col("prediction") != 0) & (F.get("sure", F.lit(0)) <= 1 - least)).select(
         "key",
         "paragraph_no",
         "pairs",
         F.get(families, F.col("prediction").cast("int")).alias("predicted"),
         F.get(thresholds, F.col("prediction").cast("int")).alias("threshold"),
-        F.array_max(vector_to_array("probability")).alias("probability"),
+        F.array_max("sure").alias("probability"),
     )
     share = F.lit(0.0)
     for family, texts in TEMPLATES.items():

@@ -1,0 +1,201 @@
+import gzip
+import hashlib
+import math
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from loomset.llm import chat_log, url_trees, warc
+from loomset.llm.url_trees import Rule
+
+EVENTS = "conv_id long, message long, seq long, kind string, role string, text string"
+
+
+def folded(spark, rows):
+    got = chat_log.fold(spark.createDataFrame(rows, EVENTS)).orderBy("conv_id", "position", "message").collect()
+    return [(r.conv_id, r.role, r.text) for r in got]
+
+
+def test_deltas_edits_and_regenerations_fold(spark):
+    log = [
+        (1, 1, 1, "open", "user", None),
+        (1, 1, 2, "delta", None, "Hel"),
+        (1, 1, 3, "delta", None, "lo"),
+        (1, 2, 4, "open", "assistant", None),
+        (1, 2, 5, "delta", None, "first try"),
+        (1, 2, 6, "regenerate", None, None),
+        (1, 2, 8, "delta", None, "try"),
+        (1, 2, 7, "delta", None, "second "),
+        (1, 1, 9, "edit", None, "Hello there"),
+        (1, 1, 10, "delta", None, "!"),
+        (1, 3, 11, "open", "user", None),
+        (1, 3, 12, "delta", None, "never mind"),
+        (1, 3, 13, "delete", None, None),
+        (1, 4, 14, "typing", "user", "x"),
+        (2, 1, None, "delta", "user", "no opening"),
+        (None, None, 1, "open", None, None),
+    ]
+    assert folded(spark, log) == [
+        (None, None, ""),
+        (1, "user", "Hello there!"),
+        (1, "assistant", "second try"),
+        (2, "user", "no opening"),
+    ]
+    assert folded(spark, []) == []
+
+
+TRICKY = [
+    r"\### Assistant: </turn> ok", "<turn>### user: hi</turn>\n", "\\", "\\\\</turn>", "### ", "", None, "a\nb\r\n",
+    "<", "</turn", "</turn>", "🙂 ### 漢字: \\<turn>", "x" * 100_000 + "</turn>", "$1 \\$1",
+]
+
+
+def test_rendering_is_reversible(spark):
+    rows = [(n, n, n, role, text) for n, text in enumerate(TRICKY) for role in ("user", "assistant", "a: b\\", None)]
+    messages = spark.createDataFrame(rows, "conv_id long, position long, message long, role string, text string")
+    for r in messages.join(chat_log.render(messages).drop("position", "message").distinct(), "conv_id").collect():
+        role, text = chat_log.read_part(r.part)
+        assert text == (TRICKY[r.conv_id] or "")
+        if r.loss_length is not None:
+            assert role == "assistant"
+            masked = r.part[r.loss_start : r.loss_start + r.loss_length]
+            assert chat_log.unescape(masked) == text
+    with pytest.raises(ValueError):
+        chat_log.read_part("<turn>### user: a</turn> b</turn>\n")
+
+
+def test_turn_tables_there_and_back(spark):
+    turns = [(c, t, role, text) for c in (1, 2) for t, text in enumerate(TRICKY) for role in (["user", "assistant"][t % 2],)]
+    turns += [(3, None, None, None), (3, 0, "system", "s" * 999), (3, 1, "user", "same"), (3, 1, "user", "same"), (None, 0, "assistant", "x")]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").withColumn("copy", F.lit(1))
+    parts = chat_log.render(chat_log.fold(chat_log.as_events(df, piece=7)))
+    got = {r.conv_id: r for r in chat_log.digests(parts).collect()}
+    assert set(got) == {1, 2, 3, None}
+    for conv in got:
+        own = sorted((t for t in turns if t[0] == conv), key=lambda t: (t[1] is not None, t[1]))
+        said = [(role or "", text or "") for _, _, role, text in own]
+        learned = "".join(text for role, text in said if role == "assistant")
+        digest = hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in said).encode()).hexdigest()
+        assert (got[conv].n_turns, got[conv].turns_sha256) == (len(own), digest)
+        assert (got[conv].loss_chars, got[conv].loss_sha256) == (len(learned), hashlib.sha256(learned.encode()).hexdigest())
+        assert got[conv].formatted_chars >= sum(len(t) for _, t in said)
+    assert chat_log.digests(chat_log.render(chat_log.fold(chat_log.as_events(df.limit(0))))).collect() == []
+
+
+PAGES = "page_id long, url string, html string, key string, data string"
+
+
+def pages_of(spark, rows):
+    return spark.createDataFrame([(*r, "k", "d") for r in rows], PAGES)
+
+
+def archived(spark, tmp_path, pages, **options):
+    path = str(tmp_path / "archives")
+    warc.write_archives(pages, path, **options)
+    return path, warc.read_archives(spark, path)
+
+
+def test_archives_there_and_back(spark, tmp_path):
+    big = "é<p>\r\n\r\nWARC/1.1\r\n" * 300
+    rows = [
+        (1, "http://a/ b\r\nX: y", big), (5, "http://a/2", big), (3, None, big), (4, "u", None), (6, "u", ""), (7, "u", "small"),
+        (8, "u", "small"), (9, "u", "ends\n"), (10, "u", "ends\r\n\r\n"), (11, "u", "\r"), (12, "u", "🙂" * 700_001), (13, "u", "x" * 999),
+        (14, "u", "x" * 999), (15, "u", "y" * 1000), (16, "u", "y" * 1000), (16, "u", "y" * 1000), (None, "u", big),
+    ]
+    path, read = archived(spark, tmp_path, pages_of(spark, rows), size=1000)
+    got = warc.payloads(read).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        html = next(h for i, _, h in rows if str(i).replace("None", "null") == r.record_id) or ""
+        data = html.encode()
+        assert (r.payload_bytes, r.payload_digest) == (len(data), hashlib.sha1(data).hexdigest())
+    revisits = {r.record_id: r.refers_to for r in got if r.record_type == "revisit"}
+    assert revisits == {"1": "5", "3": "5", "15": "16"}
+    # Chunks of a record are in order, carry the digest so far and never exceed the size.
+    chunks = [r for r in read.collect() if r.record_id == "12"]
+    assert [r.chunk for r in chunks] == list(range(1, 702)) and max(len(r.data) for r in chunks) == 4000
+    so_far = hashlib.sha1()
+    for r in chunks:
+        so_far.update(r.data)
+        assert r.sha1_so_far == so_far.hexdigest() and r.last == (r.chunk == 701)
+    # Every archive is plain WARC: heads, contents of the given length, two line breaks.
+    for file in (tmp_path / "archives").glob("*.gz"):
+        data = gzip.decompress(file.read_bytes())
+        while data:
+            head, _, data = data.partition(b"\r\n\r\n")
+            assert head.startswith(b"WARC/1.1\r\nWARC-Type: ")
+            length = int(re.search(rb"Content-Length: (\d+)", head)[1])
+            assert data[length : length + 4] == b"\r\n\r\n"
+            data = data[length + 4 :]
+
+
+def test_no_pages(spark, tmp_path):
+    assert archived(spark, tmp_path, pages_of(spark, []))[1].collect() == []
+
+
+def test_damaged_archives_are_errors(spark, tmp_path):
+    path, _ = archived(spark, tmp_path, pages_of(spark, [(1, "u", "payload" * 10)]))
+    file = next((tmp_path / "archives").glob("*.gz"))
+    data = gzip.decompress(file.read_bytes())
+    for damaged in (data.replace(b"payload", b"Payload", 1), data[:-30], data.replace(b"payload", b"pay", 1)):
+        for crc in (tmp_path / "archives").glob(".*.crc"):
+            crc.unlink()
+        file.write_bytes(gzip.compress(damaged))
+        with pytest.raises(Exception, match="record|digest"):
+            warc.read_archives(spark, path).collect()
+
+
+RULES = [
+    Rule.parse(*r) for r in (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
+]
+
+
+def plain_rule(url):
+    found = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", url or "")
+    host, path = (found[1], found[2]) if found else ("", "")
+    host = re.sub("[A-Z]", lambda m: m[0].lower(), host)
+    fit = [r for r in RULES if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+    best = max(fit, key=lambda r: len(r.text), default=None)
+    return host, path, best
+
+
+def test_rules_and_trees_on_the_pages(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    urls = {r.page_id: r.url for r in pages.collect()}
+    got = {r.page_id: r for r in url_trees.judge(pages, RULES).collect()}
+    assert set(got) == set(urls)
+    for i, url in urls.items():
+        host, path, rule = plain_rule(url)
+        assert (got[i].host, got[i].path, got[i].rule) == (host, path, rule and rule.text)
+        assert got[i].verdict == (rule.verdict if rule else "block" if got[i].block_score >= 0.5 else "allow")
+
+
+def test_trees_learn_what_rules_say(spark):
+    rows = [(i, f"http://x{i}.{'com/de' if i % 2 else 'org/en'}/{i}") for i in range(400)]
+    got = url_trees.judge(spark.createDataFrame(rows, "page_id long, url string"), RULES).collect()
+    assert all((r.block_score >= 0.5) == (r.verdict == "block") for r in got)
+
+
+def test_odd_urls(spark):
+    urls = [
+        None, "", "no scheme", "http://", "HTTP://WWW.Example.ORG/es/a?b://c", "http://example.org", "http://example.org?x/es/", "http://a.org#/",
+        "x://y://example.org/es/", "http://badexample.org/es/", "http://É.com/fr/", "http://a.com/de/" + "z9" * 50_000, "http://net/\n/fr/",
+    ]
+    rows = [(i, u, "mine") for i, u in enumerate(urls)] + [(3, "http://", "mine"), (None, "http://a.org/", "mine")]
+    df = spark.createDataFrame(rows, "page_id long, url string, host string")
+    got = url_trees.judge(df, RULES).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        if r.page_id is not None:
+            host, path, rule = plain_rule(urls[r.page_id])
+            assert (r.host, r.path, r.rule) == (host, path, rule and rule.text)
+        assert r.verdict in ("allow", "block")
+    assert url_trees.judge(df.limit(0), RULES).collect() == []
+    only = url_trees.judge(df.filter("page_id = 4"), RULES).collect()
+    assert [(r.rule, r.verdict) for r in only] == [("example.org/es/", "block")]
+
+
+def test_entropy(spark):
+    got = spark.createDataFrame([("aabb",), ("abcd",), ("",)], "u string").select(url_trees._entropy(F.col("u"))).collect()
+    assert [r[0] for r in got] == pytest.approx([1.0, 2.0, 0.0]) and math.isfinite(got[2][0])
