@@ -17,6 +17,14 @@ def ref(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until the table has no column of that name, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def has_text(col: Column) -> Column:
     """True when Python's ``strip()`` would leave something; null counts as blank.
 

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Sequence
 from dataclasses import dataclass
+from posixpath import basename
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 from loomset.sources import landing, readers
-from loomset.sources.sinks import save_dataset
 
 logger = logging.getLogger(__name__)
 
@@ -20,6 +21,7 @@ class LandingReport:
     num_files: int | None = None
     num_bytes: int | None = None
     num_rows: int | None = None
+    rows_landed: int | None = None
     columns: tuple[str, ...] | None = None
 
 
@@ -34,14 +36,20 @@ def land(
     prefix: str = "",
     endpoint_url: str | None = None,
     region: str | None = None,
-    file_format: str = "parquet",
+    reading: readers.Reading = readers.Reading(),
+    leave_out: Sequence[str] = (),
     skip_if_exists: bool = False,
     verify: bool = True,
 ) -> LandingReport:
     """Write the source's rows to ``output``.
 
     ``path`` is the exported hub table or the local file or directory;
-    ``bucket`` and ``prefix`` name objects in a store.
+    ``bucket`` and ``prefix`` name objects in a store. Whatever the source,
+    rows lie below ``landed_from=<name>``, where the name is the path's or
+    prefix's last part. A hub table and a directory replace the target, a file
+    and a prefix add to it. ``reading`` says how JSON and CSV are read, and
+    ``leave_out`` which files (by patterns of names) may stay behind. The rows
+    written are counted against the rows read.
     """
     if source not in readers.SOURCES:
         raise ValueError(f"unknown source: {source!r}")
@@ -50,32 +58,35 @@ def land(
     if source != "s3" and not path:
         raise ValueError(f"a path is needed for source {source!r}")
 
+    rows_landed = None
+
     def write() -> None:
+        nonlocal rows_landed
         if source == "local":
-            landing.land_local(spark, path, output)
-        elif source == "huggingface":
-            save_dataset(readers.read_source(spark, source, path, split, revision), output)
+            rows_landed = landing.land_local(spark, path, output, reading, leave_out)
+            return
+        if source == "huggingface":
+            found, name = readers.read_source(spark, source, path, split, revision), basename(path.rstrip("/"))
+        else:
+            url = landing.s3_url(bucket, prefix)
+            options = landing.s3_options(bucket, endpoint_url, region)
+            found, name = landing.read_prefix(spark, url, options, reading, leave_out), basename(url.rstrip("/"))
+        if found is None:
+            logger.warning("nothing lies under s3://%s/%s", bucket, prefix)
         else:
-            found = landing.read_prefix(
-                spark,
-                landing.s3_url(bucket, prefix),
-                file_format,
-                landing.s3_options(bucket, endpoint_url, region),
-            )
-            if found is None:
-                logger.warning("no files under s3://%s/%s; is the prefix right?", bucket, prefix)
-            else:
-                save_dataset(found, output)
+            rows_landed = landing.save_landed(found, output, name, replace=source == "huggingface")
 
     if skip_if_exists:
         landed = landing.land_once(spark, output, write)
     else:
         write()
         landed = True
-    return _verified(spark, output, landed) if verify else LandingReport(landed)
+    if not verify:
+        return LandingReport(landed, rows_landed=rows_landed)
+    return _verified(spark, output, landed, rows_landed)
 
 
-def _verified(spark: SparkSession, output: str, landed: bool) -> LandingReport:
+def _verified(spark: SparkSession, output: str, landed: bool, rows_landed: int | None) -> LandingReport:
     sizes = landing.landing_report(spark, output).first()
     try:
         df = readers.read_raw(spark, output)
@@ -83,4 +94,4 @@ def _verified(spark: SparkSession, output: str, landed: bool) -> LandingReport:
     except (ValueError, AnalysisException):
         # Files that are not a dataset are still a landing.
         num_rows, columns = None, None
-    return LandingReport(landed, sizes["num_files"], sizes["num_bytes"], num_rows, columns)
+    return LandingReport(landed, sizes["num_files"], sizes["num_bytes"], num_rows, rows_landed, columns)

@@ -7,14 +7,16 @@ bytes of JSON files; data is read by Spark.
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from posixpath import basename, splitext
 
 from pyspark.sql import SparkSession
 
 _PEEK_THREADS = 16
 _PEEK_BYTES = 4096
+_STATUS = re.compile(r"path=(.*?); isDirectory=(true|false)(?:; length=(\d+))?", re.S)
 
 
 def escape_glob(path: str) -> str:
@@ -45,27 +47,73 @@ def is_dir(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath) and fs.getFileStatus(jpath).isDirectory()
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as listings write it, scheme included."""
+    fs, jpath = _open_fs(spark, path)
+    return fs.makeQualified(jpath).toString()
+
+
 def holds_any_file(spark: SparkSession, path: str) -> bool:
-    """Whether a file lies anywhere below; stops at the first one."""
+    """Whether a file lies anywhere below, but for what a job that broke off left; stops at the first one."""
     fs, jpath = _open_fs(spark, path)
-    return fs.exists(jpath) and fs.listFiles(jpath, True).hasNext()
+    if not fs.exists(jpath):
+        return False
+    found = fs.listFiles(jpath, True)
+    while found.hasNext():
+        if "/_temporary/" not in found.next().getPath().toString():
+            return True
+    return False
+
 
+@dataclass(frozen=True)
+class Entry:
+    path: str
+    is_dir: bool
+    length: int
 
-def files_in(spark: SparkSession, directory: str, suffixes: Sequence[str] = ()) -> list[str]:
-    """Full paths of the files directly in a directory, sorted by name."""
-    names = "*{" + ",".join(suffixes) + "}" if suffixes else "*"
-    fs, pattern = _open_fs(spark, f"{escape_glob(directory.rstrip('/'))}/{names}")
-    return sorted(s.getPath().toString() for s in fs.globStatus(pattern) or [] if s.isFile())
+    @property
+    def name(self) -> str:
+        return basename(self.path)
 
 
-def directories_in(spark: SparkSession, directory: str) -> list[str]:
+def is_hidden(name: str) -> bool:
+    """Whether Spark's readers pass a file or directory of this name over."""
+    return name.startswith(".") or (name.startswith("_") and "=" not in name)
+
+
+def _entries(spark: SparkSession, statuses) -> list[Entry]:
+    """File statuses as one text from the JVM: a single call, however many there are."""
+    if not statuses:
+        return []
+    told = spark._jvm.org.apache.commons.lang3.ArrayUtils.toString(statuses)
+    found = [Entry(p, d == "true", int(n or 0)) for p, d, n in _STATUS.findall(told)]
+    if len(found) != len(statuses):
+        raise RuntimeError("the file system describes its files in an unknown way")
+    return sorted(found, key=lambda e: e.path)
+
+
+def list_dir(spark: SparkSession, directory: str) -> list[Entry]:
+    """What lies directly in a directory, hidden names too, sorted by path."""
     fs, jpath = _open_fs(spark, directory)
-    return sorted(s.getPath().toString() for s in fs.listStatus(jpath) if s.isDirectory())
+    return _entries(spark, fs.listStatus(jpath))
 
 
-def has_suffix_below(spark: SparkSession, directory: str, suffix: str) -> bool:
+def files_below(spark: SparkSession, top: list[Entry]) -> list[Entry]:
+    """These files and all files below these directories; one call to the JVM per directory."""
+    found = [e for e in top if not e.is_dir]
+    level = [e for e in top if e.is_dir]
+    with ThreadPoolExecutor(_PEEK_THREADS) as pool:
+        while level:
+            inside = [e for part in pool.map(lambda e: list_dir(spark, e.path), level) for e in part]
+            found += [e for e in inside if not e.is_dir]
+            level = [e for e in inside if e.is_dir]
+    return sorted(found, key=lambda e: e.path)
+
+
+def first_match(spark: SparkSession, directory: str, suffix: str, recursive: bool = False) -> bool:
+    """Whether a file of this suffix lies in a directory; stops at the first."""
     fs, jpath = _open_fs(spark, directory)
-    found = fs.listFiles(jpath, True)
+    found = fs.listFiles(jpath, recursive)
     while found.hasNext():
         if found.next().getPath().getName().endswith(suffix):
             return True
@@ -74,17 +122,12 @@ def has_suffix_below(spark: SparkSession, directory: str, suffix: str) -> bool:
 
 def under_prefix(
     spark: SparkSession, prefix: str, options: Mapping[str, str] | None = None
-) -> list[str]:
+) -> list[Entry]:
     """Files and directories whose path starts with a string, but for a file that equals it."""
     fs, pattern = _open_fs(spark, escape_glob(prefix) + "*", options)
     itself = spark._jvm.org.apache.hadoop.fs.Path(prefix.rstrip("/") or "/")
-    exact = fs.makeQualified(itself).toUri().getPath()
-    found = []
-    for status in fs.globStatus(pattern) or []:
-        if status.isFile() and status.getPath().toUri().getPath() == exact:
-            continue
-        found.append(status.getPath().toString())
-    return sorted(found)
+    exact = fs.makeQualified(itself).toString()
+    return [e for e in _entries(spark, fs.globStatus(pattern)) if e.is_dir or e.path != exact]
 
 
 def first_byte(spark: SparkSession, path: str) -> bytes:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from posixpath import basename
+from collections.abc import Callable, Sequence
+from posixpath import basename, dirname
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from loomset.sources import files, readers
@@ -35,48 +35,90 @@ def s3_options(bucket: str, endpoint_url: str | None = None, region: str | None
 def read_prefix(
     spark: SparkSession,
     prefix: str,
-    format: str = "parquet",
     options: dict[str, str] | None = None,
+    reading: readers.Reading = readers.Reading(),
+    leave_out: Sequence[str] = (),
 ) -> DataFrame | None:
-    """All files whose path starts with a string, at any depth; ``None`` if there are none.
+    """All files whose path starts with a string, at any depth and of any kind; ``None`` if there are none.
 
     As with object keys, ``data/a`` also matches ``data/ab/...``; a file named
-    exactly like the prefix is left out. JSON is read as lines, and with the
-    reader option ``multiLine`` as arrays.
+    exactly like the prefix is left out. Directories ``key=value`` give columns,
+    those that the prefix itself names included. See ``readers.read_tree``.
     """
     found = files.under_prefix(spark, prefix, options)
     if not found:
         return None
-    reader = (
-        spark.read.format(format)
-        .options(**readers.FORMAT_OPTIONS.get(format, {}))
-        .options(**(options or {}))
-        .option("recursiveFileLookup", True)
-    )
-    return reader.load([files.escape_glob(p) for p in found])
+    root = prefix.rpartition("/")[0]
+    while "=" in basename(root):
+        root = dirname(root)
+    return readers.read_tree(spark, found, root, reading, leave_out)
 
 
-def land_local(spark: SparkSession, source: str, output: str) -> None:
-    """Land a directory, replacing the target, or a file, adding to it.
+def save_landed(df: DataFrame, output: str, name: str, replace: bool = False) -> int:
+    """Write rows below ``landed_from=<name>`` and return how many; the one layout of all landings.
 
-    A file landed again replaces its earlier rows, so a repeated job does no
-    harm.
+    Rows landed before under the name are replaced, and with ``replace`` all
+    others too. Raises if the target holds files that aren't landed, or if
+    other than the rows read lie there afterwards.
     """
-    if not files.exists(spark, source):
-        raise FileNotFoundError(f"local dataset not found: {source}")
-    whole_directory = files.is_dir(spark, source)
-    df = readers.read_raw(spark, source).withColumn(
-        LANDED_FROM, F.lit(basename(source.rstrip("/")))
-    )
-    if whole_directory:
-        save_dataset(df, output, partition_by=[LANDED_FROM])
+    spark = df.sparkSession
+    if LANDED_FROM.lower() in (c.lower() for c in df.columns):
+        raise ValueError(f"landing names a column {LANDED_FROM!r}; rename the source's own")
+    if not replace and files.exists(spark, output):
+        plain = [e.path for e in files.list_dir(spark, output) if not _is_landed(e)]
+        if plain:
+            raise ValueError(f"{output} holds files beside landed ones, which readers would then pass over: {plain[:3]}")
+    read = Observation("rows_landed")
+    rows = df.observe(read, F.count(F.lit(1)).alias("rows")).withColumn(LANDED_FROM, F.lit(name))
+    if replace:
+        save_dataset(rows, output, partition_by=[LANDED_FROM])
     else:
         (
-            df.write.mode("overwrite")
+            rows.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(LANDED_FROM)
             .parquet(output)
         )
+    expected = read.get["rows"]
+    written = _rows_landed(spark, output, name) if expected else 0
+    if written != expected:
+        raise RuntimeError(f"{expected} rows were read and {written} lie in {output} as {name!r}")
+    return written
+
+
+def _is_landed(entry: files.Entry) -> bool:
+    return (entry.is_dir and entry.name.startswith(f"{LANDED_FROM}=")) or entry.name in readers.BOOKKEEPING
+
+
+def _rows_landed(spark: SparkSession, output: str, name: str) -> int:
+    landed = spark.read.option("mergeSchema", True).parquet(files.escape_glob(output))
+    return landed.filter(F.col(LANDED_FROM).cast("string") == name).count()
+
+
+def land_local(
+    spark: SparkSession,
+    source: str,
+    output: str,
+    reading: readers.Reading = readers.Reading(),
+    leave_out: Sequence[str] = (),
+) -> int:
+    """Land a directory, replacing the target, or a file, adding to it; returns the rows.
+
+    A directory is landed whole: every level, every kind of file; what can't be
+    read as data is an error, unless ``leave_out`` names it. Of a stream's
+    output only committed files are taken. A file landed again replaces its
+    earlier rows, so a repeated job does no harm.
+    """
+    if not files.exists(spark, source):
+        raise FileNotFoundError(f"there is nothing to land at {source}")
+    name = basename(source.rstrip("/"))
+    if not files.is_dir(spark, source):
+        return save_landed(readers.read_file(spark, source, reading=reading), output, name)
+    if files.is_dir(spark, f"{source}/_spark_metadata"):
+        df = readers.reload_saved(spark, source)
+    else:
+        df = readers.read_tree(spark, files.list_dir(spark, source), source, reading, leave_out)
+    return save_landed(df, output, name, replace=True)
 
 
 def land_once(spark: SparkSession, output: str, land: Callable[[], None]) -> bool:
@@ -90,27 +132,26 @@ def land_once(spark: SparkSession, output: str, land: Callable[[], None]) -> boo
     return True
 
 
-def _inventory(spark: SparkSession, path: str) -> DataFrame:
-    """Path and size of every file below; contents are not read."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(files.escape_glob(path))
-        .select("path", "length")
-    )
-
-
 def landing_report(spark: SparkSession, path: str) -> DataFrame:
-    """One row: number of files and total bytes. Raises if the target is missing or empty."""
+    """One row: number of files and total bytes. Raises if the target is missing or empty.
+
+    Hidden names count too, but for marks of success and what a job that broke off left.
+    """
     if not files.exists(spark, path):
-        raise RuntimeError(f"output does not exist: {path}")
-    if not files.holds_any_file(spark, path):
-        raise RuntimeError(f"no files found in: {path}")
-    return _inventory(spark, path).agg(
-        F.count(F.lit(1)).alias("num_files"), F.coalesce(F.sum("length"), F.lit(0)).alias("num_bytes")
+        raise RuntimeError(f"nothing lies at {path}")
+    found = [e for e in files.files_below(spark, files.list_dir(spark, path)) if not _is_mark(e)]
+    if not found:
+        raise RuntimeError(f"{path} has no files")
+    return spark.range(1).select(
+        F.lit(len(found)).cast("long").alias("num_files"),
+        F.lit(sum(e.length for e in found)).cast("long").alias("num_bytes"),
     )
 
 
+def _is_mark(entry: files.Entry) -> bool:
+    return entry.name == "_SUCCESS" or "/_temporary/" in entry.path
+
+
 def landing_counters(spark: SparkSession, path: str, format: str = "parquet") -> DataFrame:
     """Files, bytes and rows of a landed dataset; for Parquet the rows come from footers."""
     sizes = landing_report(spark, path).withColumn("num_rows", F.lit(0))

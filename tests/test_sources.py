@@ -43,14 +43,25 @@ def test_mixed_json_directory_is_joined_by_name(spark, tmp_path):
     assert rows == {1: {"id": 1, "text": "x", "extra": None}, 2: {"id": 2, "text": None, "extra": "y"}}
 
 
-def test_array_beyond_the_peeked_files_is_an_error_not_a_loss(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(readers, "PEEKED_FILES", 1)
-    write_lines(tmp_path / "a.json")
-    write_array(tmp_path / "b.json")
+def test_one_array_among_many_files_of_lines(spark, tmp_path):
+    for n in range(205):
+        write_lines(tmp_path / f"f{n:04}.json", [{"id": n, "text": "t"}])
+    write_array(tmp_path / "z.json", [{"id": 900, "text": "x"}, {"id": 901, "text": "y"}])
+    assert ids(readers.read_raw(spark, str(tmp_path))) == [*range(205), 900, 901]
+
+
+def test_hidden_names_are_refused(spark, tmp_path):
+    write_lines(tmp_path / "b.jsonl")
+    write_lines(tmp_path / "_a.jsonl")
+    with pytest.raises(ValueError, match="_a.jsonl"):
+        readers.read_raw(spark, str(tmp_path))
+
+
+def test_csv_files_with_other_headers_are_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,text\n1,x\n")
+    (tmp_path / "b.csv").write_text("text,id\ny,2\n")
     with pytest.raises((PySparkException, Py4JJavaError)):
         readers.read_raw(spark, str(tmp_path)).collect()
-    write_array(tmp_path / "a.json", [{"id": 9, "text": "z"}])
-    assert ids(readers.read_raw(spark, str(tmp_path))) == [0, 1, 2, 3, 4, 9]
 
 
 def test_several_arrays_in_one_file(spark, tmp_path):
@@ -206,7 +217,13 @@ def test_prefix(spark, tmp_path):
 def test_prefix_leaves_out_its_own_name(spark, tmp_path):
     write_lines(tmp_path / "k", [{"id": 1}])
     write_lines(tmp_path / "k2", [{"id": 2}])
-    assert ids(landing.read_prefix(spark, str(tmp_path / "k"), "json")) == [2]
+    write_lines(tmp_path / "k.json", [{"id": 3}])
+    write_lines(tmp_path / "k2.json", [{"id": 2}])
+    with pytest.raises(ValueError, match="k2"):
+        landing.read_prefix(spark, str(tmp_path / "k"))
+    assert ids(landing.read_prefix(spark, str(tmp_path / "k"), leave_out=["k2"])) == [2, 3]
+    assert ids(landing.read_prefix(spark, str(tmp_path / "k."), leave_out=["k2"])) == [3]
+    assert ids(landing.read_prefix(spark, str(tmp_path / "k2.json"))or spark.range(0)) == []
 
 
 def test_s3_settings():
@@ -238,29 +255,128 @@ def test_land_local(spark, tmp_path):
     assert ids(spark.read.parquet(output)) == [1, 3]
 
 
+def test_a_tree_of_kinds_lands_whole(spark, tmp_path):
+    source, output = tmp_path / "in", str(tmp_path / "out")
+    (source / "lang=de" / "deep x+y").mkdir(parents=True)
+    (source / "lang=a b+c%").mkdir()
+    rows = lambda *ids: spark.createDataFrame([(i, f"t{i}") for i in ids], "id int, text string").toPandas()
+    rows(1).to_parquet(source / "top.parquet")
+    rows(2, 3).assign(extra=1.5).to_parquet(source / "lang=de" / "deep x+y" / "x.parquet")
+    (source / "lang=a b+c%" / "c.csv").write_text("id,text\n4,t4\n")
+    (source / "README.md").write_text("about")
+    with pytest.raises(ValueError, match="README.md"):
+        landing.land_local(spark, str(source), output)
+    assert landing.land_local(spark, str(source), output, leave_out=["*.md"]) == 4
+    got = {int(r["id"]): (r["lang"], r["extra"]) for r in readers.read_raw(spark, output).collect()}
+    assert got == {1: (None, None), 2: ("de", 1.5), 3: ("de", 1.5), 4: ("a b+c%", None)}
+    (source / ".hidden.json").write_text('{"id": 9}')
+    with pytest.raises(ValueError, match="hidden"):
+        landing.land_local(spark, str(source), output, leave_out=["*.md"])
+
+
+def test_later_files_bring_their_own_columns(spark, tmp_path):
+    output = str(tmp_path / "out")
+    landing.land_local(spark, write_lines(tmp_path / "p.json", [{"a": 1, "b": 2}]), output)
+    landing.land_local(spark, write_lines(tmp_path / "q.json", [{"a": 3, "c": 4}]), output)
+    rows = sorted((r["a"], r["b"], r["c"]) for r in readers.read_raw(spark, output).collect())
+    assert rows == [(1, 2, None), (3, None, 4)]
+
+
+def test_landing_beside_files_that_were_not_landed_is_refused(spark, tmp_path):
+    output = str(tmp_path / "out")
+    spark.range(10).write.parquet(output)
+    with pytest.raises(ValueError, match="beside"):
+        landing.land_local(spark, write_lines(tmp_path / "a.json"), output)
+    assert spark.read.parquet(output).count() == 10
+    with pytest.raises(ValueError, match="landed_from"):
+        landing.land_local(spark, write_lines(tmp_path / "b.json", [{"landed_from": 1}]), str(tmp_path / "o"))
+
+
+def test_prefix_keeps_partition_columns(spark, tmp_path):
+    base = str(tmp_path / "data")
+    spark.createDataFrame([(1, "a", 7), (2, "ab", 8), (3, None, 9)], "id int, source string, part int").write.partitionBy(
+        "source", "part"
+    ).parquet(base)
+    rows = lambda prefix: sorted(map(tuple, landing.read_prefix(spark, prefix).select("id", "source", "part").collect()))
+    assert rows(f"{base}/") == [(1, "a", 7), (2, "ab", 8), (3, None, 9)]
+    assert rows(f"{base}/source=a") == [(1, "a", 7), (2, "ab", 8)]
+    assert rows(f"{base}/source=a/") == [(1, "a", 7)]
+
+
+def test_split_slices(spark, tmp_path):
+    table = str(tmp_path / "t")
+    spark.range(40).selectExpr("id", "if(id < 8, 'test', 'train') split").repartition(3, "id").sortWithinPartitions(
+        "id"
+    ).write.partitionBy("split").parquet(table)
+    whole = {name: [r[0] for r in readers.select_split(spark, table, name).collect()] for name in ("train", "test")}
+    chosen = lambda split: sorted(r[0] for r in readers.select_split(spark, table, split).select("id").collect())
+    place = "_metadata.file_path", "_metadata.row_index"
+    order = {
+        name: [r[0] for r in readers.select_split(spark, table, name).select("id", *place).orderBy(*place).collect()] for name in whole
+    }
+    train = order["train"]
+    for text, want in (
+        ("train[:5]", train[:5]), ("train[5:9]", train[5:9]), ("train[-3:]", train[-3:]), ("train[:10%]", train[:3]),
+        ("train[50%:]", train[16:]), ("train[:-30]", train[:-30]), ("train[30:999]", train[30:]), ("train[9:5]", []),
+        ("train[:0]", []), ("train[:]", train), ("train[40:]", []), ("train[:2]+test", train[:2] + order["test"]),
+    ):
+        assert chosen(text) == sorted(want), text
+    for wrong in ("tset", "train[:5", "train[a:b]", "", "train[5]"):
+        with pytest.raises(ValueError, match="split"):
+            readers.select_split(spark, table, wrong)
+
+
+def test_a_given_schema_starts_no_inference_job(spark, tmp_path):
+    path = write_lines(tmp_path / "a.json")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("no-inference", "x")
+    try:
+        readers.read_raw(spark, path, readers.Reading(layout="lines", schema="id int"))
+        assert not tracker.getJobIdsForGroup("no-inference")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_csv_without_quoted_newlines_can_be_split(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text("id,text\n" + "".join(f"{i},{'x' * 99}\n" for i in range(3000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        whole = readers.read_raw(spark, str(path))
+        parts = readers.read_raw(spark, str(path), readers.Reading(multi_line=False))
+        assert whole.rdd.getNumPartitions() == 1 < parts.rdd.getNumPartitions()
+        assert ids(parts) == list(range(3000))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_land_once_counts_files_not_directories(spark, tmp_path):
     target, calls = tmp_path / "t", []
     (target / "empty").mkdir(parents=True)
     assert landing.land_once(spark, str(target), lambda: calls.append(1))
     write_lines(target / "empty" / "x.txt")
     assert not landing.land_once(spark, str(target), lambda: calls.append(2))
+    (tmp_path / "broken" / "_temporary" / "0").mkdir(parents=True)
+    write_lines(tmp_path / "broken" / "_temporary" / "0" / "x.parquet")
+    assert landing.land_once(spark, str(tmp_path / "broken"), lambda: calls.append(4))
+    calls.pop()
     assert landing.land_once(spark, str(tmp_path / "new"), lambda: calls.append(3))
     assert calls == [1, 3]
 
 
 def test_landing_report(spark, tmp_path):
-    with pytest.raises(RuntimeError, match="does not exist"):
+    with pytest.raises(RuntimeError, match="nothing lies"):
         landing.landing_report(spark, str(tmp_path / "missing"))
-    with pytest.raises(RuntimeError, match="no files"):
+    with pytest.raises(RuntimeError, match="has no files"):
         landing.landing_report(spark, str(tmp_path))
     (tmp_path / "sub").mkdir()
     (tmp_path / "sub" / "a.bin").write_bytes(b"x" * 10)
     (tmp_path / "b.bin").write_bytes(b"y" * 5)
     report = landing.landing_report(spark, str(tmp_path))
     assert tuple(report.first()) == (2, 15)
-    assert "ReadSchema: struct<>" in report._jdf.queryExecution().executedPlan().toString() or (
-        "content" not in report._jdf.queryExecution().executedPlan().toString()
-    )
+    (tmp_path / "_hidden").write_bytes(b"z" * 3)
+    (tmp_path / "_SUCCESS").touch()
+    assert tuple(landing.landing_report(spark, str(tmp_path)).first()) == (3, 18)
 
 
 def test_landing_counters(spark, tmp_path):
