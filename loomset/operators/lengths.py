@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from loomset.functions.text import ref
+from loomset.functions.text import fresh, ref
 
 Tokenizer = Callable[[str], list]
 
@@ -24,27 +26,67 @@ def token_cap(
 
     The default tokens are runs of non-space characters, not a model's
     subwords; pass ``make_tokenizer`` for those. It is called once per Python
-    task, and only the text column travels to it. The count is of the whole
-    text.
+    task, only the text column travels to it, and only capped tokens and the
+    count come back. The count is of the whole text.
     """
     text = F.coalesce(ref(column), F.lit(""))
     if make_tokenizer is None:
-        tokens = F.regexp_extract_all(text, F.lit(r"\S+"), F.lit(0))
+        counted = df.withColumn("tokens", _leading_tokens(text, max_seq_length)).withColumn("n_tokens", token_count(text))
     else:
-        tokens = _tokenize_udf(make_tokenizer, token_type)(text)
-    counted = df.withColumn("tokens", tokens).withColumn("n_tokens", F.size("tokens").cast("long"))
-    return counted.withColumn("truncated", F.col("n_tokens") > max_seq_length).withColumn(
-        "tokens", F.slice("tokens", 1, max_seq_length)
-    )
+        name = fresh(df, "tokenized")
+        counted = df.withColumn(name, _tokenize_udf(make_tokenizer, token_type, max_seq_length)(text))
+        counted = counted.withColumns({"tokens": F.col(name)["tokens"], "n_tokens": F.col(name)["n_tokens"]}).drop(name)
+    return counted.withColumn("truncated", F.col("n_tokens") > max_seq_length)
+
+
+def token_count(text: Column) -> Column:
+    """Runs of non-space characters, counted without an array of them."""
+    return F.length(F.regexp_replace(F.regexp_replace(text, r"\S+", "x"), r"\s+", "")).cast("long")
+
 
+def _leading_tokens(text: Column, n: int) -> Column:
+    """The first n runs of non-space characters; the rest of the text stays in one piece."""
+    pieces = F.split(F.regexp_replace(text, r"^\s+", ""), r"\s+", n + 1)
+    return F.filter(F.slice(pieces, 1, n), lambda token: token != "")
 
-def _tokenize_udf(make_tokenizer: Callable[[], Tokenizer], token_type: str):
-    def tokenize(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+
+def _tokenize_udf(make_tokenizer: Callable[[], Tokenizer], token_type: str, most: int):
+    token = T.StructType.fromDDL(f"token {token_type}").fields[0].dataType
+    result = T.StructType([T.StructField("tokens", T.ArrayType(token)), T.StructField("n_tokens", T.LongType())])
+    arrow_type = to_arrow_type(result)
+
+    def tokenize(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokenizer = make_tokenizer()
         for texts in batches:
-            yield texts.map(tokenizer)
+            found = map(tokenizer, texts.to_pylist())
+            yield pa.array([{"tokens": t[:most], "n_tokens": len(t)} for t in found], type=arrow_type)
+
+    return F.arrow_udf(tokenize, result)
+
 
-    return F.pandas_udf(tokenize, f"array<{token_type}>")
+def length_report(
+    df: DataFrame,
+    by: str | Sequence[str] = (),
+    max_seq_length: int = 512,
+    column: str = "text",
+) -> DataFrame:
+    """Token counts per group, to choose a length by: rows, tokens, longest, mean, rows above the cap, tokens lost to it.
+
+    Tokens are those of ``token_cap``'s default; nulls are empty texts. Groups are
+    summed up by each task before the shuffle.
+    """
+    groups = [ref(c) for c in ([by] if isinstance(by, str) else by)]
+    n = token_count(F.coalesce(ref(column), F.lit("")))
+    counted = df.select(*groups, n.alias(fresh(df, "n_tokens")))
+    n = F.col(counted.columns[-1])
+    return counted.groupBy(*groups).agg(
+        F.count(F.lit(1)).alias("num_rows"),
+        F.coalesce(F.sum(n), F.lit(0)).alias("num_tokens"),
+        F.max(n).alias("max_tokens"),
+        (F.sum(n) / F.count(F.lit(1))).alias("mean_tokens"),
+        F.count_if(n > max_seq_length).alias("num_truncated"),
+        F.coalesce(F.sum(F.greatest(n - max_seq_length, F.lit(0))), F.lit(0)).alias("tokens_cut"),
+    )
 
 
 def tokenizer_file(path: str, add_special_tokens: bool = True) -> Callable[[], Tokenizer]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,18 +43,23 @@ def latest_metrics(
     tag: str = "tag",
     value: str = "value",
     decimals: int = 4,
+    time: str = "ts",
 ) -> DataFrame:
-    """One row per run with each tag's last value as text, ``N/A`` where it has none."""
+    """One row per run with each tag's last value as text, ``N/A`` where it has none.
+
+    The last is the one of the latest time, of equal times the greatest step,
+    of those the greatest value. Numbers are rounded as Python prints them, from their
+    exact binary value; that runs in Python, on one row per run.
+    """
 
     def last(name: str):
-        of_tag = ref(tag) == F.lit(name)
-        return F.max_by(F.when(of_tag, ref(value)), F.when(of_tag, ref(step)))
-
-    ends = log.groupBy(ref(run)).agg(*[last(name).alias(name) for name in tags])
-    shown = [
-        F.when(ref(name).isNull(), F.lit("N/A"))
-        .otherwise(F.format_string(f"%.{decimals}f", ref(name)))
-        .alias(name)
-        for name in tags
-    ]
-    return ends.select(ref(run), *shown)
+        of_tag = (ref(tag) == F.lit(name)) & ref(value).isNotNull()
+        return F.max(F.when(of_tag, F.struct(ref(time).alias("t"), ref(step).alias("s"), ref(value).alias("v"))))["v"]
+
+    def show(values: pa.Array) -> pa.Array:
+        return pa.array(["N/A" if v is None else f"{v:.{decimals}f}" for v in values.to_pylist()], pa.string())
+
+    shown = F.arrow_udf(show, "string")
+    # Runs that have none of the tags still get a row.
+    ends = log.groupBy(ref(run)).agg(*[last(name).cast("double").alias(name) for name in tags])
+    return ends.select(ref(run), *[shown(ref(name)).alias(name) for name in tags])

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomset.functions.text import ref
+from loomset.functions.text import fresh, ref
 
 # Fixed value: length of a dry run.
 DRY_RUN_STEPS = 5
@@ -43,9 +44,10 @@ def seeded_order(
     and are broadcast. Task after task holds consecutive positions. Every step
     is a pure function of the rows, so a lost task can be run again.
 
-    ``slices`` defaults to the session's shuffle partitions. The key must be
-    unique: repeated keys share a hash and would pile up in one slice, so a
-    slice far above the average ends the job with an error.
+    ``slices`` defaults to the session's shuffle partitions. The key should be
+    unique. Rows that repeat one stand together in the order of a hash of all
+    their columns (but for maps), which only equal rows share; they are numbered by one task,
+    however many they are.
     """
     keys = [key] if isinstance(key, str) else list(key)
     slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -54,30 +56,34 @@ def seeded_order(
         raise ValueError(f"slices must be at most {MAX_SLICES}, got {slices}")
     hashed = _shuffle_hash(keys, seed)
 
-    counts = df.groupBy(_slice_of(hashed, slices).alias("_slice")).agg(F.count(F.lit(1)).alias("_held"))
-    in_order = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    everything = Window.partitionBy().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    even_share = F.sum("_held").over(everything) / F.lit(slices)
-    piled_up = F.raise_error(F.lit("seeded_order needs a unique key; many rows share one")).cast("long")
-    offsets = counts.select(
-        "_slice",
-        F.when(F.col("_held") > 4 * even_share + 10_000, piled_up)
-        .otherwise(F.sum("_held").over(in_order) - F.col("_held"))
-        .alias("_offset"),
+    names = {name: fresh(df, name) for name in ("hash", "content", "slice", "nth", "held", "offset")}
+    by_slice = Window.orderBy(names["slice"]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    held = F.col(names["held"])
+    offsets = (
+        df.groupBy(_slice_of(hashed, slices).alias(names["slice"]))
+        .agg(F.count(F.lit(1)).alias(names["held"]))
+        .select(names["slice"], (F.sum(held).over(by_slice) - held).alias(names["offset"]))
     )
 
-    within = Window.partitionBy("_slice").orderBy("_hash", *[ref(k) for k in keys])
+    within = Window.partitionBy(names["slice"]).orderBy(
+        names["hash"], *[ref(k) for k in keys], names["content"]
+    )
     numbered = (
-        df.withColumn("_hash", hashed)
-        .withColumn("_slice", _slice_of(F.col("_hash"), slices))
-        .repartitionById(slices, "_slice")
-        .withColumn("_row", F.row_number().over(within))
+        df.withColumn(names["hash"], hashed)
+        .withColumn(names["slice"], _slice_of(F.col(names["hash"]), slices))
+        .repartitionById(slices, names["slice"])
+        .withColumn(names["content"], _content_hash(df))
+        .withColumn(names["nth"], F.row_number().over(within))
     )
     # Every slice has its offset; a left join spares a null test on the hash.
-    placed = numbered.join(F.broadcast(offsets), "_slice", "left")
-    return placed.select(
-        *[ref(c) for c in df.columns if c != column], (F.col("_offset") + F.col("_row") - 1).alias(column)
-    )
+    placed = numbered.join(F.broadcast(offsets), names["slice"], "left")
+    position = F.col(names["offset"]) + F.col(names["nth"]) - 1
+    return placed.select(*[ref(c) for c in df.columns if c != column], position.alias(column))
+
+
+def _content_hash(df: DataFrame) -> Column:
+    plain = [ref(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString() and f.dataType.simpleString() != "variant"]
+    return F.xxhash64(*plain) if plain else F.lit(0)
 
 
 def _slice_of(hashed: Column, slices: int) -> Column:
@@ -147,21 +153,40 @@ def step_plan(
     A positive ``max_steps`` wins over the epochs; a dry run is five steps
     unless ``max_steps`` is given.
     """
+    settings = dict(world_size=world_size, per_device_batch=per_device_batch, accumulation=accumulation)
+    settings |= dict(epochs=epochs, max_steps=max_steps, dry_run=dry_run)
+    return step_plans(df, {"only": settings}).drop("setting")
+
+
+def step_plans(df: DataFrame, plans: Mapping[str, Mapping[str, Any]]) -> DataFrame:
+    """A row of ``step_plan`` for each named setting, from one count of the rows."""
+    counted = df.agg(F.count(F.lit(1)).alias("num_rows"))
+    rows = [_planned(F.col("num_rows"), **settings).withField("setting", F.lit(name)) for name, settings in plans.items()]
+    names = ("num_rows", "effective_batch", "steps_per_epoch", "total_steps")
+    return counted.select(F.explode(F.array(*rows)).alias("plan")).select("plan.setting", *[f"plan.{n}" for n in names])
+
+
+def _planned(
+    num_rows: Column,
+    world_size: int = 1,
+    per_device_batch: int = 2,
+    accumulation: int = 4,
+    epochs: float = 1,
+    max_steps: int = -1,
+    dry_run: bool = False,
+) -> Column:
     _positive(world_size=world_size, per_device_batch=per_device_batch, accumulation=accumulation)
     effective = world_size * per_device_batch * accumulation
     if dry_run and max_steps <= 0:
         max_steps = DRY_RUN_STEPS
-    counted = df.agg(F.count(F.lit(1)).alias("num_rows"))
-    planned = counted.select(
-        "num_rows",
+    steps_per_epoch = F.ceil(num_rows / F.lit(effective))
+    total = F.lit(max_steps).cast("long") if max_steps > 0 else F.ceil(steps_per_epoch * F.lit(float(epochs)))
+    return F.struct(
+        num_rows.alias("num_rows"),
         F.lit(effective).cast("long").alias("effective_batch"),
-        F.ceil(F.col("num_rows") / F.lit(effective)).alias("steps_per_epoch"),
+        steps_per_epoch.alias("steps_per_epoch"),
+        total.alias("total_steps"),
     )
-    if max_steps > 0:
-        total = F.lit(max_steps).cast("long")
-    else:
-        total = F.ceil(F.col("steps_per_epoch") * F.lit(float(epochs)))
-    return planned.withColumn("total_steps", total)
 
 
 def _positive(**numbers: int) -> None:

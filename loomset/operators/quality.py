@@ -4,17 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomset.functions.text import has_text, ref
+from loomset.functions.text import fresh, has_text, ref
 from loomset.session import scratch_dir
+from loomset.sources import positions, readers
 
-# Up to here leading rows are found by top-k, beyond it by a full sort of the keys.
-TOP_K_ROWS = 10_000
-# Tasks that thin out the candidates of a top-k before the last one.
-TOP_K_TASKS = 1_000
 PREVIEW_CHARS = 500
 
 
@@ -44,9 +40,12 @@ def count_rows(df: DataFrame) -> DataFrame:
 def first_n(df: DataFrame, n: int | None, key: str | Sequence[str] | None = None) -> DataFrame:
     """The first ``n`` rows; ``None`` or 0 means all.
 
-    With a key (which must be unique) the order is the key's. Without one it is
-    the order of the source files: by path, then by row within the file. That
-    needs a DataFrame read straight from files.
+    With a key the order is the key's; of rows that share the last key taken
+    those of earlier files and rows come first, and where rows have no such
+    place such a tie is an error. Without a key the order is that of the source
+    files: by path, then by row within the file. That needs a DataFrame read
+    from files of one kind; filters on it count. Only places and keys are
+    gathered (``n`` of them in the last task), never rows.
     """
     if not n:
         return df
@@ -54,117 +53,65 @@ def first_n(df: DataFrame, n: int | None, key: str | Sequence[str] | None = None
         raise ValueError(f"n must not be negative, got {n}")
     if key is not None:
         return _up_to_nth_key(df, n, [key] if isinstance(key, str) else list(key))
-    if not _has(df, "_metadata.file_path"):
-        raise ValueError("these rows are not straight from files of one kind: name a unique key")
-    cut = _nth_row(df, n)
-    if cut is None:
+    if not positions.knows_files(df):
+        raise ValueError("these rows are not straight from files of one kind: name a key, or read them with places")
+    if positions.numbers_rows(df):
+        place = positions.place_of_nth(df, n)
+        return df if place is None else df.filter(positions.up_to(place))
+    found = positions.file_of_nth(df, n)
+    if found is None:
         return df
-    path, index = cut
+    path, nth = found
     at_path = F.col("_metadata.file_path")
-    if numbers_rows(df):
-        return df.filter((at_path < path) | ((at_path == path) & (F.col("_metadata.row_index") <= index)))
-    return df.filter(at_path < path).union(_leading_rows(df.filter(at_path == path), index + 1))
+    names = tuple(fresh(df, name) for name in ("file", "part", "nth"))
+    last_file = readers.placed(df.filter(at_path == path), names)
+    return df.filter(at_path < path).union(first_n_placed(last_file, nth, names))
 
 
-def numbers_rows(df: DataFrame) -> bool:
-    """Whether the source gives each row its index within the file, as Parquet does."""
-    return _has(df, "_metadata.row_index")
+def first_n_placed(df: DataFrame, n: int, places: tuple[str, str, str]) -> DataFrame:
+    """The first ``n`` rows by file, part of the file, and place in the part; those columns are dropped.
 
-
-def _has(df: DataFrame, field: str) -> bool:
-    try:
-        df.select(field)
-    except AnalysisException:
-        return False
-    return True
-
-
-def _nth_row(df: DataFrame, n: int) -> tuple[str, int] | None:
-    """File and row index of the n-th row, from row counts per file.
-
-    For Parquet only footers are read. The running sum is over one row per
-    file, a list the driver holds anyway to plan the scan.
+    ``places`` are columns of ``readers.placed``. A row's place in its part only
+    holds while one plan runs, so rows are written with theirs to the shared scratch folder, and the n-th is found there.
     """
-    held = df.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("held"))
-    so_far = F.sum("held").over(
-        Window.orderBy("path").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    hit = held.withColumn("so_far", so_far).filter(F.col("so_far") >= n).orderBy("path").first()
-    if hit is None:
-        return None
-    return hit["path"], n - (hit["so_far"] - hit["held"]) - 1
+    path = scratch_dir(df.sparkSession, "first-n-rows")
+    df.write.parquet(path)
+    saved = df.sparkSession.read.schema(df.schema).parquet(path)
+    last = _nth_smallest(saved, n, [ref(name).alias(name) for name in places])
+    kept = saved
+    if last is not None:
+        kept = saved.filter(F.struct(*[ref(name).alias(name) for name in places]) <= last)
+    return kept.drop(*places)
 
 
-def _leading_rows(one_file: DataFrame, n: int) -> DataFrame:
-    """The first ``n`` rows of a file that does not number its rows.
+def _nth_smallest(df: DataFrame, n: int, columns: list[Column]) -> Column | None:
+    """The n-th smallest of structs of these columns as a constant, or ``None`` if there are fewer rows.
 
-    A task reads its part of the file from top to bottom, so the part's start
-    and the running id within the task give the order. Counts per part tell how
-    far into the file the rows reach; only that stretch is sorted. (Parts may be
-    cut differently the next time, but a row's part never starts behind it.)
+    Each task keeps its n smallest, one finishes.
     """
-    start = F.col("_metadata.file_block_start")
-    parts = one_file.groupBy(start.alias("start"), F.col("_metadata.file_block_length").alias("length")).agg(
-        F.count(F.lit(1)).alias("held")
-    )
-    so_far = F.sum("held").over(
-        Window.orderBy("start").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    last = parts.withColumn("so_far", so_far).filter(F.col("so_far") >= n).orderBy("start").first()
-    placed = (
-        one_file.filter(start < last["start"] + last["length"])
-        .select("*", start.alias("_part"), F.monotonically_increasing_id().alias("_nth"))
-        .orderBy("_part", "_nth")
-    )
-    if n <= TOP_K_ROWS:
-        return placed.limit(n).drop("_part", "_nth")
-    path = scratch_dir(one_file.sparkSession, "first-n-rows")
-    placed.drop("_part", "_nth").write.parquet(path)
-    return first_n(one_file.sparkSession.read.parquet(path), n)
+    order = df.select(F.struct(*columns).alias("at"))
+    leading = order.orderBy("at").limit(n)
+    end = leading.agg(F.max("at").alias("last"), F.count(F.lit(1)).alias("held")).first()
+    if end["held"] < n:
+        return None
+    fields = order.schema["at"].dataType.fields
+    return F.struct(*[F.lit(end["last"][f.name]).cast(f.dataType).alias(f.name) for f in fields])
 
 
 def _up_to_nth_key(df: DataFrame, n: int, keys: list[str]) -> DataFrame:
-    """Rows whose key is at most the n-th smallest; only keys are sorted, rows stay where they are."""
-    only_keys = df.select(*[ref(k) for k in keys])
-    last = _nth_key_by_top_k(only_keys, n) if n <= TOP_K_ROWS else _nth_key_by_sort(only_keys, n)
+    """Rows up to the n-th smallest key, and place for equal ones; rows stay where they are."""
+    columns = [ref(k).alias(f"k{i}") for i, k in enumerate(keys)]
+    if positions.numbers_rows(df):
+        columns += [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")]
+    last = _nth_smallest(df, n, columns)
     if last is None:
         return df
-    bounds = {k: F.lit(last[k]).cast(df.schema[k].dataType) for k in keys}
-    first_bound = ref(keys[0]).isNull()
-    if last[keys[0]] is not None:
-        # In this form the scan can skip row groups.
-        first_bound = first_bound | (ref(keys[0]) <= bounds[keys[0]])
-    if len(keys) == 1:
-        return df.filter(first_bound)
-    whole = F.struct(*[ref(k).alias(k) for k in keys]) <= F.struct(*[b.alias(k) for k, b in bounds.items()])
-    return df.filter(first_bound & whole)
-
-
-def _nth_key_by_top_k(only_keys: DataFrame, n: int) -> Row | None:
-    """Each task keeps its n smallest keys, some tasks thin those out, one finishes."""
-    names = [ref(k) for k in only_keys.columns]
-    within = Window.partitionBy("_salt").orderBy(*names)
-    candidates = (
-        only_keys.withColumn("_salt", F.spark_partition_id() % TOP_K_TASKS)
-        .withColumn("_nth", F.row_number().over(within))
-        .filter(F.col("_nth") <= n)
-    )
-    leading = candidates.select(*names).orderBy(*names).limit(n)
-    end = leading.agg(F.max(F.struct(*names)).alias("last"), F.count(F.lit(1)).alias("held")).first()
-    return end["last"] if end["held"] == n else None
-
-
-def _nth_key_by_sort(only_keys: DataFrame, n: int) -> Row | None:
-    """The keys are sorted over all tasks and written out; the files then number them."""
-    spark = only_keys.sparkSession
-    path = scratch_dir(spark, "first-n-keys")
-    only_keys.orderBy(*[ref(k) for k in only_keys.columns]).write.parquet(path)
-    ordered = spark.read.parquet(path)
-    cut = _nth_row(ordered, n)
-    if cut is None:
-        return None
-    at = (F.col("_metadata.file_path") == cut[0]) & (F.col("_metadata.row_index") == cut[1])
-    return ordered.filter(at).first()
+    first_key = last.getField("k0")
+    # The first key alone too: in this form the scan can skip row groups.
+    kept = df.filter(ref(keys[0]).isNull() | (ref(keys[0]) <= first_key)).filter(F.struct(*columns) <= last)
+    if not positions.numbers_rows(df) and kept.count() > n:
+        raise ValueError(f"rows share the last key of the first {n}; name a unique key")
+    return kept
 
 
 def preview(df: DataFrame, key: str | Sequence[str] | None = None, column: str = "text") -> DataFrame:

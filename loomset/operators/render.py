@@ -6,12 +6,14 @@ from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
 import pyarrow as pa
+from pyspark.errors import ParseException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from loomset.functions import formats
-from loomset.functions.text import ref
+from loomset.functions.text import fresh, ref
 
 FORMATS: dict[str, Callable[..., Column]] = {
     "alpaca": formats.alpaca,
@@ -24,15 +26,6 @@ FORMATS: dict[str, Callable[..., Column]] = {
 # These always print headings or markers, so their text is never blank.
 NEVER_BLANK = frozenset({"alpaca", "chatml", "llama", "custom"})
 
-# Types a Python row function may return, with their Arrow names.
-_RETURN_TYPES: dict[str, tuple[T.DataType, str]] = {
-    "string": (T.StringType(), "string"),
-    "long": (T.LongType(), "int64"),
-    "double": (T.DoubleType(), "float64"),
-    "boolean": (T.BooleanType(), "bool"),
-}
-
-
 def render(df: DataFrame, format: str | Callable[..., Column], **options) -> DataFrame:
     """Add (or overwrite) ``text``; all other columns stay.
 
@@ -63,22 +56,29 @@ def map_rows(
     For formatters that cannot be written as a Column. ``columns`` names what
     the function looks at; only that travels to Python, in Arrow batches. The
     parallelism is the input's, without a shuffle; ``partitions`` spreads an
-    input of few parts over more tasks first.
+    input of few parts over more tasks first. ``returns`` gives a Spark type,
+    as in DDL, for each column: ``string``, ``array<string>``,
+    ``struct<a: int>`` and so on.
     """
     returns = dict(returns or {"text": "string"})
-    unknown = {t for t in returns.values() if t not in _RETURN_TYPES}
-    if unknown:
-        raise ValueError(f"return types must be among {sorted(_RETURN_TYPES)}, got {sorted(unknown)}")
-    result_type = T.StructType([T.StructField(name, _RETURN_TYPES[t][0]) for name, t in returns.items()])
-    arrow_type = pa.struct([(name, pa.type_for_alias(_RETURN_TYPES[t][1])) for name, t in returns.items()])
+    result_type = T.StructType([T.StructField(name, _type_of(t)) for name, t in returns.items()])
+    arrow_type = to_arrow_type(result_type)
 
     def apply(rows: pa.Array) -> pa.Array:
         return pa.array([dict(fn(row)) for row in rows.to_pylist()], type=arrow_type)
 
     spread = df.repartition(partitions) if partitions else df
-    made = spread.select("*", F.arrow_udf(apply, result_type)(_row(df, columns)).alias("_made"))
+    name = fresh(df, "made")
+    made = spread.select("*", F.arrow_udf(apply, result_type)(_row(df, columns)).alias(name))
     kept = [ref(c) for c in df.columns if c not in returns]
-    return made.select(*kept, *[F.col("_made").getField(name).alias(name) for name in returns])
+    return made.select(*kept, *[F.col(name).getField(field).alias(field) for field in returns])
+
+
+def _type_of(ddl: str) -> T.DataType:
+    try:
+        return T.StructType.fromDDL(f"value {ddl}").fields[0].dataType
+    except ParseException as error:
+        raise ValueError(f"not a type: {ddl!r}") from error
 
 
 def filter_rows(

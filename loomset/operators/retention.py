@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomset.functions.text import ref
+from loomset.functions.text import fresh, ref
 
 
 def retain_last_k(df: DataFrame, group: str, step: str, k: int = 3) -> DataFrame:
@@ -20,15 +20,16 @@ def retain_last_k(df: DataFrame, group: str, step: str, k: int = 3) -> DataFrame
     """
     if k < 1:
         raise ValueError(f"k must be at least 1, got {k}")
+    nth, of, oldest = fresh(df, "nth"), fresh(df, "of_group"), fresh(df, "oldest_kept")
     newest_first = Window.partitionBy(ref(group)).orderBy(ref(step).desc())
     oldest_kept = (
         df.select(ref(group), ref(step))
         .filter(ref(step).isNotNull())
-        .withColumn("_nth", F.row_number().over(newest_first))
-        .filter(F.col("_nth") <= k)
-        .groupBy(ref(group).alias("_group"))
-        .agg(F.min(ref(step)).alias("_oldest_kept"))
+        .withColumn(nth, F.row_number().over(newest_first))
+        .filter(F.col(nth) <= k)
+        .groupBy(ref(group).alias(of))
+        .agg(F.min(ref(step)).alias(oldest))
     )
-    joined = df.join(oldest_kept, ref(group).eqNullSafe(F.col("_group")), "left")
-    kept = F.coalesce(ref(step) >= F.col("_oldest_kept"), F.lit(False))
+    joined = df.join(oldest_kept, ref(group).eqNullSafe(F.col(of)), "left")
+    kept = F.coalesce(ref(step) >= F.col(oldest), F.lit(False))
     return joined.select(*[ref(c) for c in df.columns], (~kept).alias("expired"))

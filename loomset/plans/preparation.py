@@ -9,9 +9,10 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from loomset.functions.text import fresh
 from loomset.operators import quality
 from loomset.operators.render import NEVER_BLANK, map_rows, render
-from loomset.sources import readers, sinks
+from loomset.sources import positions, readers, sinks
 
 
 @dataclass(frozen=True)
@@ -54,15 +55,22 @@ def prepare(
     keep_empty: bool = False,
     row_function: Callable[[dict[str, Any]], Mapping[str, Any]] | None = None,
     row_columns: Sequence[str] | None = None,
+    reading: readers.Reading = readers.Reading(),
     **options,
 ) -> PreparationReport:
     """Run the whole preparation and leave a saved dataset with its manifest.
 
-    ``key`` orders the leading rows for inputs that cannot be put in source
-    order. ``row_function`` renders with Python (given ``row_columns``, or all)
+    The leading rows are those of the source's order, or of ``key``'s.
+    ``reading`` says how JSON and CSV files are read. ``row_function`` renders with Python (given ``row_columns``, or all)
     instead of ``format``, which then is only the name recorded.
     """
-    raw = quality.first_n(readers.read_raw(spark, input), max_samples, key)
+    raw = readers.read_raw(spark, input, reading)
+    if max_samples and key is None and not positions.knows_files(raw):
+        # JSON lines and arrays together: each row is read with its place.
+        places = tuple(fresh(raw, name) for name in ("file", "part", "nth"))
+        raw = quality.first_n_placed(readers.read_raw(spark, input, reading, places), max_samples, places)
+    else:
+        raw = quality.first_n(raw, max_samples, key)
     arguments = dict(keep_empty=keep_empty, row_function=row_function, row_columns=row_columns, **options)
     if not keep_empty:
         quality.require_rows(prepared_rows(raw, format, **arguments))

@@ -61,28 +61,22 @@ def many_files(spark, tmp_path_factory):
 
 
 @pytest.mark.parametrize("kind", ["parquet", "json"])
-@pytest.mark.parametrize("top_k", [2, 10_000])
 @pytest.mark.parametrize("n", [None, 1, 30, 31, 75, 100, 1000])
-def test_first_n_follows_the_files(spark, many_files, monkeypatch, kind, n, top_k):
-    monkeypatch.setattr(quality, "TOP_K_ROWS", top_k)
+def test_first_n_follows_the_files(spark, many_files, kind, n):
     df = spark.read.option("recursiveFileLookup", True).format(kind).load(f"{many_files}/{kind}")
     got = sorted(r["id"] for r in quality.first_n(df, n).collect())
     assert got == list(range(min(n or 100, 100)))
 
 
-@pytest.mark.parametrize("top_k", [2, 10_000])
 @pytest.mark.parametrize("n", [0, 1, 5, 99, 500])
-def test_first_n_by_key(spark, monkeypatch, n, top_k):
-    monkeypatch.setattr(quality, "TOP_K_ROWS", top_k)
+def test_first_n_by_key(spark, n):
     rows = [(i // 10, i % 10) for i in range(100)]
     df = spark.createDataFrame(rows, "a int, b int").repartition(7)
     got = sorted(tuple(r) for r in quality.first_n(df, n, ["a", "b"]).collect())
     assert got == rows[: n or 100]
 
 
-@pytest.mark.parametrize("top_k", [0, 10_000])
-def test_first_n_by_key_with_nulls_first(spark, monkeypatch, top_k):
-    monkeypatch.setattr(quality, "TOP_K_ROWS", top_k)
+def test_first_n_by_key_with_nulls_first(spark):
     df = spark.createDataFrame([(None,), (1,), (2,), (3,)], "a int")
     assert sorted([r["a"] for r in quality.first_n(df, 2, "a").collect()], key=str) == [1, None]
     assert [r["a"] for r in quality.first_n(df, 1, "a").collect()] == [None]
@@ -94,10 +88,8 @@ def test_first_n_by_key_reaches_the_scan(spark, many_files):
     assert "LessThanOrEqual(id,4)" in plan and "Exchange" not in plan
 
 
-@pytest.mark.parametrize("top_k", [2, 10_000])
 @pytest.mark.parametrize("n", [1, 7, 1999, 2000])
-def test_first_n_of_one_split_json_file(spark, tmp_path, monkeypatch, n, top_k):
-    monkeypatch.setattr(quality, "TOP_K_ROWS", top_k)
+def test_first_n_of_one_split_json_file(spark, tmp_path, n):
     path = tmp_path / "a.jsonl"
     path.write_text("".join('{"id": %d}\n' % i for i in range(2000)))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
@@ -111,6 +103,23 @@ def test_first_n_of_one_split_json_file(spark, tmp_path, monkeypatch, n, top_k):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+def test_first_n_counts_what_a_filter_leaves(spark, many_files):
+    df = spark.read.option("recursiveFileLookup", True).parquet(f"{many_files}/parquet").filter("id % 2 = 0")
+    assert sorted(r["id"] for r in quality.first_n(df, 10).collect()) == list(range(0, 20, 2))
+    assert sorted(r["id"] for r in quality.first_n(df, 31).collect()) == list(range(0, 62, 2))
+    lines = spark.read.option("recursiveFileLookup", True).json(f"{many_files}/json").filter("id % 2 = 0")
+    assert sorted(r["id"] for r in quality.first_n(lines, 31).collect()) == list(range(0, 62, 2))
+
+
+def test_first_n_breaks_ties_by_place(spark, many_files):
+    df = spark.read.option("recursiveFileLookup", True).parquet(f"{many_files}/parquet")
+    tens = df.withColumn("ten", F.floor(F.col("id") / 10) % 2)
+    got = sorted(r["id"] for r in quality.first_n(tens, 12, "ten").collect())
+    assert got == [*range(10), 20, 21]
+    with pytest.raises(ValueError, match="share"):
+        quality.first_n(spark.range(50).selectExpr("id % 2 as b"), 10, "b")
+
+
 def test_first_n_rejects_negative(spark):
     with pytest.raises(ValueError):
         quality.first_n(spark.range(3), -1)
