@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomset.operators.turns import assemble_conversations
+from loomset.operators.turns import assemble_conversations, pair_turns
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,33 +18,8 @@ def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def instruction_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """User turns answered by the next turn, as Alpaca rows.
-
-    ``input`` is the conversation's system text, or empty. Turns are numbered
-    without gaps, so a question and its answer share (conversation, number of
-    the question): groups of two, over which a long conversation spreads.
-    """
-    turns = table(spark, sf_dir, "conversations")
-    is_question = F.col("role") == "user"
-    exchange = Window.partitionBy("conv_id", "asked_at").orderBy("turn")
-    answered = (
-        turns.filter(F.col("role").isin("user", "assistant"))
-        .withColumn("asked_at", F.when(is_question, F.col("turn")).otherwise(F.col("turn") - 1))
-        .withColumns({"next_role": F.lead("role").over(exchange), "output": F.lead("text").over(exchange)})
-        .filter(is_question & (F.col("next_role") == "assistant"))
-    )
-    system = (
-        turns.filter(F.col("role") == "system")
-        .groupBy("conv_id")
-        .agg(F.min_by("text", "turn").alias("input"))
-    )
-    return answered.join(system, "conv_id", "left").select(
-        "conv_id",
-        "turn",
-        F.col("text").alias("instruction"),
-        F.coalesce("input", F.lit("")).alias("input"),
-        "output",
-    )
+    """User turns answered by the next turn, as Alpaca rows; ``input`` is the system text, or empty."""
+    return pair_turns(table(spark, sf_dir, "conversations"))
 
 
 def chat_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from loomset.functions import formats
 from loomset.functions.text import blank
-from loomset.operators import detect, lengths, metrics, order, quality, render, retention
+from loomset.operators import detect, lengths, metrics, order, quality, render, retention, turns
 from loomset.plans import landing as landing_plan
-from loomset.plans import preparation
+from loomset.plans import preparation, training
 from loomset.queries import adapters as a
 from loomset.session import scratch_dir
 from loomset.sources import files, landing, readers, sinks
@@ -37,16 +37,17 @@ def scan_json(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def scan_json_array(spark: SparkSession, sf: str) -> DataFrame:
-    """Arrays of up to 5,000 documents, one per file."""
+    """Arrays of up to 250 documents, one per file."""
     path = scratch_dir(spark, "scan-json-array")
     (
         a.documents(spark, sf)
-        .groupBy(F.floor(F.col("doc_id") / 5000).alias("chunk"))
+        .groupBy(F.floor(F.col("doc_id") / 250).alias("chunk"))
         .agg(F.to_json(F.collect_list(F.struct(*DOC_COLUMNS))).alias("value"))
         .write.partitionBy("chunk")
         .text(path)
     )
-    return readers.read_json(spark, files.under_prefix(spark, f"{path}/chunk=")).select(*DOC_COLUMNS)
+    found = [e.path for e in files.under_prefix(spark, f"{path}/chunk=")]
+    return readers.read_json(spark, found).select(*DOC_COLUMNS)
 
 
 def scan_parquet(spark: SparkSession, sf: str) -> DataFrame:
@@ -89,7 +90,7 @@ def reload_prepared(spark: SparkSession, sf: str) -> DataFrame:
 def scan_prefix(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_dir(spark, "scan-prefix")
     sinks.save_dataset(a.documents(spark, sf), path, partition_by=["source"])
-    return landing.read_prefix(spark, f"{path}/source=src1").select("doc_id", "text")
+    return landing.read_prefix(spark, f"{path}/source=src1").select("doc_id", "text", "source")
 
 
 def land_local(spark: SparkSession, sf: str) -> DataFrame:
@@ -100,6 +101,58 @@ def land_local(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(path).select(*DOC_COLUMNS)
 
 
+def land_tree(spark: SparkSession, sf: str) -> DataFrame:
+    """A directory with Parquet at the top and below partition directories, landed whole."""
+    base = scratch_dir(spark, "land-tree")
+    docs = a.documents(spark, sf)
+    docs.filter("lang = 'en'").drop("lang").write.parquet(f"{base}/in")
+    docs.filter("lang != 'en'").write.partitionBy("lang").mode("append").parquet(f"{base}/in")
+    landing.land_local(spark, f"{base}/in", f"{base}/out")
+    return readers.read_raw(spark, f"{base}/out").select(*DOC_COLUMNS)
+
+
+def land_then_add(spark: SparkSession, sf: str) -> DataFrame:
+    """A hub table landed, then a file added, twice; the rows of both are there once."""
+    base = scratch_dir(spark, "land-add")
+    docs = a.documents(spark, sf).select("doc_id", "text")
+    sinks.save_dataset(docs, f"{base}/hub")
+    landing_plan.land(spark, "huggingface", f"{base}/out", path=f"{base}/hub")
+    for _ in range(2):
+        landing_plan.land(spark, "local", f"{base}/out", path=f"{sf}/benchmark.parquet")
+    return readers.read_raw(spark, f"{base}/out").select("doc_id", "item_id", "text")
+
+
+def land_mixed_kinds(spark: SparkSession, sf: str) -> DataFrame:
+    """JSON, Parquet and CSV in one directory and below it, landed as one table."""
+    base = scratch_dir(spark, "land-mixed")
+    docs = a.documents(spark, sf).select("doc_id", "text")
+    docs.write.json(f"{base}/in")
+    a.table(spark, sf, "benchmark").write.parquet(f"{base}/in/deeper/still")
+    turns = a.table(spark, sf, "conversations").select(F.col("conv_id").cast("string").alias("conversation"), "role")
+    turns.write.options(header=True).csv(f"{base}/in/turns")
+    landing.land_local(spark, f"{base}/in", f"{base}/out")
+    return readers.read_raw(spark, f"{base}/out").select("doc_id", "item_id", "conversation", "role", "text")
+
+
+def land_schema_change(spark: SparkSession, sf: str) -> DataFrame:
+    """Two files with different columns landed one after the other."""
+    base = scratch_dir(spark, "land-schema")
+    for name in ("benchmark", "labels"):
+        landing.land_local(spark, f"{sf}/{name}.parquet", f"{base}/out")
+    return readers.read_raw(spark, f"{base}/out").select("item_id", "text", "doc_id", "quality", "toxic")
+
+
+def split_slice(spark: SparkSession, sf: str) -> DataFrame:
+    """Slices by position and percentage of splits whose files are in order of ``doc_id``."""
+    path = scratch_dir(spark, "split-slice")
+    split = F.when(F.col("doc_id") % 10 == 0, "test").otherwise("train")
+    docs = a.documents(spark, sf).withColumn("split", split).repartitionByRange(8, "doc_id").sortWithinPartitions("split", "doc_id")
+    sinks.save_dataset(docs, path, ["split"])
+    wanted = {"train[:10%]+test[5:]": "head", "train[-20:]": "tail"}
+    chosen = [readers.select_split(spark, path, text).withColumn("slice", F.lit(name)) for text, name in wanted.items()]
+    return chosen[0].unionByName(chosen[1]).select("doc_id", "split", "slice", "text")
+
+
 def select_split(spark: SparkSession, sf: str) -> DataFrame:
     """Each split selected by its name, one after the other."""
     path = scratch_dir(spark, "split")
@@ -147,16 +200,19 @@ def verify_landing(spark: SparkSession, sf: str) -> DataFrame:
 
 def landing_counters(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_dir(spark, "counters")
-    a.documents(spark, sf).select(F.col("doc_id").cast("string")).write.text(path)
+    a.documents(spark, sf).select(F.to_json(F.struct(*DOC_COLUMNS)).alias("value")).write.text(path)
     counted = landing.landing_counters(spark, path, "text")
     return counted.select((F.col("num_files") > 0).alias("has_files"), "num_bytes", "num_rows")
 
 
 def prep_manifest(spark: SparkSession, sf: str) -> DataFrame:
-    rows = preparation.prepared_rows(a.instruction_rows(spark, sf), "chatml")
-    return sinks.manifest(rows, "conversations", "chatml").withColumn(
-        "columns", F.array_join("columns", ",")
-    )
+    """Of a dataset that is saved, described and read again, with what its texts hold."""
+    path = scratch_dir(spark, "manifest")
+    sinks.save_dataset(preparation.prepared_rows(a.instruction_rows(spark, sf), "chatml"), path)
+    sinks.save_manifest(spark, path, "conversations", "chatml")
+    num_chars = readers.reload_saved(spark, path).agg(F.sum(F.length("text"))).first()[0]
+    described = sinks.read_manifest(spark, path).withColumn("columns", F.array_join("columns", ","))
+    return described.withColumn("num_chars", F.lit(num_chars).cast("long"))
 
 
 def run_record(spark: SparkSession, sf: str) -> DataFrame:
@@ -174,7 +230,7 @@ def run_record(spark: SparkSession, sf: str) -> DataFrame:
 def versioned_write(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_dir(spark, "versions")
     sinks.save_dataset(a.documents(spark, sf), sinks.versioned_path(base, "v1.0-docs"))
-    return readers.read_version(spark, base, "v1.0-docs").select("doc_id", "version", "n_chars")
+    return readers.read_version(spark, base, "v1.0-docs").select("version", *DOC_COLUMNS)
 
 
 # --- text rendering ------------------------------------------------------------
@@ -300,6 +356,7 @@ def filter_roles(spark: SparkSession, sf: str) -> DataFrame:
         "conv_id",
         F.size("conversations").cast("long").alias("num_messages"),
         F.size(formats.kept_messages(nested)).cast("long").alias("num_kept"),
+        F.array_join(F.transform(formats.kept_messages(nested), lambda m: m["value"]), "\n").alias("kept"),
     )
 
 
@@ -307,6 +364,34 @@ def first_n(spark: SparkSession, sf: str) -> DataFrame:
     return quality.first_n(a.documents(spark, sf), 100).select("doc_id", "text")
 
 
+def first_n_filtered(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.first_n(a.documents(spark, sf).filter("doc_id % 3 = 0"), 60).select("doc_id", "text")
+
+
+def first_n_ties(spark: SparkSession, sf: str) -> DataFrame:
+    """By a key that many rows share; the file is in order of ``doc_id``, which so breaks ties."""
+    return quality.first_n(a.documents(spark, sf), 70, "lang").select("doc_id", "lang", "text")
+
+
+def first_n_json(spark: SparkSession, sf: str) -> DataFrame:
+    """All even documents as JSON lines, then seven of the odd ones, which come as JSON arrays."""
+    base = scratch_dir(spark, "first-json")
+    docs = a.documents(spark, sf).select("doc_id", "text")
+    even = docs.filter("doc_id % 2 = 0")
+    even.write.json(f"{base}/a-lines")
+    (
+        docs.filter("doc_id % 2 = 1")
+        .groupBy(F.floor(F.col("doc_id") / 250).alias("chunk"))
+        .agg(F.to_json(F.array_sort(F.collect_list(F.struct("doc_id", "text")))).alias("value"))
+        .write.partitionBy("chunk")
+        .text(f"{base}/b-arrays")
+    )
+    arrays = [e.path for e in files.files_below(spark, files.list_dir(spark, f"{base}/b-arrays")) if e.name.endswith(".txt")]
+    places = ("file", "part", "nth")
+    mixed = readers.read_json(spark, [f"{base}/a-lines", *arrays], places=places)
+    return quality.first_n_placed(mixed, even.count() + 7, places).select("doc_id", "text")
+
+
 def preview(spark: SparkSession, sf: str) -> DataFrame:
     return quality.preview(a.documents(spark, sf))
 
@@ -328,6 +413,24 @@ def udf_format(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select(*CONV_KEYS, "text")
 
 
+def udf_map_nested(spark: SparkSession, sf: str) -> DataFrame:
+    """A row function that returns a list and a nested value."""
+
+    def lines(row):
+        parts = row["text"].split("\n")
+        return {"lines": parts, "shape": {"count": len(parts), "longest": max(map(len, parts))}}
+
+    rows = render.map_rows(
+        a.documents(spark, sf), lines, {"lines": "array<string>", "shape": "struct<count: int, longest: long>"}, ["text"]
+    )
+    return rows.select(
+        "doc_id",
+        F.array_join("lines", "|").alias("joined"),
+        F.col("shape.count").cast("long").alias("num_lines"),
+        F.col("shape.longest").alias("longest"),
+    )
+
+
 def udf_filter(spark: SparkSession, sf: str) -> DataFrame:
     def has_context(row):
         return len(row["input"].strip()) > 0
@@ -355,8 +458,19 @@ def token_cap(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def pair_turns(spark: SparkSession, sf: str) -> DataFrame:
+    """With gaps: turn numbers are spread out, and every fourth conversation loses a turn."""
+    sparse = a.table(spark, sf, "conversations").filter("conv_id % 4 != 0 OR turn != 2")
+    return turns.pair_turns(sparse.withColumn("turn", F.col("turn") * 700 + F.col("conv_id") % 5))
+
+
+def length_report(spark: SparkSession, sf: str) -> DataFrame:
+    report = lengths.length_report(a.documents(spark, sf), ["source", "lang"], 512)
+    return report.withColumn("mean_tokens", F.round("mean_tokens", 6))
+
+
 def seeded_order(spark: SparkSession, sf: str) -> DataFrame:
-    return order.seeded_order(a.documents(spark, sf).select("doc_id"), "doc_id", seed=42)
+    return order.seeded_order(a.documents(spark, sf), "doc_id", seed=42)
 
 
 def shard_ranks(spark: SparkSession, sf: str) -> DataFrame:
@@ -381,11 +495,7 @@ def step_plan(spark: SparkSession, sf: str) -> DataFrame:
         "production_override": dict(world_size=8, per_device_batch=4, accumulation=8, epochs=3),
         "dry_run": dict(world_size=4, per_device_batch=2, accumulation=4, dry_run=True),
     }
-    result = None
-    for name, settings in plans.items():
-        part = order.step_plan(docs, **settings).select(F.lit(name).alias("setting"), "*")
-        result = part if result is None else result.unionByName(part)
-    return result
+    return order.step_plans(docs, plans)
 
 
 def retain_last_k(spark: SparkSession, sf: str) -> DataFrame:
@@ -419,6 +529,18 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{base}/rows").select("doc_id", "text")
 
 
+def stream_then_train(spark: SparkSession, sf: str) -> DataFrame:
+    """What a stream wrote, loaded for training; a file the stream never committed is not read."""
+    base = scratch_dir(spark, "stream-train")
+    docs = a.documents(spark, sf)
+    options = dict(instruction_col="source", response_col="text")
+    jobs.ingest_new_files(
+        spark, f"{sf}/documents.parquet", f"{base}/rows", f"{base}/checkpoint", docs.schema, "custom", **options
+    )
+    docs.limit(5).withColumn("text", F.lit("left over")).write.mode("append").parquet(f"{base}/rows")
+    return training.training_rows(spark, "local", f"{base}/rows", key="doc_id", seed=42)
+
+
 def stream_prepare(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_dir(spark, "stream-prepare")
     nested = a.conversations(spark, sf)
@@ -458,7 +580,12 @@ QUERIES = {
         reload_prepared,
         scan_prefix,
         land_local,
+        land_tree,
+        land_then_add,
+        land_mixed_kinds,
+        land_schema_change,
         select_split,
+        split_slice,
         read_version,
         save_prepared,
         skip_if_exists,
@@ -483,18 +610,25 @@ QUERIES = {
         blank_predicate,
         filter_roles,
         first_n,
+        first_n_filtered,
+        first_n_ties,
+        first_n_json,
         preview,
         count_rows,
         udf_format,
+        udf_map_nested,
         udf_filter,
         assemble_conversations,
+        pair_turns,
         token_cap,
+        length_report,
         seeded_order,
         shard_ranks,
         batch_assign,
         step_plan,
         retain_last_k,
         stream_ingest,
+        stream_then_train,
         stream_prepare,
         metric_rollup,
         stream_metric_rollup,

@@ -152,8 +152,34 @@ ORACLES: dict[str, str] = {
     "scan_csv": _DOCUMENTS,
     "scan_dir_priority": _DOCUMENTS,
     "reload_prepared": _text(_alpaca(_ALPACA_HEAD_INPUT, _ALPACA_HEAD)),
-    "scan_prefix": "SELECT doc_id, text FROM documents WHERE starts_with(source, 'src1')",
+    "scan_prefix": "SELECT doc_id, text, source FROM documents WHERE starts_with(source, 'src1')",
     "land_local": _DOCUMENTS,
+    "land_tree": """
+        SELECT doc_id, text, CASE WHEN lang <> 'en' THEN lang END AS lang, source, n_chars FROM documents""",
+    "land_then_add": """
+        SELECT doc_id, cast(NULL AS BIGINT) AS item_id, text FROM documents
+        UNION ALL SELECT NULL, item_id, text FROM benchmark""",
+    "land_mixed_kinds": """
+        SELECT doc_id, cast(NULL AS BIGINT) AS item_id, cast(NULL AS VARCHAR) AS conversation,
+               cast(NULL AS VARCHAR) AS role, text
+        FROM documents
+        UNION ALL SELECT NULL, item_id, NULL, NULL, text FROM benchmark
+        UNION ALL SELECT NULL, NULL, cast(conv_id AS VARCHAR), role, NULL FROM conversations""",
+    "land_schema_change": """
+        SELECT item_id, text, cast(NULL AS BIGINT) AS doc_id, cast(NULL AS INTEGER) AS quality,
+               cast(NULL AS INTEGER) AS toxic
+        FROM benchmark
+        UNION ALL SELECT NULL, NULL, doc_id, quality, toxic FROM labels""",
+    "split_slice": """
+        WITH placed AS (
+          SELECT *, row_number() OVER (PARTITION BY split ORDER BY doc_id) - 1 AS nth,
+                 count(*) OVER (PARTITION BY split) AS total
+          FROM (SELECT *, CASE doc_id % 10 WHEN 0 THEN 'test' ELSE 'train' END AS split FROM documents)
+        )
+        SELECT doc_id, split, 'head' AS slice, text FROM placed
+        WHERE (split = 'train' AND nth < round_even(total / 10.0, 0)) OR (split = 'test' AND nth >= 5)
+        UNION ALL
+        SELECT doc_id, split, 'tail', text FROM placed WHERE split = 'train' AND nth >= total - 20""",
     "select_split": """
         SELECT doc_id, CASE doc_id % 10 WHEN 0 THEN 'test' ELSE 'train' END AS split, text FROM documents""",
     "read_version": """
@@ -163,12 +189,16 @@ ORACLES: dict[str, str] = {
     "verify_landing": """
         SELECT true AS has_files, cast(sum(strlen(text) + 1) AS BIGINT) AS num_bytes FROM documents""",
     "landing_counters": """
-        SELECT true AS has_files, cast(sum(strlen(cast(doc_id AS VARCHAR)) + 1) AS BIGINT) AS num_bytes,
+        SELECT true AS has_files,
+               cast(sum(strlen(to_json({doc_id: doc_id, text: text, lang: lang, source: source, n_chars: n_chars})) + 1)
+                    AS BIGINT) AS num_bytes,
                count(*) AS num_rows
         FROM documents""",
     "prep_manifest": f"""{_ROWS}
         SELECT 'conversations' AS source, 'chatml' AS format, count(*) AS num_samples,
-               'conv_id,turn,instruction,input,output,text' AS columns FROM pairs""",
+               'conv_id,turn,instruction,input,output,text' AS columns,
+               cast(sum(length({_chatml(_DEFAULT, "instruction", "output")})) AS BIGINT) AS num_chars
+        FROM pairs""",
     "run_record": """
         SELECT cast(user_id AS VARCHAR) AS run,
                strftime(max(ts), '%Y-%m-%dT%H:%M:%S') AS timestamp,
@@ -183,7 +213,7 @@ ORACLES: dict[str, str] = {
                cast(1 AS BIGINT) AS world_size, cast(0 AS BIGINT) AS cuda_devices,
                cast(NULL AS VARCHAR) AS torch_version
         FROM events GROUP BY user_id""",
-    "versioned_write": "SELECT doc_id, 'v1.0-docs' AS version, n_chars FROM documents",
+    "versioned_write": f"SELECT 'v1.0-docs' AS version, * FROM ({_DOCUMENTS})",
     "fmt_alpaca": _text(_alpaca(_ALPACA_HEAD_INPUT, _ALPACA_HEAD)),
     "fmt_alpaca_loader": _text(_alpaca(_LOADER_HEAD_INPUT, _LOADER_HEAD)),
     "fmt_sharegpt": _SHAREGPT,
@@ -219,28 +249,59 @@ ORACLES: dict[str, str] = {
     "blank_predicate": f"{_ROWS} SELECT conv_id, turn, {_blank('input')} AS is_blank FROM pairs",
     "filter_roles": """
         SELECT conv_id, count(*) AS num_messages,
-               count(*) FILTER (WHERE role <> 'system') AS num_kept
+               count(*) FILTER (WHERE role <> 'system') AS num_kept,
+               coalesce(string_agg(text, chr(10) ORDER BY turn) FILTER (WHERE role <> 'system'), '') AS kept
         FROM conversations GROUP BY conv_id""",
     "first_n": "SELECT doc_id, text FROM documents ORDER BY doc_id LIMIT 100",
+    "first_n_filtered": "SELECT doc_id, text FROM documents WHERE doc_id % 3 = 0 ORDER BY doc_id LIMIT 60",
+    "first_n_ties": "SELECT doc_id, lang, text FROM documents ORDER BY lang, doc_id LIMIT 70",
+    "first_n_json": """
+        SELECT doc_id, text FROM documents WHERE doc_id % 2 = 0
+        UNION ALL (SELECT doc_id, text FROM documents WHERE doc_id % 2 = 1 ORDER BY doc_id LIMIT 7)""",
     "preview": "SELECT substr(text, 1, 500) AS preview FROM documents ORDER BY doc_id LIMIT 1",
     "count_rows": "SELECT count(*) AS num_rows FROM documents",
     "udf_format": _text("'Q: ' || instruction || chr(10) || 'A: ' || output"),
+    "udf_map_nested": """
+        SELECT doc_id, replace(text, chr(10), '|') AS joined, len(lines) AS num_lines,
+               list_max(list_transform(lines, lambda line: length(line))) AS longest
+        FROM (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents)""",
     "udf_filter": f"{_ROWS} SELECT conv_id, turn, input FROM pairs WHERE NOT {_blank('input')}",
     "assemble_conversations": """
         SELECT conv_id, count(*) AS num_messages,
                string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS messages
         FROM conversations GROUP BY conv_id""",
+    "pair_turns": """
+        WITH sparse AS (
+          SELECT conv_id, turn * 700 + conv_id % 5 AS turn, role, text FROM conversations
+          WHERE conv_id % 4 != 0 OR turn != 2
+        ), followed AS (
+          SELECT *, lead(role) OVER w AS next_role, lead(text) OVER w AS output
+          FROM sparse WINDOW w AS (PARTITION BY conv_id ORDER BY turn)
+        )
+        SELECT f.conv_id, f.turn, f.text AS instruction,
+               coalesce((SELECT arg_min(s.text, s.turn) FROM sparse s
+                         WHERE s.conv_id = f.conv_id AND s.role = 'system'), '') AS input,
+               f.output
+        FROM followed f WHERE f.role = 'user' AND f.next_role = 'assistant'""",
+    "length_report": r"""
+        WITH counted AS (
+          SELECT source, lang, len(regexp_extract_all(coalesce(text, ''), '\S+'))::BIGINT AS n FROM documents
+        )
+        SELECT source, lang, count(*) AS num_rows, sum(n)::BIGINT AS num_tokens, max(n) AS max_tokens,
+               round(sum(n)::DOUBLE / count(*), 6) AS mean_tokens, count(*) FILTER (n > 512) AS num_truncated,
+               sum(greatest(n - 512, 0))::BIGINT AS tokens_cut
+        FROM counted GROUP BY source, lang""",
     "token_cap": r"""
         WITH tokenized AS (SELECT doc_id, regexp_extract_all(text, '\S+') AS tokens FROM documents)
         SELECT doc_id, cast(len(tokens) AS BIGINT) AS n_tokens, len(tokens) > 512 AS truncated,
                array_to_string(tokens[1:512], ' ') AS capped_tokens
         FROM tokenized""",
-    "seeded_order": _ORDER,
+    "seeded_order": f"SELECT * FROM ({_DOCUMENTS}) JOIN ({_ORDER}) USING (doc_id)",
     "shard_ranks": f"SELECT doc_id, position, position % 4 AS rank FROM ({_ORDER})",
     "batch_assign": f"""
-        SELECT doc_id, position, position % 4 AS rank, position // 4 // 2 // 4 AS step,
+        SELECT *, position % 4 AS rank, position // 4 // 2 // 4 AS step,
                (position // 4 // 2) % 4 AS micro_step
-        FROM ({_ORDER})""",
+        FROM ({_DOCUMENTS}) JOIN ({_ORDER}) USING (doc_id)""",
     "step_plan": " UNION ALL ".join(
         (
             _step_plan("demo", 4 * 2 * 4, 1),
@@ -258,6 +319,11 @@ ORACLES: dict[str, str] = {
                              + "### Instruction:" + chr(10))} || source
                || {_lit(chr(10) * 2 + "### Response:" + chr(10))} || text AS text
         FROM documents""",
+    "stream_then_train": f"""
+        SELECT doc_id, position, {_lit("### System:" + chr(10) + "You are a helpful assistant." + chr(10) * 2
+                             + "### Instruction:" + chr(10))} || source
+               || {_lit(chr(10) * 2 + "### Response:" + chr(10))} || text AS text
+        FROM documents JOIN ({_ORDER}) USING (doc_id)""",
     "stream_prepare": _SHAREGPT,
     "metric_rollup": _ROLLUP,
     "stream_metric_rollup": f"""

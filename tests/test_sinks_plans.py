@@ -86,6 +86,14 @@ def test_landing_from_an_exported_hub_table(spark, tmp_path):
     table, output = str(tmp_path / "hub"), str(tmp_path / "out")
     spark.range(10).selectExpr("id", "if(id < 3, 'test', 'train') split").write.partitionBy("split").parquet(table)
     assert land(spark, "huggingface", output, path=table, split="test").num_rows == 3
+    with pytest.raises(ValueError, match="tset"):
+        land(spark, "huggingface", output, path=table, split="tset")
+    assert readers.reload_saved(spark, output).count() == 3
+    # A file that is added leaves the rows before it.
+    more = write_lines(tmp_path / "more.jsonl", [{"id": 100}, {"id": 101}])
+    report = land(spark, "local", output, path=more)
+    assert (report.num_rows, report.rows_landed) == (5, 2)
+    assert {r["id"] for r in readers.read_raw(spark, output).collect()} == {0, 1, 2, 100, 101}
 
 
 def test_landing_guards(spark, tmp_path):
