@@ -47,7 +47,7 @@ def encode_and_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     tokenizer = Tokenizer(
         spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     )
-    back = tokenizer.decode(tokenizer.encode(docs, ids=ids), ids=ids, decoded=decoded)
+    back = tokenizer.there_and_back(docs, ids=ids, decoded=decoded)
     text = F.col(decoded).cast("string").alias("text")
     return back.select(
         *[text if c == "text" else F.col(f"`{c}`") for c in docs.columns],

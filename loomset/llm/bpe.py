@@ -21,13 +21,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loomset.llm.common import bounded_batches
+
 #: Tokens in an output batch, but for a longer text.
-TOKENS_PER_BATCH = 1_000_000
+TOKENS_PER_BATCH = 500_000
+#: Characters of the texts whose words are replayed together, but for a longer text.
+CHARS_PER_REPLAY = 8_000_000
 
 _NONE = np.iinfo(np.int32).max
 _SHIFT = 24
@@ -197,6 +202,7 @@ class Tokenizer:
     """Encodes and decodes columns by the ranks of a file and a splitting pattern."""
 
     def __init__(self, spark, path: str, pattern: str):
+        bounded_batches(spark)
         self.pattern = pattern
         self.merges = spark.sparkContext.broadcast(Merges(read_ranks(path)))
 
@@ -209,54 +215,104 @@ class Tokenizer:
         merges, pattern = self.merges, self.pattern
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            find = regex.compile(pattern).findall
-            for batch in batches:
-                numbers: defaultdict[str, int] = defaultdict()
-                numbers.default_factory = numbers.__len__
-                number = numbers.__getitem__
-                used = []
-                for value in batch.column(text):
-                    words = find(value.as_py() or "")
-                    used.append(np.fromiter(map(number, words), np.int64, len(words)).astype(np.int32))
-                vocabulary = merges.value.encode(list(numbers))
-                del numbers
-                rest = batch.drop_columns([text])
-                for lo, hi in _groups([int(vocabulary.lengths[u].sum()) for u in used]):
-                    counts = np.array([vocabulary.lengths[u].sum() for u in used[lo:hi]], np.int64)
-                    values = vocabulary.take(np.concatenate(used[lo:hi])) if counts.sum() else np.empty(0, np.int32)
-                    yield _with(rest.slice(lo, hi - lo), ids, _list_array(counts, values))
+            return _encoded(batches, merges.value, pattern, text, ids)
+
+        return docs.mapInArrow(run, self._with_ids(docs, text, ids))
 
+    def _with_ids(self, docs: DataFrame, text: str, ids: str) -> T.StructType:
         fields = [f for f in docs.schema.fields if f.name != text]
-        schema = T.StructType([*fields, T.StructField(ids, T.ArrayType(T.IntegerType(), False), False)])
-        return docs.mapInArrow(run, schema)
+        return T.StructType([*fields, T.StructField(ids, T.ArrayType(T.IntegerType(), False), False)])
 
     def decode(self, tokens: DataFrame, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
         """The rows, with the bytes of their tokens as ``decoded``; null ids decode to no bytes."""
         merges = self.merges
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            names = merges.value.names
-            for batch in batches:
-                lists = batch.column(ids)
-                counts = np.diff(lists.offsets.to_numpy()) * ~np.array(lists.is_null(), bool)
-                flat = lists.flatten().to_numpy(zero_copy_only=False)
-                ends = np.cumsum(counts)
-                for lo, hi in _groups(counts.tolist()):
-                    part = flat[ends[lo] - counts[lo] : ends[hi - 1]]
-                    sizes = np.zeros(hi - lo, np.int64)
-                    full = np.flatnonzero(counts[lo:hi])
-                    if len(full):
-                        begin = (ends[lo:hi] - counts[lo:hi])[full] - (ends[lo] - counts[lo])
-                        sizes[full] = np.add.reduceat(names.lengths[part], begin)
-                    text = names.take(part) if len(part) else np.empty(0, np.uint8)
-                    offsets = np.concatenate(([0], np.cumsum(sizes)))
-                    array = pa.LargeBinaryArray.from_buffers(
-                        pa.large_binary(), hi - lo, [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(text)]
-                    ).cast(pa.binary())
-                    yield _with(batch.slice(lo, hi - lo), decoded, array)
-
-        schema = T.StructType([*tokens.schema.fields, T.StructField(decoded, T.BinaryType(), False)])
-        return tokens.mapInArrow(run, schema)
+            return _decoded(batches, merges.value, ids, decoded)
+
+        return tokens.mapInArrow(run, self._with_bytes(tokens.schema, decoded))
+
+    def _with_bytes(self, schema: T.StructType, decoded: str) -> T.StructType:
+        return T.StructType([*schema.fields, T.StructField(decoded, T.BinaryType(), False)])
+
+    def there_and_back(
+        self, docs: DataFrame, text: str = "text", ids: str = "ids", decoded: str = "decoded"
+    ) -> DataFrame:
+        """``decode(encode(docs))``, in one pass through Python."""
+        merges, pattern = self.merges, self.pattern
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            return _decoded(_encoded(batches, merges.value, pattern, text, ids), merges.value, ids, decoded)
+
+        return docs.mapInArrow(run, self._with_bytes(self._with_ids(docs, text, ids), decoded))
+
+
+def _encoded(
+    batches: Iterator[pa.RecordBatch], merges: Merges, pattern: str, text: str, ids: str
+) -> Iterator[pa.RecordBatch]:
+    find = regex.compile(pattern).findall
+    for batch in _by_chars(batches, text):
+        numbers: defaultdict[str, int] = defaultdict()
+        numbers.default_factory = numbers.__len__
+        number = numbers.__getitem__
+        used = []
+        for value in batch.column(text):
+            words = find(value.as_py() or "")
+            used.append(np.fromiter(map(number, words), np.int32, len(words)))
+            del words
+        vocabulary = merges.encode(list(numbers))
+        del numbers, number
+        rest = batch.drop_columns([text])
+        counts = np.array([vocabulary.lengths[u].sum() for u in used], np.int64)
+        for lo, hi in _groups(counts.tolist()):
+            some = counts[lo:hi]
+            values = vocabulary.take(np.concatenate(used[lo:hi])) if some.sum() else np.empty(0, np.int32)
+            yield _with(rest.slice(lo, hi - lo), ids, _list_array(some, values))
+
+
+def _decoded(
+    batches: Iterator[pa.RecordBatch], merges: Merges, ids: str, decoded: str
+) -> Iterator[pa.RecordBatch]:
+    names = merges.names
+    for batch in batches:
+        lists = batch.column(ids)
+        counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        flat = lists.flatten().to_numpy(zero_copy_only=False)
+        ends = np.cumsum(counts)
+        for lo, hi in _groups(counts.tolist()):
+            begin = ends[lo] - counts[lo]
+            part = flat[begin : ends[hi - 1]]
+            sizes = np.zeros(hi - lo, np.int64)
+            full = np.flatnonzero(counts[lo:hi])
+            if len(full):
+                sizes[full] = np.add.reduceat(names.lengths[part], (ends[lo:hi] - counts[lo:hi])[full] - begin)
+            text = names.take(part) if len(part) else np.empty(0, np.uint8)
+            offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
+            array = pa.LargeBinaryArray.from_buffers(
+                pa.large_binary(), hi - lo, [None, pa.py_buffer(offsets), pa.py_buffer(text)]
+            )
+            yield _with(batch.slice(lo, hi - lo), decoded, array.cast(pa.binary()))
+
+
+def _by_chars(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of about CHARS_PER_REPLAY characters of text."""
+    held, size = [], 0
+    for batch in batches:
+        lengths = pc.fill_null(pc.utf8_length(batch.column(text)), 0).to_pylist()
+        lo = 0
+        for i, n in enumerate(lengths):
+            if size and size + n > CHARS_PER_REPLAY:
+                held.append(batch.slice(lo, i - lo))
+                yield _joined(held)
+                held, size, lo = [], 0, i
+            size += n
+        held.append(batch.slice(lo))
+    if held:
+        yield _joined(held)
+
+
+def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return pa.Table.from_batches(batches).combine_chunks().to_batches()[0] if sum(map(len, batches)) else batches[0]
 
 
 def _groups(sizes: list[int]) -> Iterator[tuple[int, int]]:

@@ -30,3 +30,14 @@ def fresh(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Let Arrow batches have this many rows, unless the session asks for a number of its own.
+
+    Spark's 10,000 whole documents in a batch are several copies of tens of MB
+    in every task, in the executor and in Python.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, rows)

@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loomset.llm.common import bounded_batches
+
 DIMENSIONS = 8192
 UNKNOWN = "und"
 #: n-grams from which on a text is held to the whole floor of its language.
@@ -137,6 +139,7 @@ def fit(
     lowest hundredth of the fitted texts of its language reach, and shorter
     texts below less. Languages that have no text with a letter aren't learned. Without any, all texts get ``und``.
     """
+    bounded_batches(docs.sparkSession)
     known = docs.filter(training & F.col(lang).isNotNull()).select(
         F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")
     )
@@ -200,8 +203,8 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _judged(model, column: pa.Array) -> list[tuple[str, float, bool]]:
     found: list[tuple[str, float, bool]] = []
-    for lo in range(0, len(column), 256):
-        found += model.value.judge(column.slice(lo, 256).to_pylist())
+    for lo in range(0, len(column), 128):
+        found += model.value.judge(column.slice(lo, 128).to_pylist())
     return found
 
 
@@ -211,6 +214,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     Null texts and texts without a letter get ``und``, 0 and true. Any other
     text names the nearest language, rejected or not.
     """
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,6 +233,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
 def accepted(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The documents that aren't rejected; columns unchanged."""
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

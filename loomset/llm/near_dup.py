@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomset.llm.common import written
+from loomset.llm.common import bounded_batches, written
 from loomset.llm.components import components
 
 BANDS, ROWS = 32, 4
@@ -216,6 +216,7 @@ def near_duplicates(
     kept or not alike. A row without a key takes part in no link; its
     component is null and it isn't kept.
     """
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     signed = written(signatures(rows, width), "near-signatures")
     nodes = written(

@@ -62,7 +62,7 @@ def op5_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     tokenizer = Tokenizer(spark, path, public_tokenizers.PATTERN)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return tokenizer.decode(tokenizer.encode(docs)).select(
+    return tokenizer.there_and_back(docs).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(id_text("ids"), 256).alias("ids_sha256"),

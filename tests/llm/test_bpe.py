@@ -1,6 +1,7 @@
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import regex
 import tiktoken
@@ -67,5 +68,10 @@ def test_batches_are_cut_by_tokens(spark, docs_of, monkeypatch):
     docs = docs_of([(i, "word " * i, "a") for i in range(40)]).drop("ids")
     tokenizer = bpe.Tokenizer(spark, PATH, public_tokenizers.PATTERN)
     assert [*bpe._groups([3, 1, 1_000_000, 5, 1])] == [(0, 2), (2, 3), (3, 5)]
+    batches = [pa.record_batch({"t": pa.array(["a" * n for n in part], pa.string())}) for part in ([3, 4, 0], [9, 1], [], [1])]
+    monkeypatch.setattr(bpe, "CHARS_PER_REPLAY", 8)
+    assert [[len(x.as_py()) for x in b.column("t")] for b in bpe._by_chars(iter(batches), "t")] == [[3, 4, 0], [9], [1, 1]]
+    both = tokenizer.there_and_back(docs).select("doc_id", "ids", "decoded").collect()
+    assert sorted(both) == sorted(tokenizer.decode(tokenizer.encode(docs)).select("doc_id", "ids", "decoded").collect())
     got = tokenizer.decode(tokenizer.encode(docs)).select("doc_id", "decoded").collect()
     assert {r[0]: bytes(r[1]) for r in got} == {i: b"word " * i for i in range(40)}
