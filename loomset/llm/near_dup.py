@@ -271,7 +271,7 @@ def near_duplicates(
     labels = written(components(links), "near-labels")
 
     # Buckets that still hold several components, but for those all of whose pairs had a centre.
-    told = members.filter(F.col("size") > CENTRES + 1).join(labels, "node", "left").select(
+    told = members.filter(_has_untold_pairs()).join(labels, "node", "left").select(
         "bucket", "node", F.coalesce("root", "node").alias("label")
     )
     classes = told.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
@@ -324,6 +324,11 @@ def near_duplicates(
     )
 
 
+def _has_untold_pairs() -> Column:
+    """Whether a bucket has two nodes that aren't centres; the orders may name one node several times."""
+    return F.col("size") > F.array_size(F.array_distinct("centres")) + 1
+
+
 def _texts(rows: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """``node``, ``text``: the text of each wanted node (``node``, ``key``, ``digest``)."""
 

@@ -66,6 +66,13 @@ def test_a_large_bucket_of_near_copies_loses_no_link(spark, docs_of, monkeypatch
     assert len(set(want.values())) > 1
 
 
+def test_buckets_whose_orders_name_one_centre_stay_open(spark):
+    rows = [(3, [1, 1, 1]), (3, [1, 2, 1]), (4, [1, 2, 3]), (4, [2, 2, 3]), (5, [1, 2, 3]), (2, [1, 1, 1])]
+    df = spark.createDataFrame(rows, "size long, centres array<long>")
+    told = [r[0] for r in df.select(near_dup._has_untold_pairs()).collect()]
+    assert told == [True, False, False, True, True, False]
+
+
 def test_odd_documents_are_near_nothing_or_their_equals(odd_docs, no_docs, rows_of):
     got = rows_of(near_dup.near_duplicates(odd_docs), "doc_id", "component_id", "kept")
     assert got == sorted(
