@@ -140,6 +140,39 @@ def test_preparation_limits_before_it_filters(spark, tmp_path):
     assert prepare(spark, source, output, "sharegpt", max_samples=99).rows_before == 4
 
 
+def test_leading_rows_of_lines_and_arrays_together(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    write_lines(source / "a.jsonl", [{"id": i, "q": "x", "r": "y"} for i in range(5)])
+    (source / "b.json").write_text(json.dumps([{"id": i, "q": "x", "r": "y"} for i in range(5, 9)], indent=1))
+    report = prepare(spark, str(source), str(tmp_path / "out"), "custom", 7, instruction_col="q", response_col="r")
+    assert (report.rows_before, report.rows_after) == (7, 7)
+    assert sorted(r["id"] for r in readers.reload_saved(spark, str(tmp_path / "out")).collect()) == list(range(7))
+
+
+def test_jobs_pass_on_how_files_are_read(spark, tmp_path):
+    source = tmp_path / "in.csv"
+    source.write_text("q,r\nNA,1\nwhy,2\n")
+    reading = readers.Reading(na_values=["NA"], infer_types=True, multi_line=False)
+    columns = dict(instruction_col="q", response_col="r")
+    prepare(spark, str(source), str(tmp_path / "out"), "custom", reading=reading, **columns)
+    rows = {r["r"]: r["q"] for r in readers.reload_saved(spark, str(tmp_path / "out")).collect()}
+    assert rows == {1: None, 2: "why"}
+    assert land(spark, "local", str(tmp_path / "landed"), path=str(source), reading=reading).rows_landed == 2
+    assert readers.reload_saved(spark, str(tmp_path / "landed")).filter("q IS NULL").count() == 1
+    trained = training_rows(spark, "local", str(source), key="r", text_field="q", reading=reading)
+    assert sorted((r["r"], r["text"]) for r in trained.collect()) == [(1, None), (2, "why")]
+
+
+def test_slices_grow_with_the_bytes(spark, tmp_path):
+    path = str(tmp_path / "saved")
+    sinks.save_dataset(spark.range(50).selectExpr("uuid() text"), path)
+    few = training_rows(spark, "local", path)
+    many = training_rows(spark, "local", path, bytes_per_slice=100)
+    assert plan_of(few) != plan_of(many)
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect()))
+
+
 def test_preparation_keeps_empty_on_request(spark, tmp_path):
     source, output = write_lines(tmp_path / "talks.jsonl", TALKS), str(tmp_path / "out")
     assert prepare(spark, source, output, "sharegpt", keep_empty=True).rows_after == 4

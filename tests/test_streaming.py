@@ -2,6 +2,7 @@ from pyspark.sql import functions as F
 
 from loomset.operators.metrics import metric_rollup
 from loomset.operators.render import render
+from loomset.sources import landing, readers
 from loomset.streaming import jobs
 
 SCHEMA = "id long, instruction string, output string"
@@ -30,6 +31,26 @@ def test_only_new_files_are_ingested(spark, tmp_path):
     assert done.select("id", "text").exceptAll(batch.select("id", "text")).count() == 0
 
 
+def test_loaders_read_what_a_stream_committed(spark, tmp_path):
+    source, output, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    part(spark, source, 0, 5)
+    jobs.ingest_new_files(spark, source, output, checkpoint, SCHEMA, "chatml")
+    part(spark, str(tmp_path / "left"), 90, 95)
+    for file in (tmp_path / "left").glob("*.parquet"):
+        file.rename(tmp_path / "out" / "part-left-over.parquet")
+    loads = (
+        readers.read_source(spark, "local", output),
+        readers.read_source(spark, "s3", output),
+        readers.reload_saved(spark, output),
+        readers.read_raw(spark, output),
+    )
+    for rows in loads:
+        assert sorted(r["id"] for r in rows.collect()) == list(range(5))
+    landed = str(tmp_path / "landed")
+    assert landing.land_local(spark, output, landed) == 5
+    assert readers.reload_saved(spark, landed).count() == 5
+
+
 def test_stream_prepares_like_a_table(spark, tmp_path):
     source = str(tmp_path / "in")
     schema = "id long, conversations array<struct<from:string,value:string>>"
