@@ -21,7 +21,7 @@ def drop_empty(df: DataFrame, column: str = "text") -> DataFrame:
 def require_rows(df: DataFrame) -> DataFrame:
     """Raise when nothing is left; stops at the first row found."""
     if df.isEmpty():
-        raise ValueError("all samples were empty after formatting; check the columns and the format")
+        raise ValueError("every rendered text is empty; do the columns fit the format?")
     return df
 
 

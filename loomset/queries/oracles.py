@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 # Fixed value: the whitespace Python strips, in the SQL engine's spelling.
 _BLANK = (
     r"'[\t-\r\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
@@ -28,75 +30,118 @@ _DOCUMENTS = "SELECT doc_id, text, lang, source, n_chars FROM documents"
 
 
 def _lit(text: str) -> str:
-    """A string literal, newlines as chr(10)."""
-    parts = ["'" + p.replace("'", "''") + "'" for p in text.split("\n")]
-    return " || chr(10) || ".join(parts)
+    return "'" + text.replace("'", "''") + "'"
 
 
 def _blank(column: str) -> str:
     return f"regexp_full_match({column}, {_BLANK})"
 
 
-# Expected wording.
-_ALPACA_HEAD_INPUT = (
-    "Below is an instruction that describes a task, paired with an input that provides further context. "
-    "Write a response that appropriately completes the request.\n\n"
-)
-_ALPACA_HEAD = (
-    "Below is an instruction that describes a task. "
-    "Write a response that appropriately completes the request.\n\n"
-)
-_LOADER_HEAD_INPUT = (
-    "Below is an instruction that describes a task, paired with an input that provides     further context. "
-    "Write a response that appropriately completes the request.\n\n"
-)
-_LOADER_HEAD = (
-    "Below is an instruction that describes a task. "
-    "Write a response that appropriately     completes the request.\n\n"
-)
+# Expected wording, with the columns' places in braces.
+_ALPACA_WITH_INPUT = """\
+Below is an instruction that describes a task, paired with an input that provides further context. \
+Write a response that appropriately completes the request.
 
+### Instruction:
+{instruction}
 
-def _alpaca(head_input: str, head: str) -> str:
-    def sections(first: str, names: list[tuple[str, str]]) -> str:
-        sql = _lit(first)
-        for i, (title, column) in enumerate(names):
-            gap = "\n\n" if i else ""
-            sql += " || " + _lit(f"{gap}### {title}:\n") + f" || {column}"
-        return sql
+### Input:
+{input}
 
-    instruction, context, response = (
-        ("Instruction", "instruction"),
-        ("Input", "input"),
-        ("Response", "output"),
-    )
-    return (
-        f"CASE WHEN {_blank('input')} THEN {sections(head, [instruction, response])} "
-        f"ELSE {sections(head_input, [instruction, context, response])} END"
+### Response:
+{output}"""
+_ALPACA_WITHOUT_INPUT = """\
+Below is an instruction that describes a task. Write a response that appropriately completes the request.
+
+### Instruction:
+{instruction}
+
+### Response:
+{output}"""
+_LOADER_WITH_INPUT = """\
+Below is an instruction that describes a task, paired with an input that provides     further context. \
+Write a response that appropriately completes the request.
+
+### Instruction:
+{instruction}
+
+### Input:
+{input}
+
+### Response:
+{output}"""
+_LOADER_WITHOUT_INPUT = """\
+Below is an instruction that describes a task. Write a response that appropriately     completes the request.
+
+### Instruction:
+{instruction}
+
+### Response:
+{output}"""
+_CHATML = """\
+<|im_start|>system
+{system}<|im_end|>
+<|im_start|>user
+{user}<|im_end|>
+<|im_start|>assistant
+{assistant}<|im_end|>"""
+_LLAMA = """\
+<|begin_of_text|><|start_header_id|>system<|end_header_id|>
+
+{system}<|eot_id|><|start_header_id|>user<|end_header_id|>
+
+{user}<|eot_id|><|start_header_id|>assistant<|end_header_id|>
+
+{assistant}<|eot_id|>"""
+_CUSTOM_WITH_CONTEXT = """\
+### System:
+{system}
+
+### Instruction:
+{instruction}
+
+### Context:
+{input}
+
+### Response:
+{output}"""
+_CUSTOM_WITHOUT_CONTEXT = """\
+### System:
+{system}
+
+### Instruction:
+{instruction}
+
+### Response:
+{output}"""
+# End of the fixed values.
+
+
+def _filled(template: str, **columns: str) -> str:
+    """SQL that prints a template; names in braces are columns, or the expressions given for them."""
+    parts = re.split(r"\{(\w+)\}", template)
+    return " || ".join(
+        columns.get(part, part) if n % 2 else _lit(part) for n, part in enumerate(parts) if n % 2 or part
     )
 
 
+def _alpaca(with_input: str = _ALPACA_WITH_INPUT, without_input: str = _ALPACA_WITHOUT_INPUT) -> str:
+    return f"CASE WHEN {_blank('input')} THEN {_filled(without_input)} ELSE {_filled(with_input)} END"
+
+
 def _chatml(system: str, user: str, assistant: str) -> str:
-    blocks = (("system", system), ("user", user), ("assistant", assistant))
-    return " || chr(10) || ".join(
-        f"'<|im_start|>{role}' || chr(10) || {value} || '<|im_end|>'" for role, value in blocks
-    )
+    return _filled(_CHATML, system=system, user=user, assistant=assistant)
 
 
 def _llama(system: str, user: str, assistant: str) -> str:
-    blocks = (("system", system), ("user", user), ("assistant", assistant))
-    return "'<|begin_of_text|>' || " + " || ".join(
-        f"'<|start_header_id|>{role}<|end_header_id|>' || chr(10) || chr(10) || {value} || '<|eot_id|>'"
-        for role, value in blocks
-    )
+    return _filled(_LLAMA, system=system, user=user, assistant=assistant)
 
 
 def _custom(system: str, context: bool) -> str:
-    head = _lit(f"### System:\n{system}\n\n### Instruction:\n") + " || instruction || "
-    tail = _lit("\n\n### Response:\n") + " || output"
+    bare = _filled(_CUSTOM_WITHOUT_CONTEXT, system=_lit(system))
     if not context:
-        return head + tail
-    middle = _lit("\n\n### Context:\n") + " || input || "
-    return f"CASE WHEN {_blank('input')} THEN {head}{tail} ELSE {head}{middle}{tail} END"
+        return bare
+    return f"CASE WHEN {_blank('input')} THEN {bare} ELSE {_filled(_CUSTOM_WITH_CONTEXT, system=_lit(system))} END"
 
 
 def _text(expression: str) -> str:
@@ -151,7 +196,7 @@ ORACLES: dict[str, str] = {
     "scan_parquet": _DOCUMENTS,
     "scan_csv": _DOCUMENTS,
     "scan_dir_priority": _DOCUMENTS,
-    "reload_prepared": _text(_alpaca(_ALPACA_HEAD_INPUT, _ALPACA_HEAD)),
+    "reload_prepared": _text(_alpaca()),
     "scan_prefix": "SELECT doc_id, text, source FROM documents WHERE starts_with(source, 'src1')",
     "land_local": _DOCUMENTS,
     "land_tree": """
@@ -214,8 +259,8 @@ ORACLES: dict[str, str] = {
                cast(NULL AS VARCHAR) AS torch_version
         FROM events GROUP BY user_id""",
     "versioned_write": f"SELECT 'v1.0-docs' AS version, * FROM ({_DOCUMENTS})",
-    "fmt_alpaca": _text(_alpaca(_ALPACA_HEAD_INPUT, _ALPACA_HEAD)),
-    "fmt_alpaca_loader": _text(_alpaca(_LOADER_HEAD_INPUT, _LOADER_HEAD)),
+    "fmt_alpaca": _text(_alpaca()),
+    "fmt_alpaca_loader": _text(_alpaca(_LOADER_WITH_INPUT, _LOADER_WITHOUT_INPUT)),
     "fmt_sharegpt": _SHAREGPT,
     "fmt_chatml": _text(_chatml(_EXPERT, "instruction", "output")),
     "fmt_llama": _text(_llama("input", "instruction", "output")),
@@ -223,7 +268,7 @@ ORACLES: dict[str, str] = {
     "resolve_roles": f"""{_ROWS}
         SELECT conv_id, turn, {_DEFAULT} AS system, instruction AS user, output AS assistant FROM pairs""",
     "prepare_dispatch": f"""{_ROWS}, sharegpt AS ({_SHAREGPT})
-        SELECT conv_id, turn, 'alpaca' AS format, {_alpaca(_ALPACA_HEAD_INPUT, _ALPACA_HEAD)} AS text FROM pairs
+        SELECT conv_id, turn, 'alpaca' AS format, {_alpaca()} AS text FROM pairs
         UNION ALL
         SELECT conv_id, turn, 'chatml', {_chatml(_DEFAULT, "instruction", "output")} FROM pairs
         UNION ALL
@@ -232,7 +277,7 @@ ORACLES: dict[str, str] = {
         SELECT conv_id, turn, 'custom', {_custom("You are a helpful assistant.", context=False)} FROM pairs
         UNION ALL
         SELECT conv_id, cast(0 AS BIGINT), 'sharegpt', text FROM sharegpt""",
-    "autodetect_format": _text(_alpaca(_LOADER_HEAD_INPUT, _LOADER_HEAD)),
+    "autodetect_format": _text(_alpaca(_LOADER_WITH_INPUT, _LOADER_WITHOUT_INPUT)),
     "resolve_text_field": f"""{_ROWS}
         SELECT 'documents' AS shape, 'text' AS text_field,
                cast(sum(length(text)) AS BIGINT) AS num_chars FROM documents
@@ -315,14 +360,10 @@ ORACLES: dict[str, str] = {
                row_number() OVER (PARTITION BY source ORDER BY doc_id DESC) > 3 AS expired
         FROM documents""",
     "stream_ingest": f"""
-        SELECT doc_id, {_lit("### System:" + chr(10) + "You are a helpful assistant." + chr(10) * 2
-                             + "### Instruction:" + chr(10))} || source
-               || {_lit(chr(10) * 2 + "### Response:" + chr(10))} || text AS text
+        SELECT doc_id, {_filled(_CUSTOM_WITHOUT_CONTEXT, system=_DEFAULT, instruction="source", output="text")} AS text
         FROM documents""",
     "stream_then_train": f"""
-        SELECT doc_id, position, {_lit("### System:" + chr(10) + "You are a helpful assistant." + chr(10) * 2
-                             + "### Instruction:" + chr(10))} || source
-               || {_lit(chr(10) * 2 + "### Response:" + chr(10))} || text AS text
+        SELECT doc_id, position, {_filled(_CUSTOM_WITHOUT_CONTEXT, system=_DEFAULT, instruction="source", output="text")} AS text
         FROM documents JOIN ({_ORDER}) USING (doc_id)""",
     "stream_prepare": _SHAREGPT,
     "metric_rollup": _ROLLUP,
