@@ -8,8 +8,8 @@ Rows that hit a known digest are then compared with the keeper's content byte
 by byte; texts that merely share a digest stay apart.
 
 State holds one short row per distinct text. A digest that a third of all rows
-share is summed up by each task before the shuffle. Only texts of rows that
-have copies are shuffled, for the comparison.
+share is summed up by each task before the shuffle. For the comparison texts are
+shuffled once by their place, and those that have copies once more to their keeper.
 """
 
 from __future__ import annotations
@@ -144,7 +144,8 @@ def exact_dedup(
     if spark.read.schema(rows.schema).parquet(path).isEmpty():
         known = spark.createDataFrame([], f"digest string, keep struct<key: {rows.schema[key].dataType.simpleString()}, file: string, row: bigint>, rows_seen bigint")
     else:
-        known = keepers(source.parquet(path), state, key, text, digest)
+        # Written before the join, so that Spark can split a digest that many rows share.
+        known = written(keepers(source.parquet(path), state, key, text, digest), "dedup-keepers")
     located = _located(rows, key, text)
     here = located.withColumn("digest", digest(F.col("content"))).drop("content")
     found = written(here.join(known, "digest"), "dedup-found")
