@@ -68,7 +68,7 @@ def fair_queue(
     weights: Sequence[int] = (3, 1, 2),
     share: float = 1.5,
     max_repeats: int = 2,
-    rows_per_slice: int = 20_000,
+    rows_per_slice: int = 2_500,
     seed: str = "",
 ) -> DataFrame:
     """How often the mix takes each document.
