@@ -150,11 +150,20 @@ def fit(
         else:
             seen[row[0]] = row[1]
     idf = np.log((1 + total) / (1 + seen)).astype(np.float32) + 1
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key")
+    # A share of each language's hashes that holds enough rows, so that few reach the numbering.
+    held = {r[0]: r[1] for r in known.groupBy("lang").count().collect()}
+    shares = [(name, min(1.0, 2 * fit_per_language / n + 20 / n)) for name, n in sorted(held.items())]
+    share = F.lit(0.0)
+    if shares:
+        share = F.element_at(F.create_map(*[F.lit(x) for pair in shares for x in pair]), F.col("lang"))
+    by_hash = Window.partitionBy("lang").orderBy("hash", "key")
     picked = (
-        known.select("key", "lang").withColumn("nth", F.row_number().over(by_hash)).filter(F.col("nth") <= fit_per_language)
+        known.select("key", "lang", F.pmod(F.xxhash64("key"), F.lit(1 << 40)).alias("hash"))
+        .filter(F.col("hash") < share * float(1 << 40))
+        .withColumn("nth", F.row_number().over(by_hash)).filter(F.col("nth") <= fit_per_language)
     )
-    sample = known.join(picked.select("key", "lang"), ["key", "lang"], "left_semi")
+    # At most fit_per_language keys of each language, so that texts need not move.
+    sample = known.join(F.broadcast(picked.select("key", "lang")), ["key", "lang"], "left_semi")
 
     def of_language(name: tuple, batch: pa.Table) -> pa.Table:
         found = [c for t in batch.column("text").to_pylist() if (c := gram_counts(t)) is not None]
