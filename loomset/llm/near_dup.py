@@ -228,13 +228,15 @@ def near_duplicates(
     )
     placed = nodes.select("node", F.explode("bands").alias("bucket"))
     orders = [F.col("node"), *(F.xxhash64("node", F.lit(n)) for n in range(1, CENTRES))]
-    buckets = (
+    # Written before the join, so that Spark can split a bucket that many nodes share.
+    buckets = written(
         placed.groupBy("bucket")
         .agg(
             F.count(F.lit(1)).alias("size"),
             F.array(*[F.min_by("node", o) for o in orders]).alias("centres"),
         )
-        .filter("size > 1")
+        .filter("size > 1"),
+        "near-buckets",
     )
     members = written(placed.join(buckets, "bucket"), "near-members")
 
@@ -275,7 +277,7 @@ def near_duplicates(
         "bucket", "node", F.coalesce("root", "node").alias("label")
     )
     classes = told.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
-    mixed = (
+    mixed = written(
         classes.groupBy("bucket")
         .agg(F.max(F.struct("n", "label")).alias("main"), F.sum("n").alias("size"))
         .filter("main.n < size")
@@ -284,7 +286,8 @@ def near_duplicates(
             F.col("main.label").alias("main"),
             F.ceil(F.col("size") / RIGHT_BLOCK).cast("int").alias("rights"),
             F.ceil((F.col("size") - F.col("main.n")) / LEFT_BLOCK).cast("int").alias("lefts"),
-        )
+        ),
+        "near-mixed",
     )
     open_members = written(told.join(mixed, "bucket"), "near-open")
     if not open_members.isEmpty():
