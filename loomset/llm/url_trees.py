@@ -68,6 +68,9 @@ def _count(text: Column, chars: str) -> Column:
     return F.regexp_count(text, F.lit(f"[{chars}]")).cast("double")
 
 
+#: Partitions of the bounded training table, however many the pages have.
+FIT_PARTS = 8
+
 FEATURES = (
     "url_length", "host_length", "path_length", "depth", "labels", "digit_ratio", "hyphens", "entropy", "parameters",
     "has_query", "has_fragment", "suffix_pages", "suffix_hosts", "suffix_blocked",
@@ -138,7 +141,8 @@ def judge(
         share = min(1.0, fit_rows / labelled)
         sample = written(
             rows.filter(F.col("label").isNotNull() & (F.pmod(F.xxhash64("url"), F.lit(1_000_000)) < int(share * 1_000_000)))
-            .select("features", "label"),
+            .select("features", "label")
+            .repartition(FIT_PARTS),
             "url-sample",
         )
         model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.3, seed=seed).fit(sample)
