@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from loomset.llm.common import written
 
 DIMENSIONS = 1 << 14
+#: Partitions of the bounded training table, however many the corpus has.
+FIT_PARTS = 8
 PLAIN_EACH = 20
 NONE, UNKNOWN = "none", "unknown"
 
@@ -177,7 +179,7 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", plain_docs: in
     families = [NONE, *TEMPLATES]
     number = F.array_position(F.array(*map(F.lit, families)), F.col("family")) - 1
     rows = written(
-        _hashed(_grams(notices.union(plain)))
+        _hashed(_grams(notices.union(plain).repartition(FIT_PARTS)))
         .select(number.cast("double").alias("label"), "features", F.pmod(F.xxhash64("paragraph"), F.lit(3)).alias("fold")),
         "licence-fit",
     )
