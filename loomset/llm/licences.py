@@ -1,17 +1,24 @@
-"""Licence lines found by a trained paragraph classifier and confirmed against templates.
+"""Licence notices found by a trained paragraph classifier and confirmed against templates.
 
-Paragraphs (lines) become sparse counts of hashed word unigrams and bigrams. A
+Paragraphs are lines, and runs of lines that a wrapped notice may fill. They become sparse counts of hashed word unigrams and bigrams. A
 multinomial logistic regression tells the licence families, plain text, and
 licence talk of no known family apart; what it is unsure of, by a threshold
 calibrated per family on held-out variants, is ``unknown``. A family is confirmed if
 enough of the word pairs of one of its templates stand in the paragraph.
 
 Main path and training are DataFrame code with Spark's own feature hashing and
-regression. Nothing is shuffled: paragraphs are exploded, scored and filtered in one pass.
+regression. Paragraphs are exploded, scored and filtered in one pass; only the hits are
+shuffled, to their documents, where a run of lines takes the place of its lines.
+
+Runs are only made in texts that hold enough of a template's word pairs at all, and from
+lines that have one of them, so none that could be confirmed is left out.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
@@ -95,6 +102,36 @@ TEMPLATES = {
         "Distributed under a proprietary license.",
     ],
 }
+#: Short notices that say their family in one pair of words, which no other text has.
+TAGS = {
+    "MIT": ["MIT"],
+    "Apache-2.0": ["Apache-2.0"],
+    "GPL": ["GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later"],
+    "LGPL": ["LGPL-2.1", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0", "LGPL-3.0-only", "LGPL-3.0-or-later"],
+    "AGPL": ["AGPL-3.0", "AGPL-3.0-only", "AGPL-3.0-or-later"],
+    "BSD": ["BSD-2-Clause", "BSD-3-Clause"],
+    "MPL": ["MPL-2.0"],
+    "CC-BY": ["CC-BY-4.0"],
+    "CC-BY-SA": ["CC-BY-SA-4.0"],
+    "CC-BY-NC": ["CC-BY-NC-4.0"],
+    "ISC": ["ISC"],
+    "Unlicense": ["Unlicense", "CC0-1.0"],
+}
+#: Headings, which confirm a family only as a whole paragraph.
+TITLES = {
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)"],
+    "Apache-2.0": ["Apache License", "Apache License, Version 2.0", "Apache License Version 2.0, January 2004"],
+    "GPL": ["GNU General Public License", "GNU General Public License, version 2", "GNU General Public License, version 3"],
+    "LGPL": ["GNU Lesser General Public License", "GNU Lesser General Public License, version 3"],
+    "AGPL": ["GNU Affero General Public License", "GNU Affero General Public License, version 3"],
+    "BSD": ["BSD License", "BSD 2-Clause License", "BSD 3-Clause License", "The 3-Clause BSD License"],
+    "MPL": ["Mozilla Public License", "Mozilla Public License Version 2.0"],
+    "CC-BY": ["Creative Commons Attribution 4.0 International", "Creative Commons Attribution 4.0 International License"],
+    "CC-BY-SA": ["Creative Commons Attribution-ShareAlike 4.0 International"],
+    "CC-BY-NC": ["Creative Commons Attribution-NonCommercial 4.0 International"],
+    "ISC": ["ISC License"],
+    "Unlicense": ["The Unlicense"],
+}
 #: Words that stand before or after a notice.
 FRAMES = [
     ("", ""),
@@ -107,6 +144,10 @@ FRAMES = [
 # End of the fixed values.
 
 
+for _family, _tags in TAGS.items():
+    TEMPLATES[_family] += [f"SPDX-License-Identifier: {tag}" for tag in _tags]
+
+
 def words_of(text: str | Column) -> Column:
     """Lower-cased runs of letters, digits and the signs inside names and versions."""
     return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+(?:[.\-/][\p{L}\p{N}]+)*"), 0)
@@ -114,7 +155,10 @@ def words_of(text: str | Column) -> Column:
 
 def pairs_of(words: str) -> Column:
     """Neighbouring words, joined."""
-    words = F.col(words)
+    return _pairs(F.col(words))
+
+
+def _pairs(words: Column) -> Column:
     return F.when(
         F.size(words) > 1,
         F.zip_with(F.slice(words, F.lit(1), F.size(words) - 1), F.slice(words, F.lit(2), F.size(words) - 1), lambda a, b: F.concat_ws(" ", a, b)),
@@ -131,10 +175,106 @@ def _grams(rows: DataFrame) -> DataFrame:
     )
 
 
-def paragraphs(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``key``, ``paragraph_no`` (from 0) and ``paragraph`` of each line of a text that has a letter or digit."""
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """An expression over a value that is computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _template_words(template: str) -> list[str]:
+    """What ``words_of`` makes of a template."""
+    return re.findall(r"[a-z0-9]+(?:[.\-/][a-z0-9]+)*", template.lower())
+
+
+def _anchors(confirm: float) -> list[str]:
+    """Words of which every text has one that holds ``confirm`` of some template's word pairs."""
+    found: set[str] = set()
+    for family, texts in TEMPLATES.items():
+        for words in map(_template_words, texts if family != UNKNOWN else []):
+            pairs = set(zip(words, words[1:]))
+            for word in sorted(set(words), key=lambda w: (w not in found, -len(w), w)):
+                if sum(1 for pair in pairs if not found & set(pair)) < confirm * len(pairs):
+                    break
+                found.add(word)
+    return sorted(found)
+
+
+def _may_be_confirmed(text: Column, templates: Column, confirm: float) -> Column:
+    """Whether a text, its line breaks aside, holds enough of a template's word pairs."""
+    known = sorted({" ".join(p) for f, ts in TEMPLATES.items() if f != UNKNOWN for t in ts for w in [_template_words(t)] for p in zip(w, w[1:])})
+    # The alternatives have letters, digits and "-./" only.
+    some = text.rlike("(?i)" + "|".join(a.replace(".", "[.]") for a in _anchors(confirm)))
+    shared = F.array_intersect(_pairs(words_of(text)), F.array(*map(F.lit, known)))
+    return some & _let(shared, lambda own: F.exists(templates, lambda t: F.size(F.array_intersect(own, t["pairs"])) >= t["least"]))
+
+
+def _templates(confirm: float) -> Column:
+    """``family``, ``words`` (their number), ``pairs`` and ``least`` (pairs to hold) of each template."""
+    return F.array(
+        *[
+            F.struct(
+                F.lit(len(words)).alias("words"),
+                F.array(*map(F.lit, pairs)).alias("pairs"),
+                F.lit(confirm * len(pairs) - 1e-9).alias("least"),
+            )
+            for family, texts in TEMPLATES.items()
+            for words in map(_template_words, texts if family != UNKNOWN else [])
+            for pairs in [sorted({" ".join(p) for p in zip(words, words[1:])})]
+        ]
+    )
+
+
+def _runs(words: Column, pairs: Column, templates: Column) -> Column:
+    """``first`` and ``last`` of the runs of two and more lines that may be confirmed.
+
+    ``words`` and ``pairs`` of each line, the latter with the pair that goes over to the next
+    line. A run has no line without words. Every word of a template may have a line of its own.
+    """
+
+    def of_template(t: Column) -> Column:
+        return _let(F.transform(pairs, lambda p: F.array_intersect(p, t["pairs"])), lambda hits: runs_over(hits, t))
+
+    def runs_over(hits: Column, t: Column) -> Column:
+        every = F.filter(F.sequence(F.lit(0), F.size(hits) - 1), lambda i: F.size(F.get(hits, i)) > 0)
+        return F.flatten(F.transform(every, lambda first: from_line(hits, t, first)))
+
+    def from_line(hits: Column, t: Column, first: Column) -> Column:
+        end = F.least(F.size(hits) - 1, first + t["words"] - 1)
+        ends = F.when(end > first, F.sequence(first + 1, end)).otherwise(F.array().cast("array<int>"))
+        good = F.filter(
+            ends,
+            lambda e: ((F.size(F.get(hits, e)) > 0) | (F.size(F.get(hits, e - 1)) > 0))
+            & (F.size(F.array_distinct(F.flatten(F.slice(hits, first + 1, e - first + 1)))) >= t["least"])
+            & F.forall(F.slice(words, first + 1, e - first + 1), lambda w: F.size(w) > 0),
+        )
+        return F.transform(good, lambda e: F.struct(first.alias("first"), e.alias("last")))
+
+    return F.array_distinct(F.flatten(F.transform(templates, of_template)))
+
+
+def paragraphs(docs: DataFrame, key: str, text: str, confirm: float = 0.6) -> DataFrame:
+    """``key``, ``doc`` (a number of the row), ``first``, ``last`` and ``paragraph`` of each line of a text that has a letter or digit, and of runs of lines.
+
+    ``first`` and ``last`` are numbers of lines, from 0. Runs are those of which a template may have ``confirm`` of its word pairs.
+    """
+    lines = F.split(F.col("text"), r"\r?\n")
+    none = F.array().cast("array<string>")
+    over = lambda words: F.transform(
+        words,
+        lambda w, i: F.when(F.size(w) > 0, _pairs(F.concat(w, F.slice(F.coalesce(F.get(words, i + 1), none), 1, 1)))).otherwise(none),
+    )
+    run = lambda r: F.struct(
+        r["first"].alias("first"),
+        r["last"].alias("last"),
+        F.array_join(F.slice(lines, r["first"] + 1, r["last"] - r["first"] + 1), "\n").alias("paragraph"),
+    )
+    runs = _let(F.transform(lines, words_of), lambda words: _let(over(words), lambda pairs: F.transform(_runs(words, pairs, _templates(confirm)), run)))
+    alone = F.transform(lines, lambda line, i: F.struct(i.alias("first"), i.alias("last"), line.alias("paragraph")))
+    wrapped = (F.size(lines) > 1) & _may_be_confirmed(F.col("text"), _templates(confirm), confirm)
     return (
-        docs.select(F.col(key).alias("key"), F.posexplode(F.split(F.col(text), r"\r?\n")).alias("paragraph_no", "paragraph"))
+        # Rows are numbered before they are exploded.
+        docs.select(F.col(key).alias("key"), F.monotonically_increasing_id().alias("doc"), F.col(text).alias("text"))
+        .select("key", "doc", F.explode(F.when(wrapped, F.concat(alone, runs)).otherwise(alone)).alias("p"))
+        .select("key", "doc", "p.*")
         .filter(F.col("paragraph").rlike(r"[\p{L}\p{N}]"))
     )
 
@@ -147,16 +287,16 @@ class LicenceModel:
 
 
 def _notices(spark: SparkSession) -> DataFrame:
-    """Notices in several frames and cut short at either end; a hash holds a third of them out."""
+    """Notices in several frames and cut short at either end; a hash holds a third of them out, but no title."""
     rows = [
-        (family, " ".join(part for part in (before, " ".join(kept), after) if part))
+        (not any((before, after)) and text in TITLES.get(family, []), family, " ".join(part for part in (before, " ".join(kept), after) if part))
         for family, texts in TEMPLATES.items()
-        for text in texts
+        for text in [*texts, *TITLES.get(family, [])]
         for before, after in FRAMES
         for words in [text.split()]
         for kept in ([words, words[1:], words[:-1]] if len(words) > 4 else [words])
     ]
-    return spark.createDataFrame(rows, "family string, paragraph string")
+    return spark.createDataFrame(rows, "taught boolean, family string, paragraph string")
 
 
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", plain_docs: int = 500) -> LicenceModel:
@@ -174,13 +314,17 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", plain_docs: in
         candidates.filter(F.pmod(F.xxhash64(key), F.lit(1_000_000)) < max(1, int(share * 1_000_000)))
         .select(F.explode(F.slice(F.split(F.col(text), r"\r?\n"), 1, PLAIN_EACH)).alias("paragraph"))
         .filter(~F.col("paragraph").rlike(talk))
-        .select(F.lit(NONE).alias("family"), "paragraph")
+        .select(F.lit(False).alias("taught"), F.lit(NONE).alias("family"), "paragraph")
     )
     families = [NONE, *TEMPLATES]
     number = F.array_position(F.array(*map(F.lit, families)), F.col("family")) - 1
     rows = written(
         _hashed(_grams(notices.union(plain).repartition(FIT_PARTS)))
-        .select(number.cast("double").alias("label"), "features", F.pmod(F.xxhash64("paragraph"), F.lit(3)).alias("fold")),
+        .select(
+            number.cast("double").alias("label"),
+            "features",
+            F.when(F.col("taught"), 1).otherwise(F.pmod(F.xxhash64("paragraph"), F.lit(3))).alias("fold"),
+        ),
         "licence-fit",
     )
     regression = LogisticRegression(family="multinomial", regParam=1e-3, maxIter=40, tol=1e-4)
@@ -197,21 +341,30 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", plain_docs: in
 def scan(
     docs: DataFrame, model: LicenceModel, key: str = "doc_id", text: str = "text", confirm: float = 0.6, least: float = 0.8
 ) -> DataFrame:
-    """Paragraphs that speak of a licence: ``key``, ``paragraph_no``, ``family``, ``predicted``, ``probability``, ``template_share``, ``confirmed``.
+    """Paragraphs that speak of a licence: ``key``, ``paragraph_no``, ``family``, ``predicted``, ``probability``, ``template_share``, ``confirmed``, ``lines``.
+
+    A paragraph is a line (``paragraph_no`` from 0), or a run of ``lines`` lines from that one if only
+    together they are confirmed; lines of such a run that aren't confirmed are left to it. Lines
+    without a letter or digit end runs. Of runs of one family that overlap the one with
+    the largest share stays.
 
     A paragraph speaks of one if the probabilities of all families together
     reach ``least``. ``predicted`` is the most probable family; ``family`` is the same, or
     ``unknown`` if it is less probable than its threshold or no template of it has
-    ``confirm`` of its word pairs in the paragraph. Null and empty texts have no paragraphs. Rows that
+    ``confirm`` of its word pairs in the paragraph (of a title, all pairs and no other). Null and empty texts have no paragraphs. Rows that
     repeat a key give their paragraphs each.
     """
     families = F.array(*map(F.lit, model.families))
     thresholds = F.array(*map(F.lit, model.thresholds))
-    scored = model.model.transform(_hashed(_grams(paragraphs(docs, key, text)).select("key", "paragraph_no", "pairs", "grams")))
+    scored = model.model.transform(
+        _hashed(_grams(paragraphs(docs, key, text, confirm)).select("key", "doc", "first", "last", "pairs", "grams"))
+    )
     scored = scored.withColumn("sure", vector_to_array("probability"))
     hits = scored.filter((F.col("prediction") != 0) & (F.get("sure", F.lit(0)) <= 1 - least)).select(
         "key",
-        "paragraph_no",
+        "doc",
+        "first",
+        "last",
         "pairs",
         F.get(families, F.col("prediction").cast("int")).alias("predicted"),
         F.get(thresholds, F.col("prediction").cast("int")).alias("threshold"),
@@ -220,26 +373,51 @@ def scan(
     share = F.lit(0.0)
     for family, texts in TEMPLATES.items():
         if family != UNKNOWN:
-            of_template = [_share(t) for t in texts]
+            of_template = [_share(t) for t in texts] + [_share(t, whole=True) for t in TITLES[family]]
             share = F.when(F.col("predicted") == family, F.greatest(*of_template)).otherwise(share)
     found = hits.withColumn("template_share", share).withColumn(
         "confirmed", (F.col("template_share") >= confirm) & (F.col("probability") >= F.col("threshold"))
     )
-    return found.select(
+    found = found.filter((F.col("first") == F.col("last")) | F.col("confirmed"))
+    columns = ["first", "last", "predicted", "probability", "template_share", "confirmed"]
+    of_doc = found.groupBy("doc").agg(F.first("key").alias("key"), F.collect_list(F.struct(*columns)).alias("all"))
+    return of_doc.select("key", F.explode(_settled(F.col("all"))).alias("p")).select("key", "p.*").select(
         F.col("key").alias(key),
-        "paragraph_no",
+        F.col("first").alias("paragraph_no"),
         F.when(F.col("confirmed"), F.col("predicted")).otherwise(UNKNOWN).alias("family"),
         "predicted",
         "probability",
         "template_share",
         "confirmed",
+        (F.col("last") - F.col("first") + 1).alias("lines"),
     )
 
 
-def _share(template: str) -> Column:
-    """How many of a template's word pairs a paragraph has, as a share."""
-    words = words_of(F.lit(template))
-    pairs = F.array_distinct(
-        F.zip_with(F.slice(words, F.lit(1), F.size(words) - 1), F.slice(words, F.lit(2), F.size(words) - 1), lambda a, b: F.concat_ws(" ", a, b))
+def _settled(hits: Column) -> Column:
+    """One document's hits, without runs that a confirmed line or a better run stands for, and without lines that runs stand for."""
+    alone = F.filter(hits, lambda h: h["first"] == h["last"])
+    sure = F.filter(alone, lambda h: h["confirmed"])
+    overlap = lambda a, b: (a["first"] <= b["last"]) & (b["first"] <= a["last"])
+    same = lambda a, b: overlap(a, b) & (a["predicted"] == b["predicted"])
+    runs = F.filter(hits, lambda h: (h["first"] < h["last"]) & ~F.exists(sure, lambda s: same(s, h)))
+    ranked = F.array_sort(
+        F.transform(
+            runs,
+            lambda h: F.struct((-h["template_share"]).alias("a"), (h["last"] - h["first"]).alias("b"), h["first"].alias("c"), h.alias("h")),
+        )
+    )
+    none = F.filter(hits, lambda h: F.lit(False))
+    best = F.aggregate(
+        ranked, none, lambda kept, r: F.when(F.exists(kept, lambda k: same(k, r["h"])), kept).otherwise(F.concat(kept, F.array(r["h"])))
     )
-    return F.size(F.array_intersect(pairs, F.col("pairs"))) / F.size(pairs)
+    return F.concat(F.filter(alone, lambda h: h["confirmed"] | ~F.exists(best, lambda b: overlap(b, h))), best)
+
+
+def _share(template: str, whole: bool = False) -> Column:
+    """How many of a template's word pairs a paragraph has, as a share; ``whole``: 1 for all pairs and no other, else 0."""
+    words = _template_words(template)
+    pairs = F.array(*map(F.lit, dict.fromkeys(" ".join(p) for p in zip(words, words[1:]))))
+    shared = F.size(F.array_intersect(pairs, F.col("pairs")))
+    if whole:
+        return F.when((shared == F.size(pairs)) & (F.size(F.array_distinct("pairs")) == shared), 1.0).otherwise(0.0)
+    return shared / F.size(pairs)

@@ -47,6 +47,41 @@ def test_families_unknown_licences_and_plain_text(spark, model):
     assert not [k for k in got if k[0] == 3 or k in ((0, 0), (0, 2))]
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 Some Body
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:"""
+BSD = """BSD 3-Clause License
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:"""
+GPL = """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version."""
+
+
+def test_wrapped_notices_titles_and_tags(spark, model):
+    narrow = "\n".join("Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS".split())
+    apart = "you can redistribute it and/or modify\n\nit under the terms of the GNU\n\nLesser General Public License"
+    texts = ["first line\n" + MIT, BSD.replace("\n", "\r\n"), GPL, "// SPDX-License-Identifier: MIT\nint main", "SPDX-License-Identifier: BSD-3-Clause"]
+    got = scanned(spark, model, [*texts, narrow, apart, MIT + "\n\n" + GPL, "This is not like the MIT License of old"])
+    sure = {k: (r.family, r.lines) for k, r in got.items() if r.confirmed}
+    assert {k: v[0] for k, v in sure.items()} == {
+        **{(0, 1): "MIT", (0, 5): "MIT", (1, 0): "BSD", (1, 2): "BSD", (2, 0): "GPL", (3, 0): "MIT", (4, 0): "BSD"},
+        **{(5, 0): "Apache-2.0", (7, 0): "MIT", (7, 4): "MIT", (7, 11): "GPL"},
+    }
+    assert sure[(0, 5)][1] == 3 and sure[(1, 2)][1] == 2 and sure[(2, 0)][1] == 4 and sure[(0, 1)][1] == 1
+    # The lines of a run are left to it.
+    assert not [k for k in got if k[0] in (0, 2) and k not in sure and k[1] in (6, 7, 1, 2, 3)]
+
+
 def test_odd_texts(spark, model, odd_docs, no_docs):
     assert licences.scan(odd_docs, model).collect() == []
     assert licences.scan(no_docs, model).collect() == []
