@@ -35,6 +35,10 @@ _SETTINGS = {
 }
 
 
+#: How much older than the newest file a file may be that a stream still takes; Spark's default is a week.
+_ANY_AGE = "36500d"
+
+
 def sha256(content: Column) -> Column:
     return F.sha2(content, 256)
 
@@ -138,7 +142,7 @@ def exact_dedup(
     spark = docs.sparkSession
     rows, path = files_of(docs)
     state = state or scratch_dir(spark, "dedup-state")
-    source = spark.readStream.schema(rows.schema)
+    source = spark.readStream.schema(rows.schema).option("maxFileAge", _ANY_AGE)
     if files_per_batch:
         source = source.option("maxFilesPerTrigger", files_per_batch)
     if spark.read.schema(rows.schema).parquet(path).isEmpty():
@@ -148,7 +152,11 @@ def exact_dedup(
         known = written(keepers(source.parquet(path), state, key, text, digest), "dedup-keepers")
     located = _located(rows, key, text)
     here = located.withColumn("digest", digest(F.col("content"))).drop("content")
-    found = written(here.join(known, "digest"), "dedup-found")
+    # Every row was in the stream; one that it passed over must not vanish.
+    passed_over = F.raise_error(F.concat(F.lit("the stream passed over rows of "), F.col("file")))
+    found = written(
+        here.join(known, "digest", "left").withColumn("rows_seen", F.coalesce("rows_seen", passed_over)), "dedup-found"
+    )
     differing = _differing(located, found)
     same = found.withColumn("own", F.lit(None).cast("string"))
     if not differing.isEmpty():

@@ -1,4 +1,6 @@
+import os
 import random
+import time
 from collections import defaultdict
 
 import numpy as np
@@ -159,6 +161,19 @@ def test_later_files_meet_the_state_of_earlier_ones(spark, tmp_path):
     assert exact(spark.read.parquet(table), state=state) == [(1, 3, 2, False), (2, 2, 1, True), (3, 3, 2, True)]
 
 
+def test_a_later_file_may_be_older(spark, tmp_path):
+    table, state = tmp_path / "table", str(tmp_path / "state")
+    rows = lambda *r: spark.createDataFrame(r, "doc_id long, text string").coalesce(1)
+    rows((1, "x"), (2, "y")).write.parquet(str(table))
+    assert len(exact(spark.read.parquet(str(table)), state=state)) == 2
+    first = set(table.glob("*.parquet"))
+    rows((3, "x"), (4, "z")).write.mode("append").parquet(str(table))
+    for added in set(table.glob("*.parquet")) - first:
+        os.utime(added, (time.time() - 30 * 86_400,) * 2)
+    want = [(1, 3, 2, False), (2, 2, 1, True), (3, 3, 2, True), (4, 4, 1, True)]
+    assert exact(spark.read.parquet(str(table)), state=state) == want
+
+
 def test_several_batches_agree_with_one(spark, documents, tmp_path):
     path = str(tmp_path / "docs")
     documents.repartition(6).write.parquet(path)
