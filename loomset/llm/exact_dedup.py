@@ -39,6 +39,10 @@ _SETTINGS = {
 _ANY_AGE = "36500d"
 
 
+#: Reading options that leave files out, in lower case.
+_NARROWING = {"pathglobfilter", "modifiedbefore", "modifiedafter", "recursivefilelookup", "ignorecorruptfiles", "ignoremissingfiles"}
+
+
 def sha256(content: Column) -> Column:
     return F.sha2(content, 256)
 
@@ -56,19 +60,26 @@ def _located(rows: DataFrame, key: str, text: str) -> DataFrame:
 def files_of(rows: DataFrame) -> tuple[DataFrame, str]:
     """A table in Parquet files, and the path that a stream reads them by.
 
-    A whole table read from one file or one folder is taken where it lies; any
-    other is first written to the shared scratch folder, so that rows have a lasting place.
+    A whole table read from one file or from all files of one folder is taken where it lies; any
+    other, and one read with options that leave files out, is first written to the shared scratch folder, so that rows have a lasting place.
     """
     files = []
     plan = rows._jdf.queryExecution().analyzed()
     if plan.getClass().getSimpleName() == "LogicalRelation" and "_metadata" not in rows.columns:
         files = rows.inputFiles()
+        # A file that is named twice is read twice.
+        if files and len(list(plan.relation().location().inputFiles())) != len(files):
+            files = []
     folders = {f.rsplit("/", 1)[0] for f in files}
     if len(files) == 1:
         # A stream takes a single file only as a pattern; this one matches that file alone.
         return rows, f"{escape_glob(files[0][:-1])}[{files[0][-1]}]"
     if len(folders) == 1:
-        return rows, escape_glob(folders.pop())
+        folder = escape_glob(folders.pop())
+        options = {name.lower() for name in plan.relation().options().keys().mkString("\n").split("\n")}
+        whole = rows.sparkSession.read.schema(rows.schema).parquet(folder).inputFiles()
+        if not options & _NARROWING and set(whole) == set(files):
+            return rows, folder
     path = scratch_dir(rows.sparkSession, "dedup-input")
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path), path
@@ -137,10 +148,13 @@ def exact_dedup(
     alone; a null key is smaller than any other. An empty table gives no rows.
 
     ``state`` keeps the stream's folder for later runs over a grown table; by default it is new.
+    Such a table must be one that is taken where it lies (see ``files_of``), as rows of a copy would count anew.
     ``files_per_batch`` cuts a long backlog into several batches.
     """
     spark = docs.sparkSession
     rows, path = files_of(docs)
+    if state and rows is not docs:
+        raise ValueError("a kept state needs a whole table in Parquet files of one folder")
     state = state or scratch_dir(spark, "dedup-state")
     source = spark.readStream.schema(rows.schema).option("maxFileAge", _ANY_AGE)
     if files_per_batch:

@@ -4,6 +4,7 @@ import time
 from collections import defaultdict
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from loomset.llm import exact_dedup, near_dup
@@ -152,6 +153,23 @@ def test_a_part_of_a_table_is_taken_as_it_is(documents):
     assert len(exact(some)) == 10
 
 
+def test_files_beside_those_that_were_read_do_not_count(spark, tmp_path):
+    table = str(tmp_path / "table")
+    for row in [(1, "x"), (2, "x"), (3, "x")]:
+        spark.createDataFrame([row], "doc_id long, text string").coalesce(1).write.mode("append").parquet(table)
+    files = {spark.read.parquet(f).first().doc_id: f for f in spark.read.parquet(table).inputFiles()}
+    some = spark.read.parquet(files[1], files[2])
+    want = [(1, 2, 2, False), (2, 2, 2, True)]
+    assert exact(some) == want
+    assert [r.doc_id for r in exact_dedup.drop_copies(some).collect()] == [2]
+    brace = "{" + ",".join(files[i].rsplit("/", 1)[1] for i in (1, 2)) + "}"
+    assert exact(spark.read.option("pathGlobFilter", brace).parquet(table)) == want
+    assert [g[2] for g in exact(spark.read.parquet(files[1], files[1]))] == [2, 2]
+    assert exact_dedup.files_of(spark.read.parquet(table))[1].endswith("/table")
+    with pytest.raises(ValueError):
+        exact(some, state=str(tmp_path / "state"))
+
+
 def test_later_files_meet_the_state_of_earlier_ones(spark, tmp_path):
     table, state = str(tmp_path / "table"), str(tmp_path / "state")
     rows = lambda *r: spark.createDataFrame(r, "doc_id long, text string").coalesce(1)
