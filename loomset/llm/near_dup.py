@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomset.llm.common import bounded_batches, written
+from loomset.llm.common import bounded_batches, fresh, written
 from loomset.llm.components import components
 
 BANDS, ROWS = 32, 4
@@ -117,7 +117,7 @@ def differing_bits(a: str, b: str) -> Column:
 
 
 def signatures(docs: DataFrame, width: int) -> DataFrame:
-    """``key``, ``n_shingles``, ``digest``, ``sketch``, ``bands`` of (key, text) rows; no digest for an empty set."""
+    """``key``, ``print``, ``n_shingles``, ``digest``, ``sketch``, ``bands`` of (key, print, text) rows; no digest for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
@@ -137,17 +137,18 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("key"),
+                    batch.column("print"),
                     pa.array(sizes, pa.int64()),
                     pa.array(digests, pa.binary()),
                     pa.array(sketches, pa.list_(pa.int64())),
                     pa.array(bands, pa.list_(pa.int64())),
                 ],
-                names=["key", "n_shingles", "digest", "sketch", "bands"],
+                names=["key", "print", "n_shingles", "digest", "sketch", "bands"],
             )
 
     kind = docs.schema["key"].dataType.simpleString()
     return docs.mapInArrow(
-        run, f"key {kind}, n_shingles long, digest binary, sketch array<bigint>, bands array<bigint>"
+        run, f"key {kind}, print string, n_shingles long, digest binary, sketch array<bigint>, bands array<bigint>"
     )
 
 
@@ -209,20 +210,31 @@ def near_duplicates(
     """Components of documents whose shingle sets have a Jaccard similarity of ``percent`` or more.
 
     Returns one row per input row: ``key``, ``n_shingles``, ``component_id`` (the
-    smallest key reachable over links) and ``kept`` (key = component_id). Words
+    smallest key reachable over links) and ``kept``: whether key = component_id and, of
+    different texts with that key, the text is the one that stays. Words
     are runs of anything but ASCII white space, with A-Z lower-cased. Null
     texts, empty ones and ones of white space alone are linked with nothing.
-    Equal texts are linked. Rows that repeat a key are in one component if their texts are, and are
-    kept or not alike. A row without a key takes part in no link; its
+    Equal texts are linked. Rows that repeat a key are in one component if their texts are; those that
+    repeat key and text are kept or not alike. A row without a key takes part in no link; its
     component is null and it isn't kept.
     """
+    return _told(docs, key, text, width, percent).select(F.col("key").alias(key), "n_shingles", "component_id", "kept")
+
+
+def _print(text: str) -> Column:
+    """What tells a text from others of the same key."""
+    return F.md5(F.col(text))
+
+
+def _told(docs: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
+    """``key``, ``print``, ``n_shingles``, ``component_id``, ``kept`` of each row."""
     bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    signed = written(signatures(rows, width), "near-signatures")
+    signed = written(signatures(rows.withColumn("print", _print("text")), width), "near-signatures")
     nodes = written(
         signed.filter("digest IS NOT NULL AND key IS NOT NULL")
         .groupBy("digest")
-        .agg(F.min(F.struct("key", "sketch", "bands")).alias("least"))
+        .agg(F.min(F.struct("key", "print", "sketch", "bands")).alias("least"))
         .select(F.monotonically_increasing_id().alias("node"), "digest", "least.*"),
         "near-nodes",
     )
@@ -311,18 +323,19 @@ def near_duplicates(
         if not more.isEmpty():
             labels = written(components(links.union(more)), "near-labels")
 
-    rooted = nodes.join(labels, "node", "left").select("digest", "key", F.coalesce("root", "node").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("key").alias("component_id"))
-    classes = rooted.join(least, "root").select("digest", "component_id")
+    rooted = nodes.join(labels, "node", "left").select("digest", "key", "print", F.coalesce("root", "node").alias("root"))
+    least = rooted.groupBy("root").agg(F.min(F.struct("key", "print")).alias("stays"))
+    classes = rooted.join(least, "root").select("digest", "stays")
+    with_key = F.col("key").isNotNull()
     return (
-        signed.select("key", "n_shingles", "digest")
+        signed.select("key", "print", "n_shingles", "digest")
         .join(classes, "digest", "left")
-        .withColumn("component_id", F.when(F.col("key").isNotNull(), F.coalesce("component_id", "key")))
         .select(
-            F.col("key").alias(key),
+            "key",
+            "print",
             "n_shingles",
-            "component_id",
-            F.coalesce(F.col("key") == F.col("component_id"), F.lit(False)).alias("kept"),
+            F.when(with_key, F.coalesce("stays.key", "key")).alias("component_id"),
+            (with_key & F.coalesce((F.col("stays.key") == F.col("key")) & (F.col("stays.print") == F.col("print")), F.lit(True))).alias("kept"),
         )
     )
 
@@ -350,9 +363,13 @@ def _texts(rows: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 
 
 def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The documents without those of which a near-duplicate with a smaller key stays; columns unchanged.
+    """The documents without those of which a near-duplicate stays; columns unchanged.
 
-    Rows without a key stay, as they are linked with nothing.
+    The text with the smallest key stays, and other texts of a key that repeats go or stay by themselves.
+    Rows that repeat key and text go or stay alike. Rows without a key stay, as they are linked with nothing.
     """
-    gone = near_duplicates(docs, key, text, **options).filter(~F.col("kept") & F.col(key).isNotNull())
-    return docs.join(gone.select(key).distinct(), key, "left_anti")
+    own, print_ = fresh(docs, "key"), fresh(docs, "print")
+    options = {"width": 5, "percent": 80} | options
+    gone = _told(docs, key, text, **options).filter(~F.col("kept") & F.col("key").isNotNull())
+    gone = gone.select(F.col("key").alias(own), F.col("print").alias(print_)).distinct()
+    return docs.join(gone, (F.col(key) == F.col(own)) & (_print(text) == F.col(print_)), "left_anti")

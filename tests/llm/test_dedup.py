@@ -95,6 +95,22 @@ def test_a_repeated_key_with_other_texts(docs_of, rows_of):
     assert rows_of(near_dup.near_duplicates(docs), "doc_id", "component_id") == [(1, 1), (1, 1), (2, 1)]
 
 
+def test_a_repeated_key_takes_no_other_text_along(docs_of, rows_of):
+    text = " ".join(f"w{n}" for n in range(60))
+    docs = docs_of([(1, text, "a"), (7, text + " end", "a"), (7, "quite something else here today", "a"), (7, None, "a")])
+    kept = near_dup.drop_near_copies(docs)
+    assert kept.columns == docs.columns
+    assert rows_of(kept, "doc_id", "text") == sorted([(1, text), (7, "quite something else here today"), (7, None)], key=repr)
+
+
+def test_near_copies_that_share_a_key_leave_one(docs_of):
+    text = " ".join(f"w{n}" for n in range(60))
+    docs = docs_of([(3, text, "a"), (3, text + " end", "a"), (3, text.upper(), "a"), (5, text + " last", "a")])
+    got = near_dup.near_duplicates(docs).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(3, 3), (5, 3)} and sum(r.kept for r in got) == 1
+    assert [r.doc_id for r in near_dup.drop_near_copies(docs).collect()] == [3]
+
+
 def test_sketches_tell_high_similarities(spark):
     draw = np.random.default_rng(1)
     pool = draw.integers(0, 2**64, 1100, np.uint64)
