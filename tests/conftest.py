@@ -27,7 +27,3 @@ def spark():
 @pytest.fixture(scope="session")
 def sf_dir():
     return SF_DIR
-
-
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()

@@ -5,7 +5,7 @@ from loomset.operators import detect, quality
 from loomset.operators.lengths import token_cap, tokenizer_file
 from loomset.sources.readers import read_raw
 
-from conftest import plan_of
+from plans import plan_of
 
 
 def test_text_field_choice(spark):

@@ -9,7 +9,7 @@ from loomset.functions import formats
 from loomset.operators.render import FORMATS, filter_rows, map_rows, render
 from loomset.plans.preparation import prepared_rows
 
-from conftest import plan_of
+from plans import plan_of
 
 ALPACA_SCHEMA = "instruction string, input string, output string"
 

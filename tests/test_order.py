@@ -8,7 +8,7 @@ from loomset.operators.metrics import latest_metrics, metric_rollup
 from loomset.operators.retention import retain_last_k
 from loomset.operators.turns import assemble_conversations, pair_turns
 
-from conftest import plan_of
+from plans import plan_of
 
 
 @pytest.fixture(scope="module")

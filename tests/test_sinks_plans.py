@@ -10,7 +10,7 @@ from loomset.plans.training import SOURCE_KEY, export_for_ranks, training_rows
 from loomset.session import scratch_dir
 from loomset.sources import readers, sinks
 
-from conftest import plan_of
+from plans import plan_of
 
 
 def write_lines(path, rows):
