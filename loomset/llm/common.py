@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 from loomset.session import scratch_dir
@@ -41,3 +44,16 @@ def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if spark.conf.get(name) == "10000":
         spark.conf.set(name, rows)
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Arrow batches of at most this many rows for the jobs run inside; afterwards the session's setting holds again."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    if not 0 < int(before) <= rows:
+        spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

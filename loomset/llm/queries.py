@@ -13,6 +13,7 @@ from loomset.llm.exact_dedup import exact_dedup
 from loomset.llm.hamming import sign_code, top_k
 from loomset.llm.mixing import fair_queue
 from loomset.llm.near_dup import near_duplicates
+from loomset.llm.resampling import resample
 from loomset.llm.url_trees import Rule, judge
 from loomset.llm.warc import payloads, read_archives, write_archives
 from loomset.session import scratch_dir
@@ -103,6 +104,10 @@ def op10_segment_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("query").alias("query_id"), "rank", F.col("key").alias("vec_id"), "distance")
 
 
+def op13_crc_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=10, min_words=20, seed=2024)
+
+
 QUERIES = {
     "op1_odd_sketches": op1_odd_sketches,
     "op2_chat_events": op2_chat_events,
@@ -114,6 +119,7 @@ QUERIES = {
     "op8_licence_paragraphs": op8_licence_paragraphs,
     "op9_fair_queue_mix": op9_fair_queue_mix,
     "op10_segment_search": op10_segment_search,
+    "op13_crc_resampling": op13_crc_resampling,
 }
 
 ORACLES = {
@@ -185,4 +191,50 @@ ORACLES = {
                row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id)::INT AS rank
         FROM measured QUALIFY rank <= 10
     """,
+    "op13_crc_resampling": r"""
+        WITH crc_table AS (
+            SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda c, k:
+                       CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n)) AS crcs
+        ), texts AS (
+            SELECT true AS source, row_number() OVER () AS row, doc_id, text FROM documents
+            UNION ALL SELECT false, NULL, NULL, text FROM benchmark
+        ), worded AS (
+            SELECT * EXCLUDE (text), regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+            FROM texts
+        ), features AS (
+            SELECT source, row, unnest(words) AS word FROM worded
+        ), hexed AS (
+            SELECT word, hex(encode(word)) AS bytes FROM (SELECT DISTINCT word FROM features)
+        ), hashed AS (
+            SELECT word, xor(list_reduce(
+                       list_transform(range(len(bytes) // 2), lambda i: ('0x' || substr(bytes, 2 * i + 1, 2))::BIGINT),
+                       lambda c, b: xor(crcs[(xor(c, b) & 255) + 1], c >> 8), 4294967295), 4294967295) % 10000 AS bucket
+            FROM hexed, crc_table
+        ), counts AS (
+            SELECT bucket, count(*) FILTER (source) AS s, count(*) FILTER (NOT source) AS t
+            FROM features JOIN hashed USING (word) GROUP BY bucket
+        ), gains AS (
+            SELECT bucket, floor(1000 * ln(((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE)
+                                           / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE))) AS gain
+            FROM counts
+        ), weighed AS (
+            SELECT row, count(*) AS n_features, floor(sum(gain) / count(*))::BIGINT AS weight
+            FROM features JOIN hashed USING (word) JOIN gains USING (bucket) WHERE source GROUP BY row
+        ), scored AS (
+            SELECT row, doc_id, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+                   coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln(
+                       (('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE)
+                       / 4294967296::DOUBLE)))::BIGINT AS score
+            FROM worded LEFT JOIN weighed USING (row) WHERE source
+        ), ordered AS (
+            SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST, n_features, weight)
+                       AS place, count(*) FILTER (n_features >= 20) OVER () AS n
+            FROM scored
+        )
+        SELECT doc_id, n_features, weight, score,
+               CASE WHEN n_features >= 20 AND place <= 10 * n // 100 THEN place END AS rank
+        FROM ordered
+    """,
 }
