@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loomset.llm import chat_log, language, licences
+from loomset.llm import chat_log, language, licences, packing
 from loomset.llm.bpe import Tokenizer, id_text
 from loomset.llm.common import table
 from loomset.llm.exact_dedup import exact_dedup
@@ -14,6 +14,7 @@ from loomset.llm.hamming import sign_code, top_k
 from loomset.llm.mixing import fair_queue
 from loomset.llm.near_dup import near_duplicates
 from loomset.llm.resampling import resample
+from loomset.llm.tournament import cluster
 from loomset.llm.url_trees import Rule, judge
 from loomset.llm.warc import payloads, read_archives, write_archives
 from loomset.session import scratch_dir
@@ -104,6 +105,33 @@ def op10_segment_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("query").alias("query_id"), "rank", F.col("key").alias("vec_id"), "distance")
 
 
+def op11_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = packing.encode(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=2)
+    return packing.pack(tokens, capacity=4096).select(
+        F.col("key").alias("doc_id"),
+        "start",
+        "length",
+        packing.ids_crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
+def op12_bisector_tournament(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors, clusters = cluster(table(spark, sf_dir, "embeddings"), k=40, rounds=5, seed=2)
+    # At most 40 rows.
+    told = clusters.select(
+        "cluster",
+        "cluster_inertia",
+        F.sum("cluster_inertia").over(Window.partitionBy()).alias("inertia"),
+        F.sha2(F.concat_ws(",", F.col("centroid").cast("array<string>")), 256).alias("centroid_sha256"),
+    )
+    return vectors.join(F.broadcast(told), "cluster").select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
+    )
+
+
 def op13_crc_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=10, min_words=20, seed=2024)
 
@@ -119,10 +147,54 @@ QUERIES = {
     "op8_licence_paragraphs": op8_licence_paragraphs,
     "op9_fair_queue_mix": op9_fair_queue_mix,
     "op10_segment_search": op10_segment_search,
+    "op11_pattern_packing": op11_pattern_packing,
+    "op12_bisector_tournament": op12_bisector_tournament,
     "op13_crc_resampling": op13_crc_resampling,
 }
 
+
+def _clustering_sql(k: int = 40, rounds: int = 5) -> str:
+    """The rounds one after the other, each vector against each centroid."""
+    assigned = """
+        assigned{r} AS (
+            SELECT row, min([distance, c]) AS best FROM (
+                SELECT row, c, sum((x.v - y.v) * (x.v - y.v))::BIGINT AS distance
+                FROM xs x JOIN centroids{r} y USING (pos) GROUP BY row, c
+            ) GROUP BY row
+        )"""
+    moved = """
+        centroids{n} AS (
+            SELECT c, pos, coalesce((total - ((total % held) + held) % held) // held, v)::BIGINT AS v
+            FROM centroids{r} LEFT JOIN (
+                SELECT best[2] AS c, pos, sum(v) AS total, count(*) AS held
+                FROM xs JOIN assigned{r} USING (row) GROUP BY 1, 2
+            ) USING (c, pos)
+        )"""
+    steps = [part.format(r=r, n=r + 1) for r in range(rounds) for part in (assigned, moved)]
+    return f"""
+        WITH kept AS (
+            SELECT vec_id, embedding, row_number() OVER () AS row FROM embeddings
+            WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(x))) = 64
+        ), xs AS (
+            SELECT row, unnest(range(64)) AS pos, unnest(list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT)) AS v
+            FROM kept
+        ), chosen AS (
+            SELECT row, row_number() OVER (ORDER BY sha256('2:' || coalesce(vec_id::VARCHAR, '')), vec_id, embedding) - 1 AS c
+            FROM kept QUALIFY c < {k}
+        ), centroids0 AS (
+            SELECT c, pos, v FROM chosen JOIN xs USING (row)
+        ), {", ".join(steps)}, {assigned.format(r=rounds)}, hashes AS (
+            SELECT c, sha256(string_agg(v::VARCHAR, ',' ORDER BY pos)) AS centroid_sha256 FROM centroids{rounds} GROUP BY c
+        )
+        SELECT vec_id, best[2]::INT AS cluster, best[1] AS distance,
+               sum(best[1]) OVER (PARTITION BY best[2])::BIGINT AS cluster_inertia,
+               sum(best[1]) OVER ()::BIGINT AS inertia, centroid_sha256
+        FROM kept JOIN assigned{rounds} USING (row) JOIN hashes ON c = best[2]
+    """
+
+
 ORACLES = {
+    "op12_bisector_tournament": _clustering_sql(),
     "op7_warc_chunks": """
         WITH sized AS (
             SELECT page_id, coalesce(html, '') AS payload, strlen(coalesce(html, '')) AS payload_bytes FROM pages
