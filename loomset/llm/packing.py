@@ -23,9 +23,11 @@ sequences whose lengths are the powers of two in it, which need no padding eithe
 from __future__ import annotations
 
 import math
+import os
 import re
 import zlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +53,8 @@ class _Encoder:
     """Ids of texts, by the words between white space; words met before are looked up."""
 
     def __init__(self, tokenizer: str, width: int, end: int):
+        # A task has one core; the library would start as many threads as the machine has.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer)
@@ -171,7 +175,9 @@ def patterns(demand: np.ndarray, capacity: int, gap: float = 0.0005, most_rounds
         return whole, np.zeros(0, np.int64)
     need = demand[wanted].astype(float)
     basis = np.diag((capacity // (wanted + 1)).astype(float))
-    inverse, used = np.linalg.inv(basis), need / np.diag(basis)
+    inverse, used = np.diag(1 / np.diag(basis)), need / np.diag(basis)
+    # Small products, so without the threads of a linear algebra library, which the launch of a JVM may have left stuck.
+    product, matrix_product = partial(np.einsum, "ij,j->i"), partial(np.einsum, "ij,jk->ik")
     for round_ in range(most_rounds):
         duals = inverse.sum(axis=0)
         values = np.zeros(len(demand))
@@ -181,21 +187,22 @@ def patterns(demand: np.ndarray, capacity: int, gap: float = 0.0005, most_rounds
         if value <= 1 + 1e-9 or used.sum() * (1 - 1 / value) < max(gap * used.sum(), 0.5):
             break
         column = pattern[wanted]
-        enters = inverse @ column
+        enters = product(inverse, column)
         ratios = np.full(len(used), np.inf)
         np.divide(used, enters, out=ratios, where=enters > 1e-9)
         leaves = int(ratios.argmin())
+        if not np.isfinite(ratios[leaves]):
+            break
         basis[:, leaves] = column
-        if round_ % 100 == 99:
-            inverse = np.linalg.inv(basis)
-            used = np.maximum(inverse @ need, 0)
-            continue
         step = ratios[leaves]
         used = np.maximum(used - step * enters, 0)
         used[leaves] = step
         row = inverse[leaves] / enters[leaves]
         inverse -= np.outer(enters, row)
         inverse[leaves] = row
+        if round_ % 100 == 99:  # what rounding has added up to, taken out by a step of Newton's
+            inverse = 2 * inverse - matrix_product(inverse, matrix_product(basis, inverse))
+            used = np.maximum(product(inverse, need), 0)
 
     times = np.floor(used + 1e-9).astype(np.int64)
     columns = basis.round().astype(np.int64)
