@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomset.functions.text import fresh, has_text, ref
+from loomset.operators.selection import nth_smallest
 from loomset.session import scratch_dir
 from loomset.sources import positions, readers
 
@@ -44,8 +45,9 @@ def first_n(df: DataFrame, n: int | None, key: str | Sequence[str] | None = None
     those of earlier files and rows come first, and where rows have no such
     place such a tie is an error. Without a key the order is that of the source
     files: by path, then by row within the file. That needs a DataFrame read
-    from files of one kind; filters on it count. Only places and keys are
-    gathered (``n`` of them in the last task), never rows.
+    from files of one kind; filters on it count. Rows stay where they are: the
+    n-th place is found by counting ranges of places (``selection``), so no task
+    holds more than a few thousand of them, however large ``n`` is.
     """
     if not n:
         return df
@@ -77,33 +79,19 @@ def first_n_placed(df: DataFrame, n: int, places: tuple[str, str, str]) -> DataF
     path = scratch_dir(df.sparkSession, "first-n-rows")
     df.write.parquet(path)
     saved = df.sparkSession.read.schema(df.schema).parquet(path)
-    last = _nth_smallest(saved, n, [ref(name).alias(name) for name in places])
+    last = nth_smallest(saved, n, [ref(name).alias(name) for name in places])
     kept = saved
     if last is not None:
         kept = saved.filter(F.struct(*[ref(name).alias(name) for name in places]) <= last)
     return kept.drop(*places)
 
 
-def _nth_smallest(df: DataFrame, n: int, columns: list[Column]) -> Column | None:
-    """The n-th smallest of structs of these columns as a constant, or ``None`` if there are fewer rows.
-
-    Each task keeps its n smallest, one finishes.
-    """
-    order = df.select(F.struct(*columns).alias("at"))
-    leading = order.orderBy("at").limit(n)
-    end = leading.agg(F.max("at").alias("last"), F.count(F.lit(1)).alias("held")).first()
-    if end["held"] < n:
-        return None
-    fields = order.schema["at"].dataType.fields
-    return F.struct(*[F.lit(end["last"][f.name]).cast(f.dataType).alias(f.name) for f in fields])
-
-
 def _up_to_nth_key(df: DataFrame, n: int, keys: list[str]) -> DataFrame:
     """Rows up to the n-th smallest key, and place for equal ones; rows stay where they are."""
     columns = [ref(k).alias(f"k{i}") for i, k in enumerate(keys)]
     if positions.numbers_rows(df):
         columns += [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")]
-    last = _nth_smallest(df, n, columns)
+    last = nth_smallest(df, n, columns)
     if last is None:
         return df
     first_key = last.getField("k0")

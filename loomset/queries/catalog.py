@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loomset.functions import formats
 from loomset.functions.text import blank
-from loomset.operators import detect, lengths, metrics, order, quality, render, retention, turns
+from loomset.operators import detect, lengths, metrics, order, quality, render, retention, selection, turns
 from loomset.plans import landing as landing_plan
 from loomset.plans import preparation, training
 from loomset.queries import adapters as a
@@ -365,7 +365,17 @@ def first_n(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def first_n_filtered(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.first_n(a.documents(spark, sf).filter("doc_id % 3 = 0"), 60).select("doc_id", "text")
+    """Of the documents of one language of the longer half, by the files' order."""
+    longer = a.documents(spark, sf).filter("lang = 'en' AND n_chars > 1000")
+    return quality.first_n(longer, 60).select("doc_id", "text")
+
+
+def first_n_half(spark: SparkSession, sf: str) -> DataFrame:
+    """Half of the table by a key of three columns, by counting ranges until no more than 20 rows are left."""
+    docs = a.documents(spark, sf)
+    at = [F.col(c).alias(c) for c in ("lang", "n_chars", "doc_id")]
+    last = selection.nth_smallest(docs, (docs.count() + 1) // 2, at, few=20)
+    return docs.filter(F.struct(*at) <= last).select("doc_id", "lang", "n_chars")
 
 
 def first_n_ties(spark: SparkSession, sf: str) -> DataFrame:
@@ -459,9 +469,9 @@ def token_cap(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pair_turns(spark: SparkSession, sf: str) -> DataFrame:
-    """With gaps: turn numbers are spread out, and every fourth conversation loses a turn."""
-    sparse = a.table(spark, sf, "conversations").filter("conv_id % 4 != 0 OR turn != 2")
-    return turns.pair_turns(sparse.withColumn("turn", F.col("turn") * 700 + F.col("conv_id") % 5))
+    """With gaps: turn numbers are spread out."""
+    spread = a.table(spark, sf, "conversations").withColumn("turn", F.col("turn") * 700 + F.col("conv_id") % 5)
+    return turns.pair_turns(spread)
 
 
 def length_report(spark: SparkSession, sf: str) -> DataFrame:
@@ -613,6 +623,7 @@ QUERIES = {
         first_n_filtered,
         first_n_ties,
         first_n_json,
+        first_n_half,
         preview,
         count_rows,
         udf_format,

@@ -298,7 +298,10 @@ ORACLES: dict[str, str] = {
                coalesce(string_agg(text, chr(10) ORDER BY turn) FILTER (WHERE role <> 'system'), '') AS kept
         FROM conversations GROUP BY conv_id""",
     "first_n": "SELECT doc_id, text FROM documents ORDER BY doc_id LIMIT 100",
-    "first_n_filtered": "SELECT doc_id, text FROM documents WHERE doc_id % 3 = 0 ORDER BY doc_id LIMIT 60",
+    "first_n_filtered": "SELECT doc_id, text FROM documents WHERE lang = 'en' AND n_chars > 1000 ORDER BY doc_id LIMIT 60",
+    "first_n_half": """
+        SELECT doc_id, lang, n_chars FROM documents
+        QUALIFY row_number() OVER (ORDER BY lang NULLS FIRST, n_chars NULLS FIRST, doc_id) <= (count(*) OVER () + 1) // 2""",
     "first_n_ties": "SELECT doc_id, lang, text FROM documents ORDER BY lang, doc_id LIMIT 70",
     "first_n_json": """
         SELECT doc_id, text FROM documents WHERE doc_id % 2 = 0
@@ -318,7 +321,6 @@ ORACLES: dict[str, str] = {
     "pair_turns": """
         WITH sparse AS (
           SELECT conv_id, turn * 700 + conv_id % 5 AS turn, role, text FROM conversations
-          WHERE conv_id % 4 != 0 OR turn != 2
         ), followed AS (
           SELECT *, lead(role) OVER w AS next_role, lead(text) OVER w AS output
           FROM sparse WINDOW w AS (PARTITION BY conv_id ORDER BY turn)

@@ -10,6 +10,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomset.operators.selection import nth_place
+
 _FILE, _ROW = "_metadata.file_path", "_metadata.row_index"
 
 
@@ -55,9 +57,7 @@ def place_of_nth(df: DataFrame, n: int) -> tuple[str, int] | None:
     if found is None:
         return None
     path, nth = found
-    index = F.col(_ROW).alias("row")
-    leading = df.filter(F.col(_FILE) == path).select(index).orderBy("row").limit(nth)
-    return path, leading.agg(F.max("row")).first()[0]
+    return path, nth_place(df.filter(F.col(_FILE) == path), nth, [F.col(_ROW).alias("row")])["row"]
 
 
 def up_to(place: tuple[str, int]) -> Column:
