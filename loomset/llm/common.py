@@ -5,6 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from loomset.session import scratch_dir
@@ -57,3 +60,14 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
         yield
     finally:
         spark.conf.set(name, before)
+
+
+def pieces_of(texts: pa.Array, size: int) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of at most so many bytes, but for a longer text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    low = 0
+    while low < len(texts):
+        before = ends[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, before + size, "right")))
+        yield low, high
+        low = high

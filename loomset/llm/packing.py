@@ -24,61 +24,85 @@ from __future__ import annotations
 
 import math
 import os
-import re
 import zlib
 from collections.abc import Iterator
-from functools import partial
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomset.llm.common import small_batches, written
+from loomset.llm.bpe import Lists
+from loomset.llm.common import pieces_of, small_batches, written
 
-#: Characters of the texts that are encoded together, but for a longer text.
-CHARS_PER_PIECE = 4_000_000
-#: Words that a Python worker remembers with their ids, and the longest of them.
-WORDS_KNOWN, LONGEST_KNOWN = 500_000, 64
+#: Bytes of the texts that are encoded together, but for a longer text.
+BYTES_PER_PIECE = 8_000_000
+#: Words that a Python worker remembers with their ids, and how many new ones are encoded together.
+WORDS_KNOWN, WORDS_AT_ONCE = 2_000_000, 1000
 #: Sequences, or tokens along the free places as so many sequences, that one window takes.
 _BLOCK = 4096
 _CELL = 64
 
-# White space on which every tokenizer of words splits too, so that what stands between has its ids by itself.
-_APART = re.compile(r"[^ \t\n\r]+")
-
-
 class _Encoder:
-    """Ids of texts, by the words between white space; words met before are looked up."""
+    """Ids of texts, by the words between ASCII white space; each word is encoded once and remembered."""
 
-    def __init__(self, tokenizer: str, width: int, end: int):
+    def __init__(self, rules: str, width: int, end: int):
         # A task has one core; the library would start as many threads as the machine has.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_str(tokenizer)
-        # Texts can't forge special tokens.
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer = Tokenizer.from_str(rules)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.dtype = f"<u{width}"
-        self.end = np.array([end], self.dtype).tobytes()
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        words = [_APART.findall(text) for text in texts]
-        if len(self.known) > WORDS_KNOWN:
-            self.known.clear()
-        known = self.known
-        new = list({w for of_text in words for w in of_text} - known.keys())
-        for word, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            known[word] = np.array(found.ids, self.dtype).tobytes()
-        ids = [b"".join([known[w] for w in of_text]) + self.end for of_text in words]
-        for word in new:
-            if len(word) > LONGEST_KNOWN:
-                del known[word]
-        return ids
+        # Texts can't forge special tokens.
+        self.tokenizer.encode_special_tokens = True
+        self.width, self.end = width, end
+        self.forget()
+
+    def forget(self) -> None:
+        self.words = pa.array([], pa.string())
+        self.ids = Lists(np.zeros(0, f"<u{self.width}"), np.zeros(0, np.int64))
+
+    def encode(self, texts: pa.Array) -> pa.Array:
+        """The ids of each text, then the end, as binary."""
+        if len(self.words) > WORDS_KNOWN:
+            self.forget()
+        split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        words = split.flatten().dictionary_encode()
+        number = pc.index_in(words.dictionary, value_set=self.words)
+        unknown = words.dictionary.filter(pc.is_null(number))
+        number = pc.fill_null(number, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        number[number < 0] = np.arange(len(self.words), len(self.words) + len(unknown))
+        self._learn(unknown)
+        codes = number[words.indices.to_numpy(zero_copy_only=False)]
+        held = np.concatenate(([0], np.cumsum(self.ids.lengths[codes])))
+        bounds = held[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        ids = np.insert(self.ids.take(codes), bounds[1:], self.end)
+        ends = (bounds + np.arange(len(bounds))) * self.width
+        return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(ids)])
+
+    def _learn(self, unknown: pa.Array) -> None:
+        """Encodes words side by side; where a token begins tells whose it is."""
+        values, lengths = [self.ids.values], [self.ids.lengths]
+        words = [w.decode("utf-8", "replace") for w in unknown.cast(pa.binary()).to_pylist()]
+        for low in range(0, len(words), WORDS_AT_ONCE):
+            part = words[low : low + WORDS_AT_ONCE]
+            found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            starts = np.cumsum([0] + [len(w) + 1 for w in part[:-1]])
+            begins = np.fromiter((a for a, _ in found.offsets), np.int64)
+            lengths.append(np.bincount(np.searchsorted(starts, begins, "right") - 1, minlength=len(part)))
+            values.append(np.array(found.ids, f"<u{self.width}"))
+        self.words = pa.concat_arrays([self.words, unknown])
+        self.ids = Lists(np.concatenate(values), np.concatenate(lengths))
+
+
+@lru_cache(maxsize=1)
+def _encoder(rules: str, width: int, end: int) -> _Encoder:
+    """One to a Python worker, whatever tasks it is given."""
+    return _Encoder(rules, width, end)
 
 
 def encode(
@@ -109,19 +133,12 @@ def encode(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _Encoder(rules.value, width, end)
+        encoder = _encoder(rules.value, width, end)
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            low = 0
-            while low < len(texts):
-                high, held = low + 1, len(texts[low])
-                while high < len(texts) and held + len(texts[high]) <= CHARS_PER_PIECE:
-                    held += len(texts[high])
-                    high += 1
-                ids = encoder.encode(texts[low:high])
-                lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // width
-                yield pa.RecordBatch.from_arrays([batch.column(0)[low:high], pa.array(ids, pa.binary()), pa.array(lengths)], schema.names)
-                low = high
+            for low, high in pieces_of(batch.column(1), BYTES_PER_PIECE):
+                ids = encoder.encode(batch.column(1)[low:high])
+                lengths = pc.divide(pc.binary_length(ids).cast(pa.int64()), width)
+                yield pa.RecordBatch.from_arrays([batch.column(0)[low:high], ids, lengths], schema.names)
 
     encoded = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, schema)
     with small_batches(spark):

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomset.llm.common import small_batches, written
+from loomset.llm.common import pieces_of, small_batches, written
 
 BUCKETS = 10_000
 #: Bytes of text whose features are hashed together, but for a longer text.
@@ -125,17 +125,6 @@ def _distinct(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return which, matrix[:, first]
 
 
-def _pieces(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about BYTES_PER_PIECE."""
-    sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
-    low = 0
-    while low < len(texts):
-        before = sizes[low - 1] if low else 0
-        high = max(low + 1, int(np.searchsorted(sizes, before + BYTES_PER_PIECE, "right")))
-        yield low, high
-        low = high
-
-
 def feature_counts(df: DataFrame, text: str = "text", orders: int = 1, buckets: int = BUCKETS) -> np.ndarray:
     """How many features of all texts fall into each bucket; a null text has none."""
 
@@ -143,7 +132,7 @@ def feature_counts(df: DataFrame, text: str = "text", orders: int = 1, buckets:
         total = np.zeros(buckets, np.int64)
         for batch in batches:
             texts = batch.column(0)
-            for low, high in _pieces(texts):
+            for low, high in pieces_of(texts, BYTES_PER_PIECE):
                 words = Words(texts[low:high])
                 for order in range(1, orders + 1):
                     starts, lengths, _ = words.runs(order)
@@ -177,7 +166,7 @@ def importance(docs: DataFrame, gains: np.ndarray, key: str = "doc_id", text: st
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1)
-            for low, high in _pieces(texts):
+            for low, high in pieces_of(texts, BYTES_PER_PIECE):
                 words = Words(texts[low:high])
                 held, total = np.zeros(high - low, np.int64), np.zeros(high - low, np.int64)
                 for order in range(1, orders + 1):
