@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -40,8 +40,8 @@ def token_cap(
 
 
 def token_count(text: Column) -> Column:
-    """Runs of non-space characters, counted without an array of them."""
-    return F.length(F.regexp_replace(F.regexp_replace(text, r"\S+", "x"), r"\s+", "")).cast("long")
+    """Runs of non-space characters."""
+    return F.regexp_count(text, F.lit(r"\S+")).cast("long")
 
 
 def _leading_tokens(text: Column, n: int) -> Column:
@@ -69,23 +69,36 @@ def length_report(
     by: str | Sequence[str] = (),
     max_seq_length: int = 512,
     column: str = "text",
+    percentiles: Sequence[int] = (50, 90, 99),
+    n_tokens: Column | None = None,
 ) -> DataFrame:
     """Token counts per group, to choose a length by: rows, tokens, longest, mean, rows above the cap, tokens lost to it.
 
-    Tokens are those of ``token_cap``'s default; nulls are empty texts. Groups are
-    summed up by each task before the shuffle.
+    ``p<k>_tokens`` is the least count that at least k hundredths of the group's rows don't exceed,
+    exactly. Tokens are those of ``token_cap``'s default; nulls are empty texts. ``n_tokens``
+    gives each row's count instead, such as the column that ``token_cap`` adds for a model's subwords.
+    Everything comes from a histogram, rows by group and count, that tasks sum
+    up before the shuffle: a group of many rows has no more of it than it has different counts.
     """
+    wrong = [k for k in percentiles if not 0 < k <= 100 or int(k) != k]
+    if wrong:
+        raise ValueError(f"percentiles are whole numbers from 1 to 100, not {wrong}")
     groups = [ref(c) for c in ([by] if isinstance(by, str) else by)]
-    n = token_count(F.coalesce(ref(column), F.lit("")))
-    counted = df.select(*groups, n.alias(fresh(df, "n_tokens")))
-    n = F.col(counted.columns[-1])
-    return counted.groupBy(*groups).agg(
-        F.count(F.lit(1)).alias("num_rows"),
-        F.coalesce(F.sum(n), F.lit(0)).alias("num_tokens"),
+    counted = token_count(F.coalesce(ref(column), F.lit(""))) if n_tokens is None else F.coalesce(n_tokens, F.lit(0)).cast("long")
+    names = [fresh(df, name) for name in ("n_tokens", "rows", "so_far", "all_rows")]
+    n, rows, so_far, all_rows = (F.col(name) for name in names)
+    histogram = df.select(*groups, counted.alias(names[0])).groupBy(*groups, names[0]).agg(F.count(F.lit(1)).alias(names[1]))
+    group = Window.partitionBy(*groups)
+    upto = group.orderBy(n).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = histogram.withColumns({names[2]: F.sum(rows).over(upto), names[3]: F.sum(rows).over(group)})
+    return running.groupBy(*groups).agg(
+        F.coalesce(F.sum(rows), F.lit(0)).alias("num_rows"),
+        F.coalesce(F.sum(n * rows), F.lit(0)).alias("num_tokens"),
         F.max(n).alias("max_tokens"),
-        (F.sum(n) / F.count(F.lit(1))).alias("mean_tokens"),
-        F.count_if(n > max_seq_length).alias("num_truncated"),
-        F.coalesce(F.sum(F.greatest(n - max_seq_length, F.lit(0))), F.lit(0)).alias("tokens_cut"),
+        (F.sum(n * rows) / F.sum(rows)).alias("mean_tokens"),
+        F.coalesce(F.sum(F.when(n > max_seq_length, rows)), F.lit(0)).alias("num_truncated"),
+        F.coalesce(F.sum(F.greatest(n - max_seq_length, F.lit(0)) * rows), F.lit(0)).alias("tokens_cut"),
+        *[F.min(F.when(so_far * 100 >= all_rows * int(k), n)).alias(f"p{int(k)}_tokens") for k in percentiles],
     )
 
 

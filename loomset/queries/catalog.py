@@ -479,6 +479,14 @@ def length_report(spark: SparkSession, sf: str) -> DataFrame:
     return report.withColumn("mean_tokens", F.round("mean_tokens", 6))
 
 
+def length_percentiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Of a count of one's own, the characters of all turns."""
+    told = lengths.length_report(
+        a.table(spark, sf, "conversations"), percentiles=(1, 25, 50, 95, 100), n_tokens=F.length("text")
+    )
+    return told.select("num_rows", *[f"p{k}_tokens" for k in (1, 25, 50, 95, 100)])
+
+
 def seeded_order(spark: SparkSession, sf: str) -> DataFrame:
     return order.seeded_order(a.documents(spark, sf), "doc_id", seed=42)
 
@@ -633,6 +641,7 @@ QUERIES = {
         pair_turns,
         token_cap,
         length_report,
+        length_percentiles,
         seeded_order,
         shard_ranks,
         batch_assign,

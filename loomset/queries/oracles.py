@@ -336,8 +336,14 @@ ORACLES: dict[str, str] = {
         )
         SELECT source, lang, count(*) AS num_rows, sum(n)::BIGINT AS num_tokens, max(n) AS max_tokens,
                round(sum(n)::DOUBLE / count(*), 6) AS mean_tokens, count(*) FILTER (n > 512) AS num_truncated,
-               sum(greatest(n - 512, 0))::BIGINT AS tokens_cut
+               sum(greatest(n - 512, 0))::BIGINT AS tokens_cut, quantile_disc(n, 0.5) AS p50_tokens,
+               quantile_disc(n, 0.9) AS p90_tokens, quantile_disc(n, 0.99) AS p99_tokens
         FROM counted GROUP BY source, lang""",
+    "length_percentiles": """
+        SELECT count(*) AS num_rows, quantile_disc(length(text), 0.01)::BIGINT AS p1_tokens,
+               quantile_disc(length(text), 0.25)::BIGINT AS p25_tokens, quantile_disc(length(text), 0.5)::BIGINT AS p50_tokens,
+               quantile_disc(length(text), 0.95)::BIGINT AS p95_tokens, max(length(text))::BIGINT AS p100_tokens
+        FROM conversations""",
     "token_cap": r"""
         WITH tokenized AS (SELECT doc_id, regexp_extract_all(text, '\S+') AS tokens FROM documents)
         SELECT doc_id, cast(len(tokens) AS BIGINT) AS n_tokens, len(tokens) > 512 AS truncated,
