@@ -139,6 +139,89 @@ def assign_batches(
     )
 
 
+def permuted(position: Column, num_rows: int, key: Column, rounds: int = 4) -> Column:
+    """Where a permutation of 0 to ``num_rows`` - 1 that the key (a string) fixes takes a position.
+
+    Nothing is sorted or looked up: the position is written as two digits, of
+    bases near the root of ``num_rows``, and each is in turn moved on by a hash of the other
+    (a Feistel network), which can be undone and so takes no two to the same
+    place. The digits span a few places more than there are; from those the
+    walk goes on until it is inside, which keeps it a permutation. More than a
+    few steps are practically never needed, and beyond sixteen (or
+    all places outside, if they are fewer) it is an error rather than a wrong
+    place, as is a position outside the range.
+    """
+    _positive(num_rows=num_rows, rounds=rounds)
+    high = math.isqrt(num_rows - 1) + 1
+    low = -(-num_rows // high)
+    as_long = lambda n: F.lit(n).cast("long")
+
+    def hashed(turn: Column, digit: Column) -> Column:
+        text = F.concat_ws(":", key, turn.cast("string"), digit.cast("string"))
+        return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+
+    def digits(first: Column, second: Column) -> Column:
+        return F.struct(first.alias("first"), second.alias("second"))
+
+    def move(both: Column, turn: Column) -> Column:
+        first, second = both["first"], both["second"]
+        return F.when(turn % 2 == 0, digits((first + hashed(turn, second)) % as_long(high), second)).otherwise(
+            digits(first, (second + hashed(turn, first)) % as_long(low))
+        )
+
+    def step(place: Column) -> Column:
+        start = digits(_div(place, low), place % as_long(low))
+        moved = F.aggregate(F.sequence(F.lit(0), F.lit(rounds - 1)), start, move)
+        return moved["first"] * as_long(low) + moved["second"]
+
+    inside = lambda place: place < as_long(num_rows)
+    more = F.sequence(F.lit(1), F.lit(min(high, 16)))
+    walked = F.aggregate(more, step(position), lambda place, _: F.when(inside(place), place).otherwise(step(place)))
+    known = inside(position) & (position >= 0)
+    lost = F.raise_error(F.concat(F.lit(f"no place among {num_rows} for position "), position.cast("string"))).cast("long")
+    return F.transform(F.array(walked), lambda place: F.when(known & inside(place), place).otherwise(lost))[0]
+
+
+def epoch_batches(
+    df: DataFrame,
+    epochs: float = 1,
+    max_steps: int = -1,
+    world_size: int = 1,
+    per_device_batch: int = 2,
+    accumulation: int = 4,
+    seed: int = 42,
+    position: str = "position",
+    num_rows: int | None = None,
+) -> DataFrame:
+    """Each row once for every time that training sees it: ``epoch``, ``epoch_position``, ``rank``, ``step``, ``micro_step``.
+
+    The first epoch takes the rows by their stored position, each later one in
+    an order of its own (``permuted``) that seed and epoch fix. No epoch sorts or
+    shuffles anything: rows are told where they go and stay where they are.
+    ``step`` counts through all epochs; those from the total on are not there,
+    so the last epoch may be cut short. The total is as in ``step_plan``: a positive
+    ``max_steps`` wins over the epochs, which may be a fraction.
+
+    Positions must be 0 to n - 1; n is counted unless ``num_rows`` says it (of a
+    saved order, a count of footers). Without rows there are no steps.
+    """
+    _positive(world_size=world_size, per_device_batch=per_device_batch, accumulation=accumulation)
+    if epochs < 0:
+        raise ValueError(f"epochs must not be negative, got {epochs}")
+    n = df.count() if num_rows is None else num_rows
+    per_epoch = math.ceil(n / (world_size * per_device_batch * accumulation))
+    total = max_steps if max_steps > 0 else math.ceil(per_epoch * epochs)
+    passes = math.ceil(total / per_epoch) if per_epoch else 0
+    numbers = F.sequence(F.lit(0), F.lit(passes - 1)) if passes else F.array().cast("array<int>")
+    rows = df.withColumn("epoch", F.explode(numbers))
+    key = F.concat_ws(":", F.lit(str(seed)), F.col("epoch").cast("string"))
+    own = permuted(ref(position), max(n, 1), key)
+    rows = rows.withColumn("epoch_position", F.when(F.col("epoch") == 0, ref(position)).otherwise(own))
+    dealt = assign_batches(rows, world_size, per_device_batch, accumulation, "epoch_position")
+    step = F.col("step") + F.col("epoch").cast("long") * per_epoch
+    return dealt.withColumn("step", step).filter(F.col("step") < total)
+
+
 def step_plan(
     df: DataFrame,
     world_size: int = 1,

@@ -504,6 +504,22 @@ def batch_assign(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def epoch_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Two epochs and a half, each in an order of its own."""
+    ordered = order.seeded_order(a.documents(spark, sf).select("doc_id"), "doc_id", seed=42)
+    return order.epoch_batches(ordered, epochs=2.5, world_size=4, per_device_batch=2, accumulation=4)
+
+
+def epoch_batches_max_steps(spark: SparkSession, sf: str) -> DataFrame:
+    """As many epochs as the steps take; what each rank sees in each step."""
+    turns_ = a.table(spark, sf, "conversations").select("conv_id", "turn")
+    ordered = order.seeded_order(turns_, ["conv_id", "turn"], seed=7)
+    dealt = order.epoch_batches(ordered, max_steps=100, world_size=2, per_device_batch=4, accumulation=1, seed=7)
+    return dealt.groupBy("rank", "step").agg(
+        F.count(F.lit(1)).alias("num_rows"), F.min("epoch_position").alias("first"), F.sum(F.col("conv_id") * (F.col("turn") + 1)).alias("mark")
+    )
+
+
 def step_plan(spark: SparkSession, sf: str) -> DataFrame:
     """Under three settings of batch, accumulation and steps."""
     docs = a.documents(spark, sf)
@@ -645,6 +661,8 @@ QUERIES = {
         seeded_order,
         shard_ranks,
         batch_assign,
+        epoch_batches,
+        epoch_batches_max_steps,
         step_plan,
         retain_last_k,
         stream_ingest,

@@ -162,6 +162,31 @@ _ORDER = """
 SELECT doc_id, row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) - 1 AS position FROM documents
 """
 
+
+
+def _epochs(ordered: str, keys: str, seed: int, passes: int) -> str:
+    """Common table ``dealt``: the keys, ``epoch``, ``position`` and ``epoch_position`` of each row in each epoch."""
+    hashed = f"('0x' || substr(md5(concat_ws(':', {seed}, epoch, {{turn}}, {{digit}})), 1, 8))::BIGINT"
+    moved = "SELECT *, x // low AS first, x % low AS second FROM walk, bases WHERE epoch > 0 AND (NOT moved OR x >= n)"
+    for turn in range(4):
+        digit, other, base = ("first", "second", "high") if turn % 2 == 0 else ("second", "first", "low")
+        new = f"({digit} + {hashed.format(turn=turn, digit=other)}) % {base}"
+        moved = f"SELECT * REPLACE ({new} AS {digit}) FROM ({moved})"
+    return f"""
+        WITH RECURSIVE ordered AS ({ordered}), roots AS (
+            SELECT count(*) AS n, floor(sqrt(count(*) - 1))::BIGINT + 1 AS high FROM ordered
+        ), bases AS (
+            SELECT n, high, (n + high - 1) // high AS low FROM roots
+        ), walk AS (
+            SELECT {keys}, position, epoch, position AS x, false AS moved FROM ordered, range({passes}) epochs(epoch)
+            UNION ALL
+            SELECT {keys}, position, epoch, first * low + second, true FROM ({moved})
+        ), dealt AS (
+            SELECT {keys}, position, epoch::INT AS epoch, x AS epoch_position, n
+            FROM walk, roots WHERE epoch = 0 OR (moved AND x < n)
+        )"""
+
+
 _ROLLUP = """
 SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start,
        time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' AS window_end,
@@ -355,6 +380,20 @@ ORACLES: dict[str, str] = {
         SELECT *, position % 4 AS rank, position // 4 // 2 // 4 AS step,
                (position // 4 // 2) % 4 AS micro_step
         FROM ({_DOCUMENTS}) JOIN ({_ORDER}) USING (doc_id)""",
+    "epoch_batches": f"""{_epochs(_ORDER, "doc_id", 42, 3)}, stepped AS (
+            SELECT doc_id, position, epoch, epoch_position, epoch_position % 4 AS rank,
+                   epoch_position // 4 // 2 // 4 + epoch * ((n + 31) // 32) AS step,
+                   (epoch_position // 4 // 2) % 4 AS micro_step, ceil(((n + 31) // 32) * 2.5) AS total
+            FROM (SELECT * REPLACE (epoch::BIGINT AS epoch) FROM dealt)
+        )
+        SELECT doc_id, position, epoch::INT AS epoch, epoch_position, rank, step, micro_step FROM stepped WHERE step < total""",
+    "epoch_batches_max_steps": f"""{_epochs(
+        "SELECT conv_id, turn, row_number() OVER (ORDER BY md5('7:' || conv_id || chr(31) || turn), conv_id, turn) - 1 AS position"
+        " FROM conversations", "conv_id, turn", 7, 60)}, stepped AS (
+            SELECT *, epoch_position % 2 AS rank, epoch_position // 2 // 4 + epoch * ((n + 7) // 8) AS step FROM dealt
+        )
+        SELECT rank, step, count(*) AS num_rows, min(epoch_position) AS first, sum(conv_id * (turn + 1))::BIGINT AS mark
+        FROM stepped WHERE step < 100 GROUP BY rank, step""",
     "step_plan": " UNION ALL ".join(
         (
             _step_plan("demo", 4 * 2 * 4, 1),
