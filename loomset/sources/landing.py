@@ -8,7 +8,7 @@ from posixpath import basename, dirname
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from loomset.sources import files, readers
+from loomset.sources import files, inventory, readers
 from loomset.sources.sinks import save_dataset
 
 # Partition that remembers which file or directory rows were landed from.
@@ -139,17 +139,16 @@ def landing_report(spark: SparkSession, path: str) -> DataFrame:
     """
     if not files.exists(spark, path):
         raise RuntimeError(f"nothing lies at {path}")
-    found = [e for e in files.files_below(spark, files.list_dir(spark, path)) if not _is_mark(e)]
-    if not found:
+    found = landed_files(spark, path)
+    if found.isEmpty():
         raise RuntimeError(f"{path} has no files")
-    return spark.range(1).select(
-        F.lit(len(found)).cast("long").alias("num_files"),
-        F.lit(sum(e.length for e in found)).cast("long").alias("num_bytes"),
-    )
+    return found.agg(F.count(F.lit(1)).alias("num_files"), F.sum("length").alias("num_bytes"))
 
 
-def _is_mark(entry: files.Entry) -> bool:
-    return entry.name == "_SUCCESS" or "/_temporary/" in entry.path
+def landed_files(spark: SparkSession, path: str) -> DataFrame:
+    """``path`` and ``length`` of the files that count as landed, listed by executors."""
+    marks = (inventory.name_of("path") == "_SUCCESS") | F.col("path").contains("/_temporary/")
+    return inventory.files_under(spark, path).filter(~marks)
 
 
 def landing_counters(spark: SparkSession, path: str, format: str = "parquet") -> DataFrame:

@@ -6,7 +6,7 @@ import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from fnmatch import fnmatchcase
-from functools import partial
+from functools import partial, reduce
 from urllib.parse import quote, unquote
 
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomset.functions.text import ref
-from loomset.sources import files, positions
+from loomset.sources import files, inventory, positions
 
 # Suffixes per kind, in the order a directory is probed.
 JSON_SUFFIXES = (".json", ".jsonl")
@@ -70,8 +70,8 @@ def read_json(
     """JSON Lines or JSON arrays; a broken record fails the read.
 
     Lines are split over tasks, an array is read whole by one task. ``auto``
-    looks at the first byte of every file, from the driver; name the layout to
-    skip this where there are very many.
+    looks at the first byte of every file, in executors; name the layout to
+    skip this.
     Arrays that each fill a line are read by lines too, several to a file.
     Give ``schema`` to save the inference pass.
     ``suffixes`` limits the files taken from a directory. ``places`` names three
@@ -120,17 +120,39 @@ def placed(df: DataFrame, names: tuple[str, str, str]) -> DataFrame:
 def _by_layout(
     spark: SparkSession, given: list[str], suffixes: Sequence[str]
 ) -> tuple[list[str], list[str]]:
-    listed = []
+    """Paths to read by lines, and as arrays. Executors open the files; the driver lists them only if both kinds are there."""
+    found = []
     for p in given:
         if files.is_dir(spark, p):
-            inside = [e for e in files.list_dir(spark, p) if not e.is_dir]
-            listed += [e.path for e in data_files(inside, suffixes or None)]
-        else:
-            listed.append(p)
-    heads = files.first_bytes(spark, listed)
-    if b"[" not in heads.values():
+            inside = inventory.files_under(spark, p, recursive=False)
+            found.append(_data_files_of(inside, suffixes or None).select("path"))
+    single = [(files.qualified(spark, p),) for p in given if not files.is_dir(spark, p)]
+    if single:
+        found.append(spark.createDataFrame(single, "path string"))
+    heads = inventory.first_bytes(spark, reduce(DataFrame.union, found))
+    is_array = F.coalesce(F.col("first") == "[", F.lit(False))
+    counted = heads.agg(F.count(F.lit(1)).alias("all"), F.count_if(is_array).alias("arrays")).first()
+    if not counted["arrays"]:
         return given, []
-    return [p for p in listed if heads[p] != b"["], [p for p in listed if heads[p] == b"["]
+    if counted["arrays"] == counted["all"]:
+        return [], given
+    told = heads.select("path", is_array.alias("is_array")).collect()
+    return [r["path"] for r in told if not r["is_array"]], [r["path"] for r in told if r["is_array"]]
+
+
+def _data_files_of(listed: DataFrame, suffixes: Sequence[str] | None) -> DataFrame:
+    """``data_files`` of a table of paths."""
+    name = inventory.name_of("path")
+    wanted = ~name.isin(*BOOKKEEPING)
+    if suffixes is not None:
+        wanted &= F.concat(F.lit("."), F.substring_index(name, ".", -1)).isin(*suffixes) & name.contains(".")
+    hidden = name.startswith(".") | (name.startswith("_") & ~name.contains("="))
+    chosen = listed.filter(wanted)
+    if suffixes is not None:
+        passed = [r["path"] for r in chosen.filter(hidden).limit(6).collect()]
+        if passed:
+            raise ValueError(f"readers pass over hidden names; rename these files: {_some(passed)}")
+    return chosen.filter(~hidden)
 
 
 def data_files(entries: Sequence[files.Entry], suffixes: Sequence[str] | None = None) -> list[files.Entry]:

@@ -1,0 +1,115 @@
+"""Listings and first bytes by executors, against walking the tree."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from loomset.sources import files, inventory, landing, readers, stores
+
+
+@pytest.fixture(scope="module")
+def tree(tmp_path_factory):
+    top = tmp_path_factory.mktemp("tree")
+    for name, size in {
+        "a.json": 3, "_hidden": 5, ".dot": 7, "deep/x/y/z/leaf.txt": 11, "deep/x/b": 13, "wide/1/f": 17, "wide/2/f": 19,
+        "wide/3/f": 23, "odd name=1/é %20+.csv": 29, "none/": 0,
+    }.items():
+        path = top / name
+        if name.endswith("/"):
+            path.mkdir(parents=True)
+        else:
+            path.parent.mkdir(parents=True, exist_ok=True)
+            path.write_bytes(b"x" * size)
+    return str(top)
+
+
+def walked(top, recursive=True):
+    found = []
+    for directory, _, names in os.walk(top):
+        found += [(f"file:{directory}/{n}", os.path.getsize(f"{directory}/{n}")) for n in names]
+        if not recursive:
+            break
+    return sorted(found)
+
+
+@pytest.mark.parametrize("trees", [1, 2, 3, 256])
+def test_every_file_once(spark, tree, trees):
+    spark.dataSource.register(inventory.FileInventory)
+    listed = spark.read.format("file_inventory").option("trees", trees).load(files.qualified(spark, tree))
+    assert sorted(tuple(r) for r in listed.collect()) == walked(tree)
+
+
+def test_one_level(spark, tree):
+    listed = inventory.files_under(spark, tree, recursive=False)
+    assert sorted(tuple(r) for r in listed.collect()) == walked(tree, recursive=False)
+
+
+def test_trees_are_dealt_to_tasks(spark, tree):
+    parts = inventory.InventoryReader({"path": f"file:{tree}", "trees": "3"}).partitions()
+    deep = [d for p in parts if p.deep for d in p.directories]
+    shallow = [d for p in parts if not p.deep for d in p.directories]
+    assert len(deep) >= 3 and shallow == [f"file:{tree}"]
+    few = inventory.InventoryReader({"path": f"file:{tree}", "trees": "999"}).partitions()
+    assert not any(p.deep for p in few) and sum(len(p.directories) for p in few) == 11
+
+
+def test_as_hadoop_lists(spark, tree, tmp_path):
+    """Checksum files included in neither; an empty directory has no rows."""
+    path = str(tmp_path / "t")
+    spark.range(10).repartition(3).write.json(path)
+    assert any(n.endswith(".crc") for n in os.listdir(path))
+    listed = sorted(tuple(r) for r in inventory.files_under(spark, path).collect())
+    assert listed == sorted((e.path, e.length) for e in files.files_below(spark, files.list_dir(spark, path)))
+    assert inventory.files_under(spark, f"{tree}/none").count() == 0
+
+
+def test_stores_that_only_hadoop_opens(spark, tree, monkeypatch):
+    monkeypatch.setattr(stores, "opens", lambda path: False)
+    assert sorted(tuple(r) for r in inventory.files_under(spark, tree).collect()) == walked(tree)
+    heads = inventory.first_bytes(spark, inventory.files_under(spark, f"{tree}/wide"))
+    assert {r["first"] for r in heads.collect()} == {"x"}
+
+
+def test_first_bytes(spark, tmp_path):
+    contents = {"a": b"[1]", "b": b"\xef\xbb\xbf \n {", "c": b"", "d": b" \t" * 5000 + b"[", "e": b"\xc3\xa9", "f": b"  "}
+    for name, content in contents.items():
+        (tmp_path / name).write_bytes(content)
+    heads = inventory.first_bytes(spark, inventory.files_under(spark, str(tmp_path))).collect()
+    got = {os.path.basename(r["path"]): r["first"] for r in heads}
+    assert got == {"a": "[", "b": "{", "c": None, "d": "[", "e": "\xc3", "f": None}
+    assert inventory.first_bytes(spark, spark.createDataFrame([], "path string")).count() == 0
+
+
+def test_layouts_are_told_without_the_driver(spark, tmp_path, monkeypatch):
+    for name, content in {"a.json": '{"i": 1}\n{"i": 2}', "b.json": '[{"i": 3},\n {"i": 4}]', "c.txt": "["}.items():
+        (tmp_path / name).write_text(content)
+
+    def never(*_):
+        raise AssertionError("a file was opened from the driver")
+
+    monkeypatch.setattr(files, "first_byte", never)
+    df = readers.read_json(spark, str(tmp_path), suffixes=(".json",))
+    assert sorted(r["i"] for r in df.collect()) == [1, 2, 3, 4]
+    (tmp_path / "_d.json").write_text("[]")
+    with pytest.raises(ValueError, match="hidden"):
+        readers.read_json(spark, str(tmp_path), suffixes=(".json",))
+
+
+def test_reports_are_aggregates(spark, tree, monkeypatch):
+    def never(*_):
+        raise AssertionError("the driver listed a tree")
+
+    monkeypatch.setattr(files, "files_below", never)
+    found = walked(tree)
+    assert tuple(landing.landing_report(spark, tree).first()) == (len(found), sum(n for _, n in found))
+    sizes = landing.landed_files(spark, tree).groupBy(F.col("path").contains("/wide/").alias("wide")).agg(F.sum("length").alias("n"))
+    assert {r["wide"]: r["n"] for r in sizes.collect()} == {True: 59, False: sum(n for _, n in found) - 59}
+
+
+def test_paths_of_stores():
+    assert stores.opens("file:/a") and stores.opens("s3a://b/c") and not stores.opens("abfss://c@d/e")
+    assert stores.Local("file:///a")._plain("file:///a/b") == "/a/b" == stores.Local("/a")._plain("/a/b")
+    made = stores.Arrow.__new__(stores.Arrow)
+    made.top = "bucket"
+    assert made._inside("s3a://bucket/x/y/") == "bucket/x/y" and made._inside("s3a://bucket") == "bucket"
