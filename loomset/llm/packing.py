@@ -27,6 +27,7 @@ import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache, partial
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -60,6 +61,8 @@ class _Encoder:
         # Texts can't forge special tokens.
         self.tokenizer.encode_special_tokens = True
         self.width, self.end = width, end
+        #: Whether it lower-cases anyway: then words that differ in that are one.
+        self.lower = '"type":"Lowercase"' in rules.replace(" ", "")
         self.forget()
 
     def forget(self) -> None:
@@ -70,7 +73,8 @@ class _Encoder:
         """The ids of each text, then the end, as binary."""
         if len(self.words) > WORDS_KNOWN:
             self.forget()
-        split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        texts = pc.fill_null(texts, "")
+        split = pc.ascii_split_whitespace(pc.ascii_lower(texts) if self.lower else texts)
         words = split.flatten().dictionary_encode()
         number = pc.index_in(words.dictionary, value_set=self.words)
         unknown = words.dictionary.filter(pc.is_null(number))
@@ -92,7 +96,7 @@ class _Encoder:
             part = words[low : low + WORDS_AT_ONCE]
             found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
             starts = np.cumsum([0] + [len(w) + 1 for w in part[:-1]])
-            begins = np.fromiter((a for a, _ in found.offsets), np.int64)
+            begins = np.fromiter(map(itemgetter(0), found.offsets), np.int64)
             lengths.append(np.bincount(np.searchsorted(starts, begins, "right") - 1, minlength=len(part)))
             values.append(np.array(found.ids, f"<u{self.width}"))
         self.words = pa.concat_arrays([self.words, unknown])
@@ -118,8 +122,8 @@ def encode(
 
     For tokenizers that drop white space and never join over it. The file is
     read on the driver and broadcast. ``ids`` is binary, little-endian numbers
-    of ``width`` bytes, 2 or 4. A null text is empty and has the end alone; rows are told
-    apart by ``row``, so keys may repeat or be null.
+    of ``width`` bytes, 2 or 4. A null text is empty and has the end alone; rows
+    are told apart by ``row``, so keys may repeat or be null.
     """
     with open(tokenizer_file, encoding="utf-8") as f:
         rules = spark.sparkContext.broadcast(f.read())
@@ -141,7 +145,7 @@ def encode(
                 yield pa.RecordBatch.from_arrays([batch.column(0)[low:high], ids, lengths], schema.names)
 
     encoded = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, schema)
-    with small_batches(spark):
+    with small_batches(spark, 3000):
         return written(encoded.select(F.monotonically_increasing_id().alias("row"), *schema.names), "packing-tokens")
 
 
