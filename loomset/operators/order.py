@@ -10,10 +10,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomset.functions.text import fresh, ref
+from loomset.session import scratch_dir
 
 # Fixed value: length of a dry run.
 DRY_RUN_STEPS = 5
 
+# Rows of one key that one task numbers.
+MOST_PER_TASK = 250_000
+
 # One small row per slice is broadcast; this many take some tens of megabytes.
 MAX_SLICES = 1_000_000
 
@@ -33,6 +37,8 @@ def seeded_order(
     seed: int = 42,
     slices: int | None = None,
     column: str = "position",
+    unique: bool = False,
+    most: int = MOST_PER_TASK,
 ) -> DataFrame:
     """A permutation fixed by the seed, as a dense position from 0.
 
@@ -44,10 +50,13 @@ def seeded_order(
     and are broadcast. Task after task holds consecutive positions. Every step
     is a pure function of the rows, so a lost task can be run again.
 
-    ``slices`` defaults to the session's shuffle partitions. The key should be
-    unique. Rows that repeat one stand together in the order of a hash of all
-    their columns (but for maps), which only equal rows share; they are numbered by one task,
-    however many they are.
+    ``slices`` defaults to the session's shuffle partitions. Rows that repeat a
+    key stand together in the order of a hash of all their columns (but for
+    maps), which only equal rows share. Where a key has more than ``most`` rows,
+    its rows are sliced once more, by that hash, and if as many are equal they become
+    one row with a count until their places are dealt out; so many tasks
+    number them (equal rows that differ in maps only are left to one). A count per slice, one more pass over
+    the key columns, says whether there is such a key; ``unique`` spares it.
     """
     keys = [key] if isinstance(key, str) else list(key)
     slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -55,6 +64,10 @@ def seeded_order(
     if slices > MAX_SLICES:
         raise ValueError(f"slices must be at most {MAX_SLICES}, got {slices}")
     hashed = _shuffle_hash(keys, seed)
+    if not unique:
+        held = df.groupBy(_slice_of(hashed, slices).alias("slice")).agg(F.count(F.lit(1)).alias("held"))
+        if not held.filter(F.col("held") > most).isEmpty():
+            return _order_in_cells(df, keys, hashed, slices, column, most)
 
     names = {name: fresh(df, name) for name in ("hash", "content", "slice", "nth", "held", "offset")}
     by_slice = Window.orderBy(names["slice"]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -81,9 +94,110 @@ def seeded_order(
     return placed.select(*[ref(c) for c in df.columns if c != column], position.alias(column))
 
 
+def _order_in_cells(df: DataFrame, keys: list[str], hashed: Column, slices: int, column: str, most: int) -> DataFrame:
+    """``seeded_order`` where slices hold keys of more than ``most`` rows.
+
+    Such keys cut their slice into segments: rows before them, their own, rows
+    after. Their own are cut by equal ranges of the content's hash, and those by contents that
+    more than ``most`` rows share. These cells follow each other in the order of the rows, so sums of
+    their counts are the offsets. Keys and contents of that many rows are few: fewer than rows / ``most``.
+    """
+    n = {
+        name: fresh(df, name)
+        for name in ("hash", "content", "slice", "heavy", "segment", "part", "piece", "own", "id", "offset", "at", "copies", "nth", "held", "ids")
+    }
+    c = {name: F.col(full) for name, full in n.items()}
+    cell = [n["slice"], n["segment"], n["part"], n["piece"]]
+    marked = df.withColumns({n["hash"]: hashed, n["slice"]: _slice_of(hashed, slices), n["content"]: _content_hash(df)})
+    marks = marked.select(*[c[name].alias(name) for name in ("hash", "slice", "content")])
+    count = F.count(F.lit(1))
+
+    full = marks.groupBy("slice").agg(count.alias("rows")).filter(F.col("rows") > most).select("slice")
+    in_full = marks.join(F.broadcast(full), "slice", "left_semi")
+    hot = _kept(in_full.groupBy("slice", "hash").agg(count.alias("rows")).filter(F.col("rows") > most), "hot-keys")
+    of_hot = marks.join(F.broadcast(hot.select("hash")), "hash", "left_semi")
+    equal = of_hot.groupBy("hash", "content").agg(count.alias("rows")).filter(F.col("rows") > most)
+    if _plain(df) != df.columns:
+        equal = equal.limit(0)
+    contents = _kept(equal, "hot-contents").groupBy("hash").agg(F.array_sort(F.collect_list("content")).alias("contents"))
+    parts = F.ceil(F.col("rows") / most).alias("parts")
+    heavy = hot.join(contents, "hash", "left").select("slice", "hash", parts, F.coalesce("contents", F.array().cast("array<bigint>")).alias("contents"))
+    by_slice = heavy.groupBy("slice").agg(F.array_sort(F.collect_list(F.struct("hash", "parts", "contents"))).alias(n["heavy"]))
+
+    # The cell of each row; those of other slices have null for the list and are one cell.
+    own = F.get(F.filter(c["heavy"], lambda h: h["hash"] == c["hash"]), F.lit(0))
+    before = F.size(F.filter(c["heavy"], lambda h: h["hash"] < c["hash"]))
+    unsigned = F.shiftright(c["content"], 32) + F.lit(1 << 31)
+    in_cells = (
+        marked.join(F.broadcast(by_slice.withColumnRenamed("slice", n["slice"])), n["slice"], "left")
+        .withColumn(n["own"], own)
+        .withColumn(n["segment"], F.when(c["heavy"].isNull(), 0).otherwise(2 * before + c["own"].isNotNull().cast("int")))
+        .withColumn(n["part"], F.coalesce(F.shiftright(unsigned * c["own"]["parts"], 32), F.lit(0)))
+        .withColumn(
+            n["piece"],
+            F.when(c["own"].isNull(), 0).otherwise(
+                2 * F.size(F.filter(c["own"]["contents"], lambda v: v < c["content"])) + F.array_contains(c["own"]["contents"], c["content"]).cast("int")
+            ),
+        )
+        .drop(n["heavy"], n["own"])
+    )
+    in_order = Window.orderBy(*cell).rowsBetween(Window.unboundedPreceding, -1)
+    ids = F.when(c["piece"] % 2 == 1, F.ceil(c["held"] / most)).otherwise(F.lit(1).cast("long"))
+    cells = _kept(
+        in_cells.groupBy(*cell)
+        .agg(count.alias(n["held"]))
+        .withColumn(n["ids"], ids)
+        .withColumn(n["offset"], F.coalesce(F.sum(c["held"]).over(in_order), F.lit(0)))
+        .withColumn(n["id"], F.coalesce(F.sum(c["ids"]).over(in_order), F.lit(0))),
+        "order-cells",
+    )
+    tasks = cells.agg(F.sum(c["ids"])).first()[0]
+    found = in_cells.join(F.broadcast(cells.drop(n["held"], n["ids"])), cell)
+
+    # Equal rows: one row for every ``most`` of them, with its first place.
+    one_by_one = found.filter(c["piece"] % 2 == 0).withColumns({n["at"]: F.lit(None).cast("long"), n["copies"]: F.lit(1).cast("long")})
+    columns, plain = df.columns, _plain(df)
+    rest = [n[name] for name in ("hash", "content", "slice", "segment", "part", "piece", "offset", "id")]
+    earlier = Window.partitionBy(*cell).orderBy(F.xxhash64(F.lit(1), *[ref(x) for x in plain])).rowsBetween(Window.unboundedPreceding, -1)
+    together = found.filter(c["piece"] % 2 == 1).groupBy(*[ref(x) for x in plain], *rest).agg(count.alias(n["held"]))
+    start = c["offset"] + F.coalesce(F.sum(c["held"]).over(earlier), F.lit(0))
+    step = F.lit(most).cast("long")
+    last = c["nth"] + c["held"] - 1
+    together = (
+        together.withColumn(n["nth"], start)
+        .withColumn(n["at"], F.explode(F.sequence(c["nth"], last, step)))
+        .withColumn(n["copies"], F.least(step, last - c["at"] + 1))
+        .withColumn(n["id"], c["id"] + _div(c["at"] - c["offset"], most))
+        .drop(n["nth"], n["held"])
+    )
+    within = Window.partitionBy(n["id"]).orderBy(n["hash"], *[ref(k) for k in keys], n["content"])
+    numbered = (
+        (one_by_one.unionByName(together) if plain == columns else one_by_one)
+        .withColumn(n["id"], c["id"].cast("int"))
+        .repartitionById(tasks, n["id"])
+        .withColumn(n["nth"], F.row_number().over(within))
+        .withColumn(n["at"], F.coalesce(c["at"], c["offset"] + c["nth"] - 1))
+    )
+    places = F.explode(F.sequence(c["at"], c["at"] + c["copies"] - 1)).alias(column)
+    return numbered.select(*[ref(x) for x in columns if x != column], places)
+
+
+def _kept(df: DataFrame, label: str) -> DataFrame:
+    """A small table, written once to the shared scratch folder."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _plain(df: DataFrame) -> list[str]:
+    """Columns that can be hashed and compared."""
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    return [name for name, kind in kinds.items() if "map<" not in kind and kind != "variant"]
+
+
 def _content_hash(df: DataFrame) -> Column:
-    plain = [ref(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString() and f.dataType.simpleString() != "variant"]
-    return F.xxhash64(*plain) if plain else F.lit(0)
+    plain = [ref(name) for name in _plain(df)]
+    return F.xxhash64(*plain) if plain else F.lit(0).cast("long")
 
 
 def _slice_of(hashed: Column, slices: int) -> Column:

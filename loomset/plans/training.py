@@ -53,7 +53,7 @@ def training_rows(
     else:
         keys = (key,) if isinstance(key, str) else tuple(key)
     texts = detect.training_projection(df, text_field, keep=keys)
-    rows = order.seeded_order(texts, keys, seed, slices)
+    rows = order.seeded_order(texts, keys, seed, slices, unique=keys == SOURCE_KEY)
     # After the shuffle, which then moves no tokens.
     return rows if max_seq_length is None else lengths.token_cap(rows, max_seq_length)
 

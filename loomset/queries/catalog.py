@@ -491,6 +491,18 @@ def seeded_order(spark: SparkSession, sf: str) -> DataFrame:
     return order.seeded_order(a.documents(spark, sf), "doc_id", seed=42)
 
 
+def seeded_order_hot_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """By a key that thousands of rows repeat, numbered in cells of 100: each key's rows stand together, none shares a place."""
+    rows = order.seeded_order(a.documents(spark, sf), "lang", seed=42, most=100)
+    return rows.groupBy("lang").agg(
+        F.count(F.lit(1)).alias("num_rows"),
+        F.countDistinct("position").alias("num_places"),
+        F.min("position").alias("first"),
+        F.max("position").alias("last"),
+        F.sum("doc_id").alias("ids"),
+    )
+
+
 def shard_ranks(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_dir(spark, "shards")
     rows = order.seeded_order(a.documents(spark, sf).select("doc_id", "text"), "doc_id", seed=42)
@@ -659,6 +671,7 @@ QUERIES = {
         length_report,
         length_percentiles,
         seeded_order,
+        seeded_order_hot_keys,
         shard_ranks,
         batch_assign,
         epoch_batches,

@@ -375,6 +375,11 @@ ORACLES: dict[str, str] = {
                array_to_string(tokens[1:512], ' ') AS capped_tokens
         FROM tokenized""",
     "seeded_order": f"SELECT * FROM ({_DOCUMENTS}) JOIN ({_ORDER}) USING (doc_id)",
+    "seeded_order_hot_keys": """
+        SELECT lang, count(*) AS num_rows, count(DISTINCT position) AS num_places, min(position) AS first,
+               max(position) AS last, sum(doc_id)::BIGINT AS ids
+        FROM (SELECT lang, doc_id, row_number() OVER (ORDER BY md5('42:' || coalesce(lang, ''))) - 1 AS position FROM documents)
+        GROUP BY lang""",
     "shard_ranks": f"SELECT doc_id, position, position % 4 AS rank FROM ({_ORDER})",
     "batch_assign": f"""
         SELECT *, position % 4 AS rank, position // 4 // 2 // 4 AS step,
