@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from loomset.functions.text import fresh
 from loomset.operators import quality
 from loomset.operators.render import NEVER_BLANK, map_rows, render
-from loomset.sources import positions, readers, sinks
+from loomset.sources import positions, published, readers, sinks
 
 
 @dataclass(frozen=True)
@@ -56,13 +56,15 @@ def prepare(
     row_function: Callable[[dict[str, Any]], Mapping[str, Any]] | None = None,
     row_columns: Sequence[str] | None = None,
     reading: readers.Reading = readers.Reading(),
+    publish: bool = False,
     **options,
 ) -> PreparationReport:
     """Run the whole preparation and leave a saved dataset with its manifest.
 
     The leading rows are those of the source's order, or of ``key``'s.
     ``reading`` says how JSON and CSV files are read. ``row_function`` renders with Python (given ``row_columns``, or all)
-    instead of ``format``, which then is only the name recorded.
+    instead of ``format``, which then is only the name recorded. With ``publish`` the output is a
+    published dataset: a job that fails leaves its former version, and the manifest is the commit's note.
     """
     raw = readers.read_raw(spark, input, reading)
     if max_samples and key is None and not positions.knows_files(raw):
@@ -78,15 +80,20 @@ def prepare(
     read = Observation("rows_read")
     counted = raw.observe(read, F.count(F.lit(1)).alias("rows"))
     kept = prepared_rows(counted, format, **arguments)
-    sinks.save_dataset(kept, output)
     name = format if isinstance(format, str) else getattr(format, "__name__", "custom")
-    sinks.save_manifest(spark, output, input, name)
+    if publish:
+        commit = published.publish(kept, output, note={"source": input, "format": name})
+        num_samples, columns = commit.rows, commit.columns
+    else:
+        sinks.save_dataset(kept, output)
+        sinks.save_manifest(spark, output, input, name)
+        recorded = sinks.read_manifest(spark, output).first()
+        num_samples, columns = recorded["num_samples"], recorded["columns"]
 
-    recorded = sinks.read_manifest(spark, output).first()
     sample = quality.preview(readers.reload_saved(spark, output)).first()
     return PreparationReport(
         rows_before=read.get["rows"],
-        rows_after=recorded["num_samples"],
-        columns=tuple(recorded["columns"]),
+        rows_after=num_samples,
+        columns=tuple(columns),
         sample=sample["preview"] if sample else None,
     )

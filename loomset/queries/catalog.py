@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from loomset.plans import landing as landing_plan
 from loomset.plans import preparation, training
 from loomset.queries import adapters as a
 from loomset.session import scratch_dir
-from loomset.sources import files, landing, readers, sinks
+from loomset.sources import files, landing, published, readers, sinks
 from loomset.streaming import jobs
 
 CONV_KEYS = ("conv_id", "turn")
@@ -227,6 +228,25 @@ def run_record(spark: SparkSession, sf: str) -> DataFrame:
     return sinks.latest_run_records(spark.read.parquet(path))
 
 
+def publish_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Two versions, then a job that breaks off and one that comes too late; each version is read as it was."""
+    path = scratch_dir(spark, "published")
+    docs = a.documents(spark, sf)
+    published.publish(docs, path, partition_by=["lang"])
+    published.publish(published.read_published(spark, path).select("doc_id", "text", F.upper("source").alias("source")), path)
+    broken = docs.withColumn("source", F.when(F.col("doc_id") >= 0, F.raise_error(F.lit("broken off"))).otherwise("").cast("string"))
+    for rows, after in ((broken, 2), (docs, 1)):
+        try:
+            published.publish(rows, path, after=after)
+        except (published.ConflictError, PySparkException):
+            continue
+        raise RuntimeError("a job that should have failed has published")
+    first, newest = published.read_published(spark, path, 1), readers.read_source(spark, "local", path)
+    return first.select("doc_id", "lang", "source").join(
+        newest.select("doc_id", "text", F.col("source").alias("newest_source")), "doc_id"
+    )
+
+
 def versioned_write(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_dir(spark, "versions")
     sinks.save_dataset(a.documents(spark, sf), sinks.versioned_path(base, "v1.0-docs"))
@@ -638,6 +658,7 @@ QUERIES = {
         verify_landing,
         prep_manifest,
         run_record,
+        publish_versions,
         versioned_write,
         landing_counters,
         fmt_alpaca,

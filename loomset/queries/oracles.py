@@ -269,6 +269,7 @@ ORACLES: dict[str, str] = {
                'conv_id,turn,instruction,input,output,text' AS columns,
                cast(sum(length({_chatml(_DEFAULT, "instruction", "output")})) AS BIGINT) AS num_chars
         FROM pairs""",
+    "publish_versions": "SELECT doc_id, lang, source, text, upper(source) AS newest_source FROM documents",
     "run_record": """
         SELECT cast(user_id AS VARCHAR) AS run,
                strftime(max(ts), '%Y-%m-%dT%H:%M:%S') AS timestamp,

@@ -28,7 +28,7 @@ def suffix_of(path: str) -> str:
     return splitext(basename(path.rstrip("/")))[1]
 
 
-def _open_fs(spark: SparkSession, path: str, options: Mapping[str, str] | None = None):
+def open_fs(spark: SparkSession, path: str, options: Mapping[str, str] | None = None):
     jvm = spark._jvm
     conf = spark._jsparkSession.sessionState().newHadoopConf()
     for key, value in (options or {}).items():
@@ -38,24 +38,24 @@ def _open_fs(spark: SparkSession, path: str, options: Mapping[str, str] | None =
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    fs, jpath = _open_fs(spark, path)
+    fs, jpath = open_fs(spark, path)
     return fs.exists(jpath)
 
 
 def is_dir(spark: SparkSession, path: str) -> bool:
-    fs, jpath = _open_fs(spark, path)
+    fs, jpath = open_fs(spark, path)
     return fs.exists(jpath) and fs.getFileStatus(jpath).isDirectory()
 
 
 def qualified(spark: SparkSession, path: str) -> str:
     """The path as listings write it, scheme included."""
-    fs, jpath = _open_fs(spark, path)
+    fs, jpath = open_fs(spark, path)
     return fs.makeQualified(jpath).toString()
 
 
 def holds_any_file(spark: SparkSession, path: str) -> bool:
     """Whether a file lies anywhere below, but for what a job that broke off left; stops at the first one."""
-    fs, jpath = _open_fs(spark, path)
+    fs, jpath = open_fs(spark, path)
     if not fs.exists(jpath):
         return False
     found = fs.listFiles(jpath, True)
@@ -94,7 +94,7 @@ def _entries(spark: SparkSession, statuses) -> list[Entry]:
 
 def list_dir(spark: SparkSession, directory: str) -> list[Entry]:
     """What lies directly in a directory, hidden names too, sorted by path."""
-    fs, jpath = _open_fs(spark, directory)
+    fs, jpath = open_fs(spark, directory)
     return _entries(spark, fs.listStatus(jpath))
 
 
@@ -112,7 +112,7 @@ def files_below(spark: SparkSession, top: list[Entry]) -> list[Entry]:
 
 def first_match(spark: SparkSession, directory: str, suffix: str, recursive: bool = False) -> bool:
     """Whether a file of this suffix lies in a directory; stops at the first."""
-    fs, jpath = _open_fs(spark, directory)
+    fs, jpath = open_fs(spark, directory)
     found = fs.listFiles(jpath, recursive)
     while found.hasNext():
         if found.next().getPath().getName().endswith(suffix):
@@ -124,15 +124,25 @@ def under_prefix(
     spark: SparkSession, prefix: str, options: Mapping[str, str] | None = None
 ) -> list[Entry]:
     """Files and directories whose path starts with a string, but for a file that equals it."""
-    fs, pattern = _open_fs(spark, escape_glob(prefix) + "*", options)
+    fs, pattern = open_fs(spark, escape_glob(prefix) + "*", options)
     itself = spark._jvm.org.apache.hadoop.fs.Path(prefix.rstrip("/") or "/")
     exact = fs.makeQualified(itself).toString()
     return [e for e in _entries(spark, fs.globStatus(pattern)) if e.is_dir or e.path != exact]
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as a whole."""
+    fs, jpath = open_fs(spark, path)
+    stream = fs.open(jpath)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def first_byte(spark: SparkSession, path: str) -> bytes:
     """The first byte of a text file that is neither space nor byte order mark."""
-    fs, jpath = _open_fs(spark, path)
+    fs, jpath = open_fs(spark, path)
     stream = fs.open(jpath)
     try:
         while True:

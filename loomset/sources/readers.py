@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomset.functions.text import ref
-from loomset.sources import files, inventory, positions
+from loomset.sources import files, inventory, positions, published
 
 # Suffixes per kind, in the order a directory is probed.
 JSON_SUFFIXES = (".json", ".jsonl")
@@ -39,7 +39,7 @@ FORMAT_OPTIONS = {
 }
 
 # Directories and files that Spark or this package writes beside the data.
-BOOKKEEPING = ("_SUCCESS", "_spark_metadata", "_preparation_metadata", "_temporary")
+BOOKKEEPING = ("_SUCCESS", "_spark_metadata", "_preparation_metadata", "_temporary", "_commits")
 
 _SLICE = re.compile(r"(?P<name>[^\[\]]+)(?:\[(?P<start>-?\d+%?)?:(?P<stop>-?\d+%?)?\])?")
 
@@ -228,7 +228,7 @@ def is_saved_dataset(spark: SparkSession, path: str) -> bool:
     Landing single files replaces partitions, which leaves no mark at the top.
     """
     base = path.rstrip("/")
-    if files.is_dir(spark, f"{base}/_spark_metadata"):
+    if files.is_dir(spark, f"{base}/_spark_metadata") or published.is_published(spark, base):
         return True
     if files.exists(spark, f"{base}/_SUCCESS") and files.first_match(spark, base, PARQUET_SUFFIX):
         return True
@@ -240,7 +240,7 @@ def is_saved_dataset(spark: SparkSession, path: str) -> bool:
 
 
 def reload_saved(spark: SparkSession, path: str, merge_schemas: bool = True) -> DataFrame:
-    """A saved dataset; of a stream's output only what the stream committed.
+    """A saved dataset; of a stream's output only what the stream committed, of a published one the newest version.
 
     Files may differ in their columns; all columns are there, null where a file
     lacks them. That reads all footers, in a job; without ``merge_schemas`` one
@@ -248,6 +248,8 @@ def reload_saved(spark: SparkSession, path: str, merge_schemas: bool = True) ->
     """
     if not is_saved_dataset(spark, path):
         raise ValueError(f"not a saved dataset: {path}")
+    if published.is_published(spark, path):
+        return published.read_published(spark, path)
     return spark.read.option("mergeSchema", merge_schemas).parquet(files.escape_glob(path))
 
 
