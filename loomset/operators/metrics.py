@@ -35,6 +35,36 @@ def metric_rollup(
     )
 
 
+def partial_rollup(
+    log: DataFrame, every: str = "1 hour", time: str = "ts", tag: str = "tag", value: str = "value"
+) -> DataFrame:
+    """What a part of a log adds to ``metric_rollup``: counts and sums, which parts of it can be added to."""
+    grouped = log.groupBy(F.window(ref(time), every).alias("_window"), ref(tag).alias("tag")).agg(
+        F.count(ref(value)).alias("points"),
+        F.sum(ref(value).cast("double")).alias("total"),
+        F.min(ref(value)).alias("min_value"),
+        F.max(ref(value)).alias("max_value"),
+    )
+    window = [F.col("_window.start").alias("window_start"), F.col("_window.end").alias("window_end")]
+    return grouped.select(*window, "tag", "points", "total", "min_value", "max_value")
+
+
+def merged_rollup(parts: DataFrame) -> DataFrame:
+    """One row for the parts of each window and tag."""
+    return parts.groupBy("window_start", "window_end", "tag").agg(
+        F.sum("points").alias("points"),
+        F.sum("total").alias("total"),
+        F.min("min_value").alias("min_value"),
+        F.max("max_value").alias("max_value"),
+    )
+
+
+def finished_rollup(parts: DataFrame) -> DataFrame:
+    """Merged parts as ``metric_rollup`` has them."""
+    mean = F.when(F.col("points") > 0, F.col("total") / F.col("points"))
+    return parts.select("window_start", "window_end", "tag", "points", mean.alias("mean_value"), "min_value", "max_value")
+
+
 def latest_metrics(
     log: DataFrame,
     tags: Sequence[str],

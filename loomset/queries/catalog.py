@@ -10,7 +10,7 @@ from loomset.functions import formats
 from loomset.functions.text import blank
 from loomset.operators import detect, lengths, metrics, order, quality, render, retention, selection, turns
 from loomset.plans import landing as landing_plan
-from loomset.plans import preparation, training
+from loomset.plans import preparation, rollup, training
 from loomset.queries import adapters as a
 from loomset.session import scratch_dir
 from loomset.sources import files, landing, published, readers, sinks
@@ -573,6 +573,19 @@ def metric_rollup(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(metrics.metric_rollup(a.metric_log(spark, sf), "1 hour"))
 
 
+def incremental_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    """Three lots of files, each with rows of all times, folded in one after the other; then nothing new."""
+    base = scratch_dir(spark, "rollup")
+    events = a.table(spark, sf, "events")
+    for lot in range(3):
+        events.filter(F.col("event_id") % 3 == lot).write.parquet(f"{base}/in/lot={lot}")
+        for new in (True, False):
+            folded = rollup.fold_new_files(spark, f"{base}/in", f"{base}/state", events.schema, as_log=a.as_metric_log)
+            if (folded > 0) != new:
+                raise RuntimeError(f"{folded} new files in lot {lot}")
+    return _rounded(rollup.rolled_up(spark, f"{base}/state"))
+
+
 def latest_metric(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.latest_metrics(a.metric_log(spark, sf), METRIC_TAGS)
 
@@ -703,6 +716,7 @@ QUERIES = {
         stream_then_train,
         stream_prepare,
         metric_rollup,
+        incremental_rollup,
         stream_metric_rollup,
         latest_metric,
     )

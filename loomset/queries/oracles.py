@@ -420,6 +420,7 @@ ORACLES: dict[str, str] = {
         FROM documents JOIN ({_ORDER}) USING (doc_id)""",
     "stream_prepare": _SHAREGPT,
     "metric_rollup": _ROLLUP,
+    "incremental_rollup": _ROLLUP,
     "stream_metric_rollup": f"""
         SELECT * FROM ({_ROLLUP})
         WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL '10 minutes'""",

@@ -1,0 +1,82 @@
+"""A roll-up kept up to date, against rolling everything up."""
+
+import os
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from loomset.operators import metrics
+from loomset.plans import rollup
+from loomset.sources import published
+
+SCHEMA = "ts timestamp, tag string, value double"
+START = datetime(2024, 1, 1)
+
+
+def rows(n, shift=0):
+    at = lambda i: START + timedelta(minutes=(i * 37 + shift) % 600)
+    return [(at(i), None if i % 11 == 0 else f"t{i % 3}", None if i % 7 == 0 else float(i % 50)) for i in range(n)]
+
+
+def plain(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_each_run_equals_a_full_roll_up(spark, tmp_path, monkeypatch):
+    source, state = str(tmp_path / "in"), str(tmp_path / "state")
+    read = []
+    whole = metrics.partial_rollup
+    monkeypatch.setattr(metrics, "partial_rollup", lambda log, *rest: read.append(log.count()) or whole(log, *rest))
+    for lot, (n, shift) in enumerate([(200, 0), (30, -50), (100, 300)]):
+        spark.createDataFrame(rows(n, shift), SCHEMA).repartition(2).write.parquet(f"{source}/lot={lot}")
+        assert rollup.fold_new_files(spark, source, state, SCHEMA) == 2
+        full = metrics.metric_rollup(spark.read.schema(SCHEMA).parquet(source))
+        assert plain(rollup.rolled_up(spark, state)) == plain(full)
+        assert rollup.fold_new_files(spark, source, state, SCHEMA) == 0
+    assert read == [200, 30, 100] and published.latest(spark, state).version == 3
+
+
+def test_what_breaks_off_is_not_in_the_sums(spark, tmp_path):
+    source, state = str(tmp_path / "in"), str(tmp_path / "state")
+    spark.createDataFrame(rows(50), SCHEMA).write.parquet(f"{source}/a")
+    rollup.fold_new_files(spark, source, state, SCHEMA)
+    before = plain(rollup.rolled_up(spark, state))
+    spark.createDataFrame(rows(20), SCHEMA).coalesce(1).write.parquet(f"{source}/b")
+    broken = lambda log: log.withColumn("tag", F.raise_error(F.lit("stop")).cast("string"))
+    with pytest.raises(Exception, match="stop"):
+        rollup.fold_new_files(spark, source, state, SCHEMA, as_log=broken)
+    assert plain(rollup.rolled_up(spark, state)) == before
+    assert rollup.fold_new_files(spark, source, state, SCHEMA) == 1
+
+
+def test_two_runs_at_once_fold_a_file_once(spark, tmp_path):
+    source, state = str(tmp_path / "in"), str(tmp_path / "state")
+    spark.createDataFrame(rows(50), SCHEMA).write.parquet(f"{source}/a")
+
+    def overtaken(log):
+        rollup.fold_new_files(spark, source, state, SCHEMA)
+        return log
+
+    with pytest.raises(published.ConflictError):
+        rollup.fold_new_files(spark, source, state, SCHEMA, as_log=overtaken)
+    full = metrics.metric_rollup(spark.read.schema(SCHEMA).parquet(f"{source}/a"))
+    assert plain(rollup.rolled_up(spark, state)) == plain(full)
+
+
+def test_files_must_not_change_and_settings_must_agree(spark, tmp_path):
+    source, state = tmp_path / "in", str(tmp_path / "state")
+    source.mkdir()
+    (source / "a.json").write_text('{"ts": "2024-01-01T00:10:00Z", "tag": "x", "value": 2}\n')
+    (source / "_b.json").write_text("not read")
+    (source / "c.txt").write_text("not read")
+    assert rollup.fold_new_files(spark, str(source), state, SCHEMA, "json") == 1
+    with pytest.raises(ValueError, match="rolled up with"):
+        rollup.fold_new_files(spark, str(source), state, SCHEMA, "json", every="1 day")
+    (source / "a.json").write_text("{}\n")
+    with pytest.raises(ValueError, match="changed"):
+        rollup.fold_new_files(spark, str(source), state, SCHEMA, "json")
+    with pytest.raises(FileNotFoundError):
+        rollup.fold_new_files(spark, str(source / "none"), state, SCHEMA, "json")
+    os.makedirs(tmp_path / "empty")
+    assert rollup.fold_new_files(spark, str(tmp_path / "empty"), str(tmp_path / "new"), SCHEMA) == 0
