@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomset.operators import detect, lengths, order
-from loomset.sources import positions, readers
+from loomset.sources import positions, readers, shards
 
 # What one task orders at most: rows, and bytes as the files hold them, which grow several times in memory.
 ROWS_PER_SLICE = 250_000
@@ -67,7 +67,7 @@ def export_for_ranks(
     rows_per_file: int = 100_000,
     **options,
 ) -> None:
-    """Write the training rows as one directory per rank, files in position order.
+    """Write the training rows as one directory per rank, files in position order, and an index of them to resume by.
 
     Each slice gives every rank one file, so slices are as large as fills those
     files, within the bytes that one task orders. ``options`` are those of
@@ -76,3 +76,4 @@ def export_for_ranks(
     rows_per_slice = max(rows_per_file * world_size, ROWS_PER_SLICE)
     rows = training_rows(spark, source, path, rows_per_slice=rows_per_slice, **options)
     order.export_shards(rows, output, world_size, rows_per_file=rows_per_file)
+    shards.save_index(spark, output)

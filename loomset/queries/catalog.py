@@ -13,7 +13,7 @@ from loomset.plans import landing as landing_plan
 from loomset.plans import preparation, rollup, training
 from loomset.queries import adapters as a
 from loomset.session import scratch_dir
-from loomset.sources import files, landing, published, readers, sinks
+from loomset.sources import files, landing, published, readers, shards, sinks
 from loomset.streaming import jobs
 
 CONV_KEYS = ("conv_id", "turn")
@@ -552,6 +552,17 @@ def epoch_batches_max_steps(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def resume_from_step(spark: SparkSession, sf: str) -> DataFrame:
+    """Steps 5 to 19 of shards for three ranks, each row with the step it is seen in."""
+    path = scratch_dir(spark, "resume")
+    ordered = order.seeded_order(a.documents(spark, sf).select("doc_id", "text"), "doc_id", seed=42)
+    order.export_shards(ordered, path, world_size=3, rows_per_file=20)
+    shards.save_index(spark, path)
+    left = shards.read_from_step(spark, path, 5, world_size=3, per_device_batch=2, accumulation=1, stop=20)
+    seen = order.assign_batches(left.drop("rank"), world_size=3, per_device_batch=2, accumulation=1)
+    return seen.select("doc_id", "text", "position", "rank", "step")
+
+
 def step_plan(spark: SparkSession, sf: str) -> DataFrame:
     """Under three settings of batch, accumulation and steps."""
     docs = a.documents(spark, sf)
@@ -710,6 +721,7 @@ QUERIES = {
         batch_assign,
         epoch_batches,
         epoch_batches_max_steps,
+        resume_from_step,
         step_plan,
         retain_last_k,
         stream_ingest,

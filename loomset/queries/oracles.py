@@ -400,6 +400,9 @@ ORACLES: dict[str, str] = {
         )
         SELECT rank, step, count(*) AS num_rows, min(epoch_position) AS first, sum(conv_id * (turn + 1))::BIGINT AS mark
         FROM stepped WHERE step < 100 GROUP BY rank, step""",
+    "resume_from_step": f"""
+        SELECT doc_id, text, position, position % 3 AS rank, position // 3 // 2 AS step
+        FROM documents JOIN ({_ORDER}) USING (doc_id) WHERE position // 6 BETWEEN 5 AND 19""",
     "step_plan": " UNION ALL ".join(
         (
             _step_plan("demo", 4 * 2 * 4, 1),
