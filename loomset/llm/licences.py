@@ -170,9 +170,7 @@ def _hashed(rows: DataFrame) -> DataFrame:
 
 
 def _grams(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("words", words_of("paragraph")).withColumn("pairs", pairs_of("words")).withColumn(
-        "grams", F.concat("words", "pairs")
-    )
+    return rows.withColumn("pairs", pairs_of("words")).withColumn("grams", F.concat("words", "pairs"))
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -198,12 +196,12 @@ def _anchors(confirm: float) -> list[str]:
     return sorted(found)
 
 
-def _may_be_confirmed(text: Column, templates: Column, confirm: float) -> Column:
-    """Whether a text, its line breaks aside, holds enough of a template's word pairs."""
+def _may_be_confirmed(lines: Column, templates: Column, confirm: float) -> Column:
+    """Whether the words of a text's lines, one after the other, hold enough of a template's word pairs."""
     known = sorted({" ".join(p) for f, ts in TEMPLATES.items() if f != UNKNOWN for t in ts for w in [_template_words(t)] for p in zip(w, w[1:])})
-    # The alternatives have letters, digits and "-./" only.
-    some = text.rlike("(?i)" + "|".join(a.replace(".", "[.]") for a in _anchors(confirm)))
-    shared = F.array_intersect(_pairs(words_of(text)), F.array(*map(F.lit, known)))
+    anchors = F.array(*map(F.lit, _anchors(confirm)))
+    some = F.arrays_overlap(F.flatten(lines), anchors)
+    shared = _let(F.flatten(lines), lambda words: F.array_intersect(_pairs(words), F.array(*map(F.lit, known))))
     return some & _let(shared, lambda own: F.exists(templates, lambda t: F.size(F.array_intersect(own, t["pairs"])) >= t["least"]))
 
 
@@ -252,30 +250,33 @@ def _runs(words: Column, pairs: Column, templates: Column) -> Column:
 
 
 def paragraphs(docs: DataFrame, key: str, text: str, confirm: float = 0.6) -> DataFrame:
-    """``key``, ``doc`` (a number of the row), ``first``, ``last`` and ``paragraph`` of each line of a text that has a letter or digit, and of runs of lines.
+    """``key``, ``doc`` (a number of the row), ``first``, ``last`` and ``words`` of each line of a text that has a letter or digit, and of runs of lines.
 
     ``first`` and ``last`` are numbers of lines, from 0. Runs are those of which a template may have ``confirm`` of its word pairs.
+    Lines are taken apart into words once; all else works on those.
     """
-    lines = F.split(F.col("text"), r"\r?\n")
+    lines = F.col("lines")
     none = F.array().cast("array<string>")
     over = lambda words: F.transform(
         words,
         lambda w, i: F.when(F.size(w) > 0, _pairs(F.concat(w, F.slice(F.coalesce(F.get(words, i + 1), none), 1, 1)))).otherwise(none),
     )
     run = lambda r: F.struct(
-        r["first"].alias("first"),
-        r["last"].alias("last"),
-        F.array_join(F.slice(lines, r["first"] + 1, r["last"] - r["first"] + 1), "\n").alias("paragraph"),
+        r["first"].alias("first"), r["last"].alias("last"), F.flatten(F.slice(lines, r["first"] + 1, r["last"] - r["first"] + 1)).alias("words")
     )
-    runs = _let(F.transform(lines, words_of), lambda words: _let(over(words), lambda pairs: F.transform(_runs(words, pairs, _templates(confirm)), run)))
-    alone = F.transform(lines, lambda line, i: F.struct(i.alias("first"), i.alias("last"), line.alias("paragraph")))
-    wrapped = (F.size(lines) > 1) & _may_be_confirmed(F.col("text"), _templates(confirm), confirm)
+    runs = _let(over(lines), lambda pairs: F.transform(_runs(lines, pairs, _templates(confirm)), run))
+    alone = F.transform(lines, lambda words, i: F.struct(i.alias("first"), i.alias("last"), words.alias("words")))
+    wrapped = (F.size(lines) > 1) & _may_be_confirmed(lines, _templates(confirm), confirm)
     return (
         # Rows are numbered before they are exploded.
-        docs.select(F.col(key).alias("key"), F.monotonically_increasing_id().alias("doc"), F.col(text).alias("text"))
+        docs.select(
+            F.col(key).alias("key"),
+            F.monotonically_increasing_id().alias("doc"),
+            F.transform(F.split(F.col(text), r"\r?\n"), words_of).alias("lines"),
+        )
         .select("key", "doc", F.explode(F.when(wrapped, F.concat(alone, runs)).otherwise(alone)).alias("p"))
         .select("key", "doc", "p.*")
-        .filter(F.col("paragraph").rlike(r"[\p{L}\p{N}]"))
+        .filter(F.size("words") > 0)
     )
 
 
@@ -319,7 +320,7 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", plain_docs: in
     families = [NONE, *TEMPLATES]
     number = F.array_position(F.array(*map(F.lit, families)), F.col("family")) - 1
     rows = written(
-        _hashed(_grams(notices.union(plain).repartition(FIT_PARTS)))
+        _hashed(_grams(notices.union(plain).repartition(FIT_PARTS).withColumn("words", words_of("paragraph"))))
         .select(
             number.cast("double").alias("label"),
             "features",
