@@ -14,7 +14,7 @@ from loomset.plans import preparation, rollup, training
 from loomset.queries import adapters as a
 from loomset.session import scratch_dir
 from loomset.sources import files, landing, published, readers, shards, sinks
-from loomset.streaming import jobs
+from loomset.streaming import conversations, jobs
 
 CONV_KEYS = ("conv_id", "turn")
 DOC_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -640,6 +640,36 @@ def stream_prepare(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{base}/rows").select("conv_id", "text")
 
 
+def _streamed(spark: SparkSession, sf: str, base: str) -> DataFrame:
+    """Conversations closed by a stream that gets their turns from four files, run again half-way."""
+    turns_ = a.table(spark, sf, "conversations").withColumn("said", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("turn") * 60))
+    for lot in range(4):
+        part = turns_.filter(F.col("turn") % 4 == lot)
+        if lot == 3:
+            end = F.timestamp_seconds(F.lit(1_800_000_000)).alias("said")
+            part = part.union(spark.range(1).select(F.lit(-1).cast("long"), F.lit(0).cast("long"), F.lit(""), F.lit(""), end))
+        part.coalesce(1).write.mode("append").parquet(f"{base}/in")
+        if lot in (1, 3):
+            arriving = jobs.file_stream(spark, f"{base}/in", turns_.schema, max_files_per_trigger=1)
+            with conversations.keyed_state(spark):
+                jobs.append_available(conversations.assemble_stream(arriving, "said", delay="1 day"), f"{base}/rows", f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/rows")
+
+
+def stream_assemble(spark: SparkSession, sf: str) -> DataFrame:
+    closed = conversations.conversations_of(_streamed(spark, sf, scratch_dir(spark, "stream-assemble")))
+    line = lambda m: F.concat(m["from"], F.lit(": "), m["value"])
+    return closed.select(
+        "conv_id",
+        F.size("conversations").cast("long").alias("num_messages"),
+        F.array_join(F.transform("conversations", line), "\n").alias("messages"),
+    )
+
+
+def stream_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    return conversations.pairs_of(_streamed(spark, sf, scratch_dir(spark, "stream-pairs")))
+
+
 def stream_metric_rollup(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_dir(spark, "stream-metrics")
     events = jobs.file_stream(spark, f"{sf}/events.parquet", a.table(spark, sf, "events").schema)
@@ -730,6 +760,8 @@ QUERIES = {
         metric_rollup,
         incremental_rollup,
         stream_metric_rollup,
+        stream_assemble,
+        stream_pairs,
         latest_metric,
     )
 }

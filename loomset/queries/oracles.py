@@ -344,6 +344,11 @@ ORACLES: dict[str, str] = {
         SELECT conv_id, count(*) AS num_messages,
                string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS messages
         FROM conversations GROUP BY conv_id""",
+    "stream_assemble": """
+        SELECT conv_id, count(*) AS num_messages,
+               string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS messages
+        FROM conversations GROUP BY conv_id""",
+    "stream_pairs": f"{_ROWS} SELECT conv_id, turn, instruction, input, output FROM pairs",
     "pair_turns": """
         WITH sparse AS (
           SELECT conv_id, turn * 700 + conv_id % 5 AS turn, role, text FROM conversations
