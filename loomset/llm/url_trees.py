@@ -109,8 +109,9 @@ def judge(
 
     ``verdict`` is that of the longest fitting rule, else the trees' ("block"
     from a score of 0.5). A null URL has an empty host and path. The trees are
-    fitted on about ``fit_rows`` of the URLs that rules decide, chosen by a
-    hash of the URL; suffix statistics cover all rows. If rules decide none, or all
+    fitted on at most ``fit_rows`` of the rows that rules decide, half of each
+    verdict, those with the smallest hash of key and URL; weights restore the verdicts'
+    shares. Suffix statistics cover all rows. If rules decide none, or all
     alike, every other URL gets that one verdict, or "allow".
     """
     host, path = url_parts(F.col(url))
@@ -138,14 +139,17 @@ def judge(
     else:
         featured = known.withColumns(_features(F.col("url"))).join(suffixes, "suffix")
         rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(featured)
-        share = min(1.0, fit_rows / labelled)
-        sample = written(
-            rows.filter(F.col("label").isNotNull() & (F.pmod(F.xxhash64("url"), F.lit(1_000_000)) < int(share * 1_000_000)))
-            .select("features", "label")
-            .repartition(FIT_PARTS),
-            "url-sample",
-        )
-        model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.3, seed=seed).fit(sample)
+        # Of each class as many rows, weighted so that both count as in the table.
+        each = max(1, fit_rows // 2)
+        classes = [
+            rows.filter(F.col("label") == label)
+            .select("features", "label", F.lit(held / min(held, each)).alias("weight"), F.xxhash64("key", "url").alias("hash"), "url")
+            .orderBy("hash", "url")
+            .limit(each)
+            for label, held in ((0.0, labelled - blocked), (1.0, blocked))
+        ]
+        sample = written(classes[0].union(classes[1]).select("features", "label", "weight").repartition(FIT_PARTS), "url-sample")
+        model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.3, seed=seed, weightCol="weight").fit(sample)
         score = model.transform(rows).withColumn("block_score", vector_to_array("probability")[1])
     by_trees = F.when(F.col("block_score") >= 0.5, "block").otherwise("allow")
     return score.select(

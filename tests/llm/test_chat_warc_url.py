@@ -199,3 +199,17 @@ def test_odd_urls(spark):
 def test_entropy(spark):
     got = spark.createDataFrame([("aabb",), ("abcd",), ("",)], "u string").select(url_trees._entropy(F.col("u"))).collect()
     assert [r[0] for r in got] == pytest.approx([1.0, 2.0, 0.0]) and math.isfinite(got[2][0])
+
+
+def test_trees_of_few_urls_and_hot_ones(spark):
+    """More rows than the fit takes, of two URLs or with a hot one: both classes are always in it."""
+    two = [(i, "http://a.org/en/1" if i % 3 else "http://a.com/de/1") for i in range(3000)]
+    other = [(9000, "http://b.net/x")]
+    schema = "page_id long, url string"
+    got = url_trees.judge(spark.createDataFrame(two + other, schema), RULES, fit_rows=100, trees=2).collect()
+    assert len(got) == 3001 and all((r.block_score >= 0.5) == (r.verdict == "block") for r in got)
+    hot = [(i, "http://a.org/en/1") for i in range(2000)] + [(5000 + i, f"http://x{i}.com/de/{i}") for i in range(50)]
+    got = url_trees.judge(spark.createDataFrame(hot + other, schema), RULES, fit_rows=60, trees=2).collect()
+    assert all((r.block_score >= 0.5) == (r.verdict == "block") for r in got if r.rule)
+    one = [(i, f"http://x{i}.org/") for i in range(500)]
+    assert {r.verdict for r in url_trees.judge(spark.createDataFrame(one + other, schema), RULES, fit_rows=10).collect()} == {"allow"}
