@@ -71,5 +71,5 @@ def test_stages_keep_the_columns_and_take_odd_rows(spark, odd_docs, no_docs, sf_
 def test_queries_are_registered():
     names = contract.queries()
     assert set(queries.QUERIES) | {"pipeline"} <= set(names)
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in names if n.startswith("op")} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in names if n.startswith("op")} == set(range(1, 14))
     assert set(queries.ORACLES) <= set(names) and "pipeline" not in contract.oracle_sql()
