@@ -47,7 +47,8 @@ def land(
     ``bucket`` and ``prefix`` name objects in a store. Whatever the source,
     rows lie below ``landed_from=<name>``, where the name is the path's or
     prefix's last part. A hub table and a directory replace the target, a file
-    and a prefix add to it. ``reading`` says how JSON and CSV are read, and
+    (or a directory named like one, as Spark writes tables) and a prefix add to
+    it. ``reading`` says how JSON and CSV are read, and
     ``leave_out`` which files (by patterns of names) may stay behind. The rows
     written are counted against the rows read.
     """

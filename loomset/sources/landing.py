@@ -107,7 +107,8 @@ def land_local(
     A directory is landed whole: every level, every kind of file; what can't be
     read as data is an error, unless ``leave_out`` names it. Of a stream's
     output only committed files are taken. A file landed again replaces its
-    earlier rows, so a repeated job does no harm.
+    earlier rows, so a repeated job does no harm. A directory with a file's
+    suffix is a table as Spark writes it: landed whole too, but added like a file.
     """
     if not files.exists(spark, source):
         raise FileNotFoundError(f"there is nothing to land at {source}")
@@ -118,7 +119,7 @@ def land_local(
         df = readers.reload_saved(spark, source)
     else:
         df = readers.read_tree(spark, files.list_dir(spark, source), source, reading, leave_out)
-    return save_landed(df, output, name, replace=True)
+    return save_landed(df, output, name, replace=files.suffix_of(source) not in readers.DATA_SUFFIXES)
 
 
 def land_once(spark: SparkSession, output: str, land: Callable[[], None]) -> bool:

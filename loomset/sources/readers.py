@@ -255,6 +255,7 @@ def reload_saved(spark: SparkSession, path: str, merge_schemas: bool = True) ->
 
 # Kinds of files, in the order a directory is probed.
 KINDS = {"json": JSON_SUFFIXES, "parquet": (PARQUET_SUFFIX,), "csv": (CSV_SUFFIX,)}
+DATA_SUFFIXES = frozenset(s for suffixes in KINDS.values() for s in suffixes)
 
 
 def read_file(
@@ -337,8 +338,7 @@ def read_tree(
     found = [e for e in files.files_below(spark, list(tops)) if not _is_bookkeeping(e.path[start:].split("/"))]
     found = [e for e in found if not any(fnmatchcase(e.name, pattern) for pattern in leave_out)]
     below = {e.path: e.path[start:].split("/") for e in found}
-    known = {s for suffixes in KINDS.values() for s in suffixes}
-    left = [p for p, names in below.items() if files.suffix_of(p) not in known or any(map(files.is_hidden, names))]
+    left = [p for p, names in below.items() if files.suffix_of(p) not in DATA_SUFFIXES or any(map(files.is_hidden, names))]
     if left:
         raise ValueError(f"of no known kind, or hidden by name (leave_out says what may stay behind): {_some(left)}")
     parts = []

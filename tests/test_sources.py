@@ -282,6 +282,21 @@ def test_later_files_bring_their_own_columns(spark, tmp_path):
     assert rows == [(1, 2, None), (3, None, 4)]
 
 
+def test_a_table_written_as_a_directory_is_added_like_a_file(spark, tmp_path):
+    output = str(tmp_path / "out")
+    spark.range(2).selectExpr("id a", "'x' b").coalesce(1).write.parquet(str(tmp_path / "one.parquet"))
+    spark.range(3).selectExpr("id a", "1.5D c").repartition(3).write.parquet(str(tmp_path / "two.parquet"))
+    spark.range(4).selectExpr("id d").repartition(2).write.json(str(tmp_path / "three.json"))
+    for _ in range(2):
+        for name, rows in (("one.parquet", 2), ("two.parquet", 3), ("three.json/", 4)):
+            assert landing.land_local(spark, str(tmp_path / name), output) == rows
+    held = readers.read_raw(spark, output).groupBy("landed_from").count()
+    assert dict(map(tuple, held.collect())) == {"one.parquet": 2, "two.parquet": 3, "three.json": 4}
+    spark.range(5).selectExpr("id a").write.parquet(str(tmp_path / "plain"))
+    assert landing.land_local(spark, str(tmp_path / "plain"), output) == 5
+    assert readers.read_raw(spark, output).count() == 5
+
+
 def test_landing_beside_files_that_were_not_landed_is_refused(spark, tmp_path):
     output = str(tmp_path / "out")
     spark.range(10).write.parquet(output)
