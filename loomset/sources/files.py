@@ -7,7 +7,7 @@ bytes of JSON files; data is read by Spark.
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from posixpath import basename, splitext
@@ -16,6 +16,7 @@ from pyspark.sql import SparkSession
 
 _PEEK_THREADS = 16
 _PEEK_BYTES = 4096
+_QUALIFIED = re.compile(r"file:/|[A-Za-z][A-Za-z0-9+.-]*://[^/]")
 _STATUS = re.compile(r"path=(.*?); isDirectory=(true|false)(?:; length=(\d+))?", re.S)
 
 
@@ -53,6 +54,11 @@ def qualified(spark: SparkSession, path: str) -> str:
     return fs.makeQualified(jpath).toString()
 
 
+def all_qualified(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """``qualified`` for many paths; those that name their store, as listings do, cost no call to the JVM."""
+    return [p if _QUALIFIED.match(p) else qualified(spark, p) for p in paths]
+
+
 def holds_any_file(spark: SparkSession, path: str) -> bool:
     """Whether a file lies anywhere below, but for what a job that broke off left; stops at the first one."""
     fs, jpath = open_fs(spark, path)
@@ -98,6 +104,17 @@ def list_dir(spark: SparkSession, directory: str) -> list[Entry]:
     return _entries(spark, fs.listStatus(jpath))
 
 
+def files_at(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str, bool]]:
+    """Files among these paths, marked true, and those directly in the directories among them, marked false."""
+
+    def look(path: str) -> list[tuple[str, bool]]:
+        own = qualified(spark, path)
+        return [(e.path, e.path == own) for e in list_dir(spark, path) if not e.is_dir]
+
+    with ThreadPoolExecutor(_PEEK_THREADS) as pool:
+        return [found for part in pool.map(look, paths) for found in part]
+
+
 def files_below(spark: SparkSession, top: list[Entry]) -> list[Entry]:
     """These files and all files below these directories; one call to the JVM per directory."""
     found = [e for e in top if not e.is_dir]

@@ -14,6 +14,8 @@ directory: a store lists that page by page in any case.
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
+from itertools import islice
+from urllib.parse import urlsplit
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -125,6 +127,38 @@ def files_under(spark: SparkSession, directory: str, recursive: bool = True) ->
     return spark.createDataFrame([(e.path, e.length) for e in found], SCHEMA)
 
 
+def files_at(spark: SparkSession, paths: Sequence[str], tasks: int | None = None) -> DataFrame:
+    """``path`` of the files among these paths (``named``), and of those directly in the directories among them.
+
+    One table of the paths, dealt to some tasks, however many there are: neither the plan nor
+    what tasks report grows with them. Stores that only Hadoop's connectors open are listed by the driver instead.
+    """
+    schema = T.StructType([T.StructField("path", T.StringType()), T.StructField("named", T.BooleanType())])
+    given = files.all_qualified(spark, paths)
+    if not all(map(stores.opens, given)):
+        return spark.createDataFrame(files.files_at(spark, given), schema)
+    first_of = {urlsplit(p)[:2]: p for p in reversed(given)}
+    options = {place: store_options(spark, p) for place, p in first_of.items()}
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opened = {}
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                place = urlsplit(path)[:2]
+                if place not in opened:
+                    opened[place] = stores.store_of(path, options[place])
+                yield from listed(opened[place], path)
+
+    def listed(store: stores.Local | stores.Arrow, path: str) -> Iterator[pa.RecordBatch]:
+        is_dir = store.is_dir(path)
+        found = (f.path for f in store.children(path) if not f.is_dir) if is_dir else iter([path])
+        while some := list(islice(found, ROWS_AT_ONCE)):
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.string()), pa.array([not is_dir] * len(some))], schema.names)
+
+    dealt = min(len(given), tasks or 2 * spark.sparkContext.defaultParallelism)
+    return spark.createDataFrame([(p,) for p in given], "path string").repartition(max(dealt, 1)).mapInArrow(look, schema)
+
+
 def name_of(path) -> F.Column:
     """The last part of a path."""
     return F.substring_index(path, "/", -1)

@@ -6,7 +6,7 @@ import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from fnmatch import fnmatchcase
-from functools import partial, reduce
+from functools import partial
 from urllib.parse import quote, unquote
 
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
@@ -121,15 +121,8 @@ def _by_layout(
     spark: SparkSession, given: list[str], suffixes: Sequence[str]
 ) -> tuple[list[str], list[str]]:
     """Paths to read by lines, and as arrays. Executors open the files; the driver lists them only if both kinds are there."""
-    found = []
-    for p in given:
-        if files.is_dir(spark, p):
-            inside = inventory.files_under(spark, p, recursive=False)
-            found.append(_data_files_of(inside, suffixes or None).select("path"))
-    single = [(files.qualified(spark, p),) for p in given if not files.is_dir(spark, p)]
-    if single:
-        found.append(spark.createDataFrame(single, "path string"))
-    heads = inventory.first_bytes(spark, reduce(DataFrame.union, found))
+    found = _data_files_of(inventory.files_at(spark, given), suffixes or None)
+    heads = inventory.first_bytes(spark, found)
     is_array = F.coalesce(F.col("first") == "[", F.lit(False))
     counted = heads.agg(F.count(F.lit(1)).alias("all"), F.count_if(is_array).alias("arrays")).first()
     if not counted["arrays"]:
@@ -141,13 +134,13 @@ def _by_layout(
 
 
 def _data_files_of(listed: DataFrame, suffixes: Sequence[str] | None) -> DataFrame:
-    """``data_files`` of a table of paths."""
-    name = inventory.name_of("path")
+    """``data_files`` of a table of paths; those marked as ``named`` are taken whatever their name."""
+    name, named = inventory.name_of("path"), F.col("named")
     wanted = ~name.isin(*BOOKKEEPING)
     if suffixes is not None:
         wanted &= F.concat(F.lit("."), F.substring_index(name, ".", -1)).isin(*suffixes) & name.contains(".")
-    hidden = name.startswith(".") | (name.startswith("_") & ~name.contains("="))
-    chosen = listed.filter(wanted)
+    hidden = ~named & (name.startswith(".") | (name.startswith("_") & ~name.contains("=")))
+    chosen = listed.filter(named | wanted)
     if suffixes is not None:
         passed = [r["path"] for r in chosen.filter(hidden).limit(6).collect()]
         if passed:

@@ -44,6 +44,9 @@ class Local:
                 is_dir = entry.is_dir()
                 yield Found(self.prefix + entry.path, is_dir, 0 if is_dir else entry.stat().st_size)
 
+    def is_dir(self, path: str) -> bool:
+        return os.path.isdir(self._plain(path))
+
     def open(self, path: str):
         return open(self._plain(path), "rb")
 
@@ -76,6 +79,11 @@ class Arrow:
             path = f"{directory.rstrip('/')}/{info.base_name}"
             yield Found(path, info.type == fs.FileType.Directory, info.size or 0)
 
+    def is_dir(self, path: str) -> bool:
+        from pyarrow import fs
+
+        return self.fs.get_file_info(self._inside(path)).type == fs.FileType.Directory
+
     def open(self, path: str):
         return self.fs.open_input_stream(self._inside(path))
 

@@ -1,5 +1,6 @@
 """Listings and first bytes by executors, against walking the tree."""
 
+import json
 import os
 
 import pytest
@@ -96,6 +97,34 @@ def test_layouts_are_told_without_the_driver(spark, tmp_path, monkeypatch):
         readers.read_json(spark, str(tmp_path), suffixes=(".json",))
 
 
+def test_many_paths_are_one_table(spark, tmp_path, monkeypatch):
+    """However many directories there are, the plan and its tasks don't grow with them."""
+    for n in range(60):
+        (tmp_path / f"chunk={n}").mkdir()
+        (tmp_path / f"chunk={n}" / "part-0").write_text(json.dumps([{"i": 2 * n}, {"i": 2 * n + 1}]))
+    (tmp_path / "chunk=7" / "_SUCCESS").write_text("")
+    (tmp_path / "chunk=7" / "deeper").mkdir()
+    (tmp_path / "chunk=7" / "deeper" / "x.json").write_text("no data")
+    (tmp_path / "_named.json").write_text('[{"i": 120}]')
+    given = [f"file:{tmp_path}/chunk={n}" for n in range(60)] + [str(tmp_path / "_named.json")]
+    listed = inventory.files_at(spark, given)
+    wanted = {(f"file:{tmp_path}/chunk={n}/part-0", False) for n in range(60)}
+    wanted |= {(f"file:{tmp_path}/_named.json", True), (f"file:{tmp_path}/chunk=7/_SUCCESS", False)}
+    assert sorted(map(tuple, listed.collect())) == sorted(wanted)
+    assert listed.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism
+    assert sorted(files.files_at(spark, given)) == sorted(wanted)
+
+    def never(*_, **__):
+        raise AssertionError("directories were looked at one by one")
+
+    monkeypatch.setattr(files, "is_dir", never)
+    monkeypatch.setattr(inventory, "files_under", never)
+    assert sorted(r["i"] for r in readers.read_json(spark, given[:60]).collect()) == list(range(120))
+    with monkeypatch.context() as only_hadoop:
+        only_hadoop.setattr(stores, "opens", lambda path: False)
+        assert sorted(r["i"] for r in readers.read_json(spark, given[:3]).collect()) == list(range(6))
+
+
 def test_reports_are_aggregates(spark, tree, monkeypatch):
     def never(*_):
         raise AssertionError("the driver listed a tree")
